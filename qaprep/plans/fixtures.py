@@ -83,7 +83,8 @@ def pred_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-window two-class logits for labelled documents.
 
     Window count follows ``sliding_windows`` (size 128, stride 64) over the
-    document's word tokens; logits are hash-derived values in [-1, 1].
+    document's word tokens; logits are hash-derived integers in [-1000, 1000]
+    (milli-logits) held as DOUBLE, so sums are exact in every engine.
     """
     from ..operators.tokens import window_count
     d = table(spark, sf_dir, "documents")
@@ -95,8 +96,8 @@ def pred_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.explode(F.sequence(F.lit(0), F.col("_nw") - 1)).alias("window_no")))
 
     def logit(c):
-        return ((F.pmod(hash60(F.lit("logit"), F.col("idx"), F.col("window_no"), F.lit(c)), F.lit(2001))
-                 - 1000) / 1000.0)
+        return (F.pmod(hash60(F.lit("logit"), F.col("idx"), F.col("window_no"), F.lit(c)), F.lit(2001))
+                - 1000).cast("double")
 
     return w.select("idx", F.col("window_no").cast("int").alias("window_no"), "label",
                     F.array(logit(0), logit(1)).alias("logits"))

@@ -134,8 +134,8 @@ def window_count_sql(n: str, size: int, stride: int) -> str:
 
 PRED_WINDOWS = f"""
 SELECT d.doc_id AS idx, CAST(w.window_no AS INTEGER) AS window_no, l.quality AS label,
-       [(({h60("'logit:' || d.doc_id || ':' || w.window_no || ':0'")} % 2001) - 1000) / 1000.0,
-        (({h60("'logit:' || d.doc_id || ':' || w.window_no || ':1'")} % 2001) - 1000) / 1000.0] AS logits
+       [CAST(({h60("'logit:' || d.doc_id || ':' || w.window_no || ':0'")} % 2001) - 1000 AS DOUBLE),
+        CAST(({h60("'logit:' || d.doc_id || ':' || w.window_no || ':1'")} % 2001) - 1000 AS DOUBLE)] AS logits
 FROM documents d JOIN labels l ON l.doc_id = d.doc_id,
      unnest(range(0, {window_count_sql(f"len({word_tokens_sql('d.text')})", 128, 64)})) AS w(window_no)"""
 

@@ -525,21 +525,26 @@ def q_pad_batch(spark, d):
 
 W_PACK = K.PACK_LEN + 1
 
-PACK_SQL = f"""
-WITH docs AS (
-  SELECT doc_id, {O.h60("'42:' || doc_id")} AS k, list_append({_IDS_SQL}, {K.EOS_ID}) AS ids FROM documents),
-off AS (
-  SELECT *, sum(len(ids)) OVER (ORDER BY k, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - len(ids) AS st
-  FROM docs),
-pieces AS (
-  SELECT c AS chunk_id, greatest(c * {W_PACK}, st) AS at,
+PACK_CTES = [
+    ("docs", f"""
+  SELECT doc_id, {O.h60("'42:' || doc_id")} AS k, list_append({_IDS_SQL}, {K.EOS_ID}) AS ids FROM documents"""),
+    ("off", """
+  SELECT *, CAST(sum(len(ids)) OVER (ORDER BY k, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                 - len(ids) AS BIGINT) AS st
+  FROM docs"""),
+    ("pieces", f"""
+  SELECT c AS chunk_id, greatest(c * {W_PACK}, st) AS pstart,
          ids[greatest(c * {W_PACK}, st) - st + 1 : least((c + 1) * {W_PACK}, st + len(ids)) - st] AS piece
-  FROM off, unnest(range(st // {W_PACK}, (st + len(ids) - 1) // {W_PACK} + 1)) AS r(c)),
-chunks AS (
-  SELECT chunk_id, flatten(list(piece ORDER BY at)) AS seq FROM pieces GROUP BY chunk_id)
+  FROM off, unnest(range(st // {W_PACK}, (st + len(ids) - 1) // {W_PACK} + 1)) AS r(c)"""),
+    ("chunks", """
+  SELECT chunk_id, flatten(list(piece ORDER BY pstart)) AS seq FROM pieces GROUP BY chunk_id"""),
+    ("pk", f"SELECT chunk_id, seq FROM chunks WHERE len(seq) = {W_PACK}"),
+]
+
+PACK_SQL = O.with_(PACK_CTES, f"""
 SELECT chunk_id, array_to_string(seq[1:{K.PACK_LEN}], ',') AS input_ids,
        array_to_string(seq[2:{W_PACK}], ',') AS labels
-FROM chunks WHERE len(seq) = {W_PACK}"""
+FROM pk""")
 
 
 def _packed(spark, d):
@@ -554,16 +559,11 @@ def q_pack_sequences(spark, d):
     return p.select("chunk_id", _ids(F.col("input_ids")).alias("input_ids"), _ids(F.col("labels")).alias("labels"))
 
 
-_PACK_CHUNKS = PACK_SQL.rsplit("SELECT chunk_id, array_to_string", 1)[0] + \
-    f"SELECT chunk_id FROM chunks WHERE len(seq) = {W_PACK}"
-
-
-@query("batch_plan", f"""
-WITH pk AS ({_PACK_CHUNKS})
+@query("batch_plan", O.with_(PACK_CTES, f"""
 SELECT batch, string_agg(CAST(chunk_id AS VARCHAR), ',' ORDER BY pos) AS members, count(*) AS n_rows
 FROM (SELECT chunk_id, pos, pos // 8 AS batch FROM (
         SELECT chunk_id, row_number() OVER (ORDER BY chunk_id) - 1 AS pos FROM pk))
-GROUP BY batch""")
+GROUP BY batch"""))
 def q_batch_plan(spark, d):
     b = _batches(spark, d)
     return b.select("batch", F.array_join(F.transform("members", lambda m: m["chunk_id"].cast("string")), ",")
@@ -577,14 +577,11 @@ def _batches(spark, d):
     return tokens.batch_plan(g, "pos", K.BATCH_SIZE, ["chunk_id"])
 
 
-@query("step_plan", f"""
-WITH pk AS ({_PACK_CHUNKS}),
-b AS (SELECT DISTINCT (row_number() OVER (ORDER BY chunk_id) - 1) // 8 AS batch FROM pk),
-n AS (SELECT count(*) AS nb FROM b)
+@query("step_plan", O.with_(PACK_CTES + [("b", """SELECT DISTINCT (row_number() OVER (ORDER BY chunk_id) - 1) // 8 AS batch FROM pk"""), ("n", "SELECT count(*) AS nb FROM b")], """
 SELECT CAST(e AS INTEGER) AS epoch, batch, 4 AS accum, batch % 4 = 0 AS is_update,
        CAST(e * ((nb + 3) // 4) + (batch + 3) // 4 AS BIGINT) AS update_step,
        CAST(nb * 3 // 4 AS BIGINT) AS total_steps, CAST(nb * 3 // 4 // 10 AS BIGINT) AS warmup_steps
-FROM b, n, unnest(range(0, 3)) AS r(e)""")
+FROM b, n, unnest(range(0, 3)) AS r(e)"""))
 def q_step_plan(spark, d):
     return tokens.step_plan(_batches(spark, d), K.BATCH_SIZE, K.EPOCHS)
 
@@ -599,11 +596,11 @@ FROM pred_windows GROUP BY idx"""
 
 
 @query("window_logit_mean", O.with_(PRED_CTE + [("means", MEANS_SQL)], """
-SELECT idx, label, n_windows, round(m0, 6) AS mean0, round(m1, 6) AS mean1 FROM means"""))
+SELECT idx, label, n_windows, m0 AS mean0, m1 AS mean1 FROM means"""))
 def q_window_logit_mean(spark, d):
     m = evaluate.window_logit_mean(fx.pred_windows(spark, d), 2)
-    return m.select("idx", "label", "n_windows", _r6(F.col("mean_logits")[0]).alias("mean0"),
-                    _r6(F.col("mean_logits")[1]).alias("mean1"))
+    return m.select("idx", "label", "n_windows", F.col("mean_logits")[0].alias("mean0"),
+                    F.col("mean_logits")[1].alias("mean1"))
 
 
 @query("argmax_class", O.with_(PRED_CTE + [("means", MEANS_SQL)], """

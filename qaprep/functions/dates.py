@@ -56,9 +56,15 @@ def false_year(year: Column, h: Column) -> Column:
             .otherwise(F.lit(FALSE_YEAR_MIN) + F.pmod(h, F.lit(_N_YEARS))))
 
 
-def false_month(month: Column, h: Column) -> Column:
+def month_index() -> Column:
+    """Literal map month name -> 0-based index."""
+    return F.create_map(*[x for i, m in enumerate(MONTHS) for x in (F.lit(m), F.lit(i))])
+
+
+def false_month(month: Column, h: Column, i0: Column | None = None) -> Column:
     """Uniform English month name other than ``month``."""
-    i0 = F.array_position(months_array(), month) - 1
+    if i0 is None:
+        i0 = F.element_at(month_index(), month)
     return F.element_at(months_array(), (F.pmod(i0 + 1 + F.pmod(h, F.lit(11)), F.lit(12)) + 1).cast("int"))
 
 
@@ -68,16 +74,23 @@ def is_year_part(part: Column) -> Column:
 
 
 def fake_mention(mention: Column, key: Column, seed, mention_no: Column) -> Column:
-    """Falsified text of one mention; whitespace collapses to single spaces."""
+    """Falsified text of one mention; whitespace collapses to single spaces.
+
+    Each part is first annotated once (hash, month index, integer value) so
+    the per-part rule does not recompute md5 or lookups (no CSE in lambdas).
+    """
     parts = F.split(F.trim(mention), r"\s+")
+    ann = F.transform(parts, lambda p, j: F.struct(
+        p.alias("p"), hash60(F.lit(str(seed)), key, mention_no, j).alias("h"),
+        F.element_at(month_index(), p).alias("m"),
+        F.when(p.rlike("^[0-9]{4}$"), p.try_cast("int")).alias("y")))
 
-    def one(part, j):
-        h = hash60(F.lit(str(seed)), key, mention_no, j)
-        return (F.when(F.array_contains(months_array(), part), false_month(part, h))
-                .when(is_year_part(part), false_year(part.try_cast("int"), h).cast("string"))
-                .otherwise(part))
+    def one(a):
+        return (F.when(a["m"].isNotNull(), false_month(a["p"], a["h"], a["m"]))
+                .when(a["y"].isNotNull() & (a["y"] != 0), false_year(a["y"], a["h"]).cast("string"))
+                .otherwise(a["p"]))
 
-    return F.array_join(F.transform(parts, one), " ")
+    return F.array_join(F.transform(ann, one), " ")
 
 
 def date_swaps(text: Column, key: Column, seed, pattern: str = DATE_RX) -> Column:

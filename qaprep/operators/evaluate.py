@@ -68,9 +68,13 @@ def f1_scores(df: DataFrame, label: str = "label", pred: str = "pred",
     )
 
 
-def token_cross_entropy(logits: Column, label: Column) -> Column:
-    """``logsumexp(logits) - logits[label]`` (numerically stable)."""
-    m = F.array_max(logits)
+def token_cross_entropy(logits: Column, label: Column, row_max: Column | None = None) -> Column:
+    """``logsumexp(logits) - logits[label]`` (numerically stable).
+
+    Pass ``row_max`` as a materialised column: the lambda would otherwise
+    recompute ``array_max`` for every element.
+    """
+    m = F.array_max(logits) if row_max is None else row_max
     lse = m + F.log(F.aggregate(logits, F.lit(0.0), lambda acc, x: acc + F.exp(x - m)))
     return lse - F.element_at(logits, (label + 1).cast("int"))
 
@@ -78,8 +82,8 @@ def token_cross_entropy(logits: Column, label: Column) -> Column:
 def cross_entropy(df: DataFrame, logits: str = "logits", label: str = "label",
                   ignore_index: int = -100, by: Sequence[str] = ()) -> DataFrame:
     """Flat mean token cross-entropy; label ``-100`` is ignored as in torch."""
-    d = df.where(F.col(label) != ignore_index)
-    return d.groupBy(*by).agg(F.avg(token_cross_entropy(F.col(logits), F.col(label))).alias("loss"),
+    d = df.where(F.col(label) != ignore_index).withColumn("_mx", F.array_max(logits))
+    return d.groupBy(*by).agg(F.avg(token_cross_entropy(F.col(logits), F.col(label), F.col("_mx"))).alias("loss"),
                               F.count(F.lit(1)).alias("n_tokens"))
 
 
@@ -111,11 +115,14 @@ def answer_in_prompt(df: DataFrame, prompt: str = "prompt", answer: str = "answe
     return df.withColumn("leaked", F.instr(F.lower(F.col(prompt)), F.lower(F.col(answer))) > 0)
 
 
-def shingles(text: Column, n: int) -> Column:
-    """Distinct word n-grams of a text (all of them, whole text)."""
-    t = word_tokens(text)
-    k = F.greatest(F.size(t) - n + 1, F.lit(0))
-    grams = F.transform(F.sequence(F.lit(1), k), lambda i: F.array_join(F.slice(t, i, n), " "))
+def shingles(words: Column, n: int) -> Column:
+    """Distinct word n-grams of a word array (all of them, whole text).
+
+    ``words`` must be a column reference (materialise ``word_tokens`` first):
+    a lambda re-evaluates any expression it closes over once per element.
+    """
+    k = F.greatest(F.size(words) - n + 1, F.lit(0))
+    grams = F.transform(F.sequence(F.lit(1), k), lambda i: F.array_join(F.slice(words, i, n), " "))
     return F.array_distinct(F.when(k > 0, grams).otherwise(F.array().cast("array<string>")))
 
 
@@ -142,7 +149,8 @@ def benchmark_leak(items: DataFrame, docs: DataFrame, n: int = 8, item_key: str
     sizes = sorted(r[0] for r in ig.select("g").distinct().collect())
     dgs = None
     for size in sizes:
-        part = docs.select(doc_key, F.explode(shingles(F.col(text), size)).alias("_s")) \
+        part = docs.select(doc_key, word_tokens(F.col(text)).alias("_dw")) \
+            .select(doc_key, F.explode(shingles(F.col("_dw"), size)).alias("_s")) \
             .select(doc_key, F.lit(size).alias("g"), hash60(F.col("_s")).alias("h"))
         dgs = part if dgs is None else dgs.unionByName(part)
     if dgs is None:

@@ -92,7 +92,11 @@ def global_index(df: DataFrame, order: Sequence[str | Column], by: Sequence[str]
     d = _with_bucket(df, order_c, bucket, bits)
     by = list(by)
 
-    counts = d.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    # One shuffle: the bucket counts are read off the windowed rows, so both
+    # uses of the window share its exchange and the input is computed once.
+    w = Window.partitionBy(*by, "_b").orderBy(*order_c)
+    wd = d.withColumn("_rn", F.row_number().over(w))
+    counts = wd.groupBy(*by, "_b").agg(F.max("_rn").alias("_n"))
     wg = Window.partitionBy(*by).orderBy("_b")
     offs = counts.select(
         *by, "_b",
@@ -100,12 +104,11 @@ def global_index(df: DataFrame, order: Sequence[str | Column], by: Sequence[str]
          - F.col("_n")).alias("_off"),
         F.sum("_n").over(Window.partitionBy(*by)).alias("_total"),
     )
-    w = Window.partitionBy(*by, "_b").orderBy(*order_c)
-    out = (d.join(F.broadcast(offs), [*by, "_b"])
-           .withColumn(pos, F.col("_off") + F.row_number().over(w) - 1))
+    out = (wd.join(F.broadcast(offs), [*by, "_b"])
+           .withColumn(pos, F.col("_off") + F.col("_rn") - 1))
     if count:
         out = out.withColumn(count, F.col("_total"))
-    return out.drop("_b", "_off", "_total")
+    return out.drop("_b", "_off", "_total", "_rn")
 
 
 def neighbours(df: DataFrame, cols: Sequence[str], order: Sequence[str | Column],

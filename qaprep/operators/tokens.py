@@ -151,14 +151,16 @@ def token_offsets(df: DataFrame, order_key: str, length: Column, by: Sequence[st
     bits = bits or bucket_bits(spark)
     by = list(by)
     d = df.withColumn("_len", length.cast("long")).withColumn("_b", hash_bucket(F.col(order_key), bits))
-    sums = d.groupBy(*by, "_b").agg(F.sum("_len").alias("_s"))
-    wg = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offs = sums.select(*by, "_b", (F.sum("_s").over(wg) - F.col("_s")).alias("_off"))
     w = (Window.partitionBy(*by, "_b").orderBy(order_key)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (d.join(F.broadcast(offs), [*by, "_b"])
-            .withColumn("start", F.col("_off") + F.sum("_len").over(w) - F.col("_len"))
-            .drop("_b", "_off"))
+    # bucket sums come from the windowed rows: one shared shuffle of the input
+    wd = d.withColumn("_run", F.sum("_len").over(w))
+    sums = wd.groupBy(*by, "_b").agg(F.max("_run").alias("_s"))
+    wg = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offs = sums.select(*by, "_b", (F.sum("_s").over(wg) - F.col("_s")).alias("_off"))
+    return (wd.join(F.broadcast(offs), [*by, "_b"])
+            .withColumn("start", F.col("_off") + F.col("_run") - F.col("_len"))
+            .drop("_b", "_off", "_run"))
 
 
 def pack_sequences(df: DataFrame, ids_col: str, order_key: str, seq_len: int = PACK_LEN,

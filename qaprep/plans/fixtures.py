@@ -16,15 +16,20 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import hash60
 from ..operators.tokens import word_tokens
+from ..sources.tables import read_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, sf_dir, name)
 
 
 def qa_tq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Explicit temporal questions: one per order; the key is the position."""
-    o = table(spark, sf_dir, "orders")
+    return qa_tq_from(table(spark, sf_dir, "orders"))
+
+
+def qa_tq_from(o: DataFrame) -> DataFrame:
+    """Stateless projection of ``orders`` rows (batch or streaming)."""
     y = F.year("o_orderdate")
     return o.select(
         F.col("o_orderkey").alias("pos"),

@@ -178,7 +178,7 @@ def q_random_context_legacy(spark, d):
                              ("r2", O.ring_sql("r1", "wrong_date_context", 1, "wd_irrelevant_context"))],
     "SELECT idx, type, irrelevant_context, wd_irrelevant_context FROM r2"))
 def q_irrelevant_context(spark, d):
-    c = C.corpus(spark, d).withColumn("_k", seeded_key(["idx"], K.SPLIT_SEED))
+    c = C.corpus(spark, d, checkpoint=True).withColumn("_k", seeded_key(["idx"], K.SPLIT_SEED))
     order = [F.col("_k"), F.col("idx")]
     c = ring_shift(c, "relevant_context", 1, order, by=["type"], out="irrelevant_context")
     c = ring_shift(c, "wrong_date_context", 1, order, by=["type"], out="wd_irrelevant_context")
@@ -303,7 +303,7 @@ SELECT * FROM (
   UNION ALL SELECT idx, 'WD_ICQ', {_cq_sql('wd_ic', 'question')}, answer FROM r2)
 WHERE cq IS NOT NULL"""))
 def q_context_question_long(spark, d):
-    c = C.corpus(spark, d).withColumn("_k", seeded_key(["idx"], K.SPLIT_SEED))
+    c = C.corpus(spark, d, checkpoint=True).withColumn("_k", seeded_key(["idx"], K.SPLIT_SEED))
     order = [F.col("_k"), F.col("idx")]
     c = ring_shift(c, "relevant_context", 1, order, by=["type"], out="ic")
     c = ring_shift(c, "wrong_date_context", 1, order, by=["type"], out="wd_ic")
@@ -647,7 +647,9 @@ FROM (SELECT vec_id // 8 AS batch, avg({_CE_ROW}) AS bm
 def q_validation_loss(spark, d):
     e = fx.table(spark, d, "embeddings")
     e = e.select((F.col("vec_id") / 8).cast("long").alias("batch"),
-                 evaluate.token_cross_entropy(F.col("embedding").cast("array<double>"), F.col("label")).alias("loss"))
+                 F.col("embedding").cast("array<double>").alias("lg"), "label")
+    e = e.withColumn("_mx", F.array_max("lg")).select(
+        "batch", evaluate.token_cross_entropy(F.col("lg"), F.col("label"), F.col("_mx")).alias("loss"))
     v = evaluate.validation_loss(e)
     return v.select(_r6(F.col("mean_of_batch_means")).alias("mean_of_batch_means"),
                     _r6(F.col("last_batch_loss")).alias("last_batch_loss"), "n_batches")

@@ -1,6 +1,55 @@
-"""Streaming queries registered for the rows-only check (filled in by
-``streaming.responses`` / ``streaming.prompts``)."""
+"""Streaming queries (rows-only check: no SQL oracle for a stream run).
+
+``stream_responses``: a response log derived from ``documents`` is written
+as JSON-lines parts (twice, to simulate re-sent answers), ingested by the
+streaming job of ``streaming.responses`` and joined to the explicit-question
+requests built from ``orders``.  Expected rows: one per (question with a
+response), duplicates removed.
+
+``stream_prompts``: the stateless corpus transforms (conform, falsify dates,
+render Gemma prompts) run unchanged on a stream of ``orders`` files.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..constants import DEFAULT_SEED
+from ..operators import prompts
+from ..operators.assemble import conform
+from ..operators.dates import falsify_dates
+from ..plans import fixtures as fx
+from ..sources.writers import write_response_log
+from .responses import attach_stream, response_stream, run_available, scratch
+
+
+def q_stream_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log_dir = scratch(spark, "responses-log")
+    out_dir = scratch(spark, "responses-out")
+    ckpt = scratch(spark, "responses-ckpt")
+    log = fx.responses(spark, sf_dir)
+    write_response_log(log, log_dir, mode="append")
+    write_response_log(log, log_dir, mode="append")   # a producer that re-sent everything
+    requests = fx.qa_tq(spark, sf_dir).select("pos", "idx")
+    run_available(attach_stream(response_stream(spark, log_dir), requests), out_dir, ckpt)
+    return spark.read.parquet(out_dir).select("idx", "i", "output")
+
+
+def q_stream_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out_dir = scratch(spark, "prompts-out")
+    ckpt = scratch(spark, "prompts-ckpt")
+    schema = spark.read.parquet(f"{sf_dir}/orders.parquet").schema
+    # the file source watches a directory; the glob selects the orders file(s)
+    orders = spark.readStream.schema(schema).parquet(f"{sf_dir}/orders*.parquet")
+    qa = conform(fx.qa_tq_from(orders), {"Question": "question", "Answer": "answer"}, drop=["pos"])
+    qa = falsify_dates(qa, "relevant_context", "idx", DEFAULT_SEED)
+    qa = qa.select("idx", prompts.gemma_prompt(F.col("question"), F.col("wrong_date_context")).alias("prompt"))
+    run_available(qa, out_dir, ckpt)
+    return spark.read.parquet(out_dir)
+
+
+QUERIES = {
+    "stream_responses": q_stream_responses,
+    "stream_prompts": q_stream_prompts,
+}

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from typing import Iterator
+
+import pandas as pd
+
 from typing import Callable
 
 from pyspark.sql import DataFrame
@@ -20,10 +24,8 @@ def extract_dates_with(df: DataFrame, col: str, factory: Callable[[], Callable[[
                        out: str = "dates") -> DataFrame:
     """Hook for a named-entity model: ``factory()`` runs once per Python worker
     and returns a function from texts to their DATE mention lists."""
-    import pandas as pd
-
     @F.pandas_udf(T.ArrayType(T.StringType()))
-    def _ner(batches):
+    def _ner(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         fn = factory()
         for s in batches:
             yield pd.Series(fn(s.fillna("").tolist()))

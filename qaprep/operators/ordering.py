@@ -92,11 +92,11 @@ def global_index(df: DataFrame, order: Sequence[str | Column], by: Sequence[str]
     d = _with_bucket(df, order_c, bucket, bits)
     by = list(by)
 
-    # One shuffle: the bucket counts are read off the windowed rows, so both
-    # uses of the window share its exchange and the input is computed once.
+    # Pass 1 reads only the key columns (column pruning) and shuffles partial
+    # counts (map-side combine): one small row per (group, bucket, task).
     w = Window.partitionBy(*by, "_b").orderBy(*order_c)
     wd = d.withColumn("_rn", F.row_number().over(w))
-    counts = wd.groupBy(*by, "_b").agg(F.max("_rn").alias("_n"))
+    counts = d.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
     wg = Window.partitionBy(*by).orderBy("_b")
     offs = counts.select(
         *by, "_b",
@@ -104,7 +104,9 @@ def global_index(df: DataFrame, order: Sequence[str | Column], by: Sequence[str]
          - F.col("_n")).alias("_off"),
         F.sum("_n").over(Window.partitionBy(*by)).alias("_total"),
     )
-    out = (wd.join(F.broadcast(offs), [*by, "_b"])
+    # left join: every bucket has an offset; avoids an inferred not-null
+    # filter that would evaluate the bucket expression at the scan
+    out = (wd.join(F.broadcast(offs), [*by, "_b"], "left")
            .withColumn(pos, F.col("_off") + F.col("_rn") - 1))
     if count:
         out = out.withColumn(count, F.col("_total"))
@@ -113,17 +115,20 @@ def global_index(df: DataFrame, order: Sequence[str | Column], by: Sequence[str]
 
 def neighbours(df: DataFrame, cols: Sequence[str], order: Sequence[str | Column],
                by: Sequence[str] = (), bucket=None, bits: int | None = None,
-               prefix_next: str = "next_", prefix_prev: str = "prev_") -> DataFrame:
+               prefix_next: str = "next_", prefix_prev: str = "prev_",
+               directions: Sequence[str] = ("next", "prev")) -> DataFrame:
     """Cyclic next/previous row values of ``cols`` within each ``by`` group.
 
     Adds ``next_<c>`` (the following row's value, the first row's for the
-    last row), ``prev_<c>`` (the preceding row's, the last row's for the
+    last row) and/or ``prev_<c>`` (the preceding row's, the last row's for the
     first row) and flags ``_first``/``_last``.  A group of one row gets nulls
     (a row is never its own neighbour).
 
     One shuffle of the data (by bucket) and one window pass; rows at bucket
     edges — at most two per bucket — fetch their cross-bucket neighbour from
-    a small links table by a join of small sides.
+    a small links table by a join of small sides, and are unioned back.
+    When the input is already hash-partitioned on the bucket column, the
+    window reuses that partitioning (no new exchange).
     """
     spark = df.sparkSession
     bits = bits or bucket_bits(spark)
@@ -132,32 +137,41 @@ def neighbours(df: DataFrame, cols: Sequence[str], order: Sequence[str | Column]
         bucket = hash_bucket(order_c[0], bits)
     d = _with_bucket(df, order_c, bucket, bits)
     by = list(by)
+    want_next, want_prev = "next" in directions, "prev" in directions
     vals = F.struct(*[F.col(c) for c in cols])
     w = Window.partitionBy(*by, "_b").orderBy(*order_c)
+    # _nx marks bucket tails even when only "prev" is wanted (null = last row)
     wd = (d.withColumn("_rn", F.row_number().over(w))
-          .withColumn("_nx", F.lead(vals).over(w))
-          .withColumn("_pv", F.lag(vals).over(w))
-          .withColumn("_me", vals))
+          .withColumn("_nx", F.lead(vals if want_next else F.lit(1)).over(w)))
+    if want_prev:
+        wd = wd.withColumn("_pv", F.lag(vals).over(w))
+    null_vals = F.lit(None).cast(df.select(vals.alias("v")).schema["v"].dataType)
 
     def finish(x: DataFrame, nx: Column, pv: Column, first: Column, last: Column) -> DataFrame:
         sel = [c for c in df.columns]
-        sel += [nx[c].alias(prefix_next + c) for c in cols]
-        sel += [pv[c].alias(prefix_prev + c) for c in cols]
+        if want_next:
+            sel += [nx[c].alias(prefix_next + c) for c in cols]
+        if want_prev:
+            sel += [pv[c].alias(prefix_prev + c) for c in cols]
         sel += [first.alias("_first"), last.alias("_last")]
         return x.select(*sel)
 
     inner = wd.where((F.col("_rn") > 1) & F.col("_nx").isNotNull())
-    inner = finish(inner, F.col("_nx"), F.col("_pv"), F.lit(False), F.lit(False))
+    inner = finish(inner, F.col("_nx") if want_next else null_vals,
+                   F.col("_pv") if want_prev else null_vals, F.lit(False), F.lit(False))
 
-    edges = wd.where((F.col("_rn") == 1) | F.col("_nx").isNull())
+    edges = wd.where((F.col("_rn") == 1) | F.col("_nx").isNull()).withColumn("_me", vals)
     links = (edges.groupBy(*by, "_b")
              .agg(F.min_by("_me", "_rn").alias("_head"), F.max_by("_me", "_rn").alias("_tail")))
     wl = Window.partitionBy(*by).orderBy("_b")
     wall = wl.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    def narrow(row: Column) -> Column:
+        return F.struct(*[row[c].alias(c) for c in cols])
+
     links = links.select(
         *by, "_b",
-        F.coalesce(F.lead("_head").over(wl), F.first("_head").over(wall)).alias("_next_head"),
-        F.coalesce(F.lag("_tail").over(wl), F.last("_tail").over(wall)).alias("_prev_tail"),
+        narrow(F.coalesce(F.lead("_head").over(wl), F.first("_head").over(wall))).alias("_next_head"),
+        narrow(F.coalesce(F.lag("_tail").over(wl), F.last("_tail").over(wall))).alias("_prev_tail"),
         (F.row_number().over(wl) == 1).alias("_first_b"),
         F.lead("_b").over(wl).isNull().alias("_last_b"),
         (F.count(F.lit(1)).over(wall) == 1).alias("_one_b"),
@@ -166,8 +180,10 @@ def neighbours(df: DataFrame, cols: Sequence[str], order: Sequence[str | Column]
     is_first = (F.col("_rn") == 1) & F.col("_first_b")
     is_last = F.col("_nx").isNull() & F.col("_last_b")
     alone = (F.col("_rn") == 1) & F.col("_nx").isNull() & F.col("_one_b")
-    nx = F.when(alone, F.lit(None)).when(F.col("_nx").isNull(), F.col("_next_head")).otherwise(F.col("_nx"))
-    pv = F.when(alone, F.lit(None)).when(F.col("_rn") == 1, F.col("_prev_tail")).otherwise(F.col("_pv"))
+    nx = (F.when(alone, null_vals).when(F.col("_nx").isNull(), F.col("_next_head")).otherwise(F.col("_nx"))
+          if want_next else null_vals)
+    pv = (F.when(alone, null_vals).when(F.col("_rn") == 1, F.col("_prev_tail")).otherwise(F.col("_pv"))
+          if want_prev else null_vals)
     e = finish(e, nx, pv, is_first, is_last)
     return inner.unionByName(e)
 
@@ -184,7 +200,9 @@ def ring_shift(df: DataFrame, col: str, step: int, order: Sequence[str | Column]
     if step not in (-1, 1):
         raise ValueError("step must be -1 or +1")
     out = out or f"{col}_shifted"
-    n = neighbours(df, [col], order, by, bucket, bits, prefix_next="_nx_", prefix_prev="_pv_")
+    direction = "next" if step == -1 else "prev"
+    n = neighbours(df, [col], order, by, bucket, bits, prefix_next="_nx_", prefix_prev="_pv_",
+                   directions=(direction,))
     src = F.col("_nx_" + col) if step == -1 else F.col("_pv_" + col)
     return n.withColumn(out, src).drop("_nx_" + col, "_pv_" + col, "_first", "_last")
 

@@ -36,14 +36,25 @@ def shuffle(df: DataFrame, key: Sequence[str], seed=SPLIT_SEED, by: Sequence[str
 
 def split_exact(df: DataFrame, key: Sequence[str], seed=SPLIT_SEED, by: Sequence[str] = (),
                 out: str = "type", held: float = HELD_FRACTION,
-                test_of_held: float = TEST_OF_HELD) -> DataFrame:
-    """70/15/15 (default) with exact sizes per ``by`` group: train, dev, test."""
-    d = shuffle(df, key, seed, by, pos="_pos", key_col="_k", count="_n")
+                test_of_held: float = TEST_OF_HELD, order_key: str | None = None,
+                bucket: Column | None = None) -> DataFrame:
+    """70/15/15 (default) with exact sizes per ``by`` group: train, dev, test.
+
+    ``order_key``/``bucket`` let a caller pass a precomputed seeded key and
+    its bucket (e.g. to share one partitioning with a later ring shift).
+    """
+    if order_key is None:
+        d = shuffle(df, key, seed, by, pos="_pos", key_col="_k", count="_n")
+        drop = ["_pos", "_k", "_n"]
+    else:
+        d = global_index(df, [F.col(order_key), *[F.col(k) for k in key]], by=by, bucket=bucket,
+                         pos="_pos", count="_n")
+        drop = ["_pos", "_n"]
     n_train, n_dev, _ = split_sizes(F.col("_n"), held, test_of_held)
     t = (F.when(F.col("_pos") < n_train, "train")
          .when(F.col("_pos") < n_train + n_dev, "dev")
          .otherwise("test"))
-    return d.withColumn(out, t).drop("_pos", "_k", "_n")
+    return d.withColumn(out, t).drop(*drop)
 
 
 def split_hash(df: DataFrame, key: Sequence[str], seed=SPLIT_SEED, out: str = "type",

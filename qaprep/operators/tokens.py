@@ -15,6 +15,10 @@ are regrouped — every group is bounded by the chunk width.
 
 from __future__ import annotations
 
+from typing import Iterator
+
+import pandas as pd
+
 from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -50,10 +54,8 @@ def tokenize_with(df: DataFrame, col: str, factory: Callable[[], Callable[[list[
     maps a list of texts to a list of id lists (the shape a batched HF
     tokenizer call returns).  Rows travel to Python in Arrow batches.
     """
-    import pandas as pd
-
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def _tok(batches):
+    def _tok(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         fn = factory()
         for s in batches:
             yield pd.Series(fn(s.fillna("").tolist()))
@@ -153,12 +155,12 @@ def token_offsets(df: DataFrame, order_key: str, length: Column, by: Sequence[st
     d = df.withColumn("_len", length.cast("long")).withColumn("_b", hash_bucket(F.col(order_key), bits))
     w = (Window.partitionBy(*by, "_b").orderBy(order_key)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # bucket sums come from the windowed rows: one shared shuffle of the input
+    # bucket sums: a key-and-length-only pass with map-side partial sums
     wd = d.withColumn("_run", F.sum("_len").over(w))
-    sums = wd.groupBy(*by, "_b").agg(F.max("_run").alias("_s"))
+    sums = d.groupBy(*by, "_b").agg(F.sum("_len").alias("_s"))
     wg = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offs = sums.select(*by, "_b", (F.sum("_s").over(wg) - F.col("_s")).alias("_off"))
-    return (wd.join(F.broadcast(offs), [*by, "_b"])
+    return (wd.join(F.broadcast(offs), [*by, "_b"], "left")
             .withColumn("start", F.col("_off") + F.col("_run") - F.col("_len"))
             .drop("_b", "_off", "_run"))
 

@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from ..constants import DEFAULT_SEED, SPLIT_SEED
 from ..operators.assemble import conform, stack, with_label
 from ..operators.dates import falsify_dates
-from ..operators.ordering import ring_shift, ring_shift_legacy, seeded_key
+from ..operators.ordering import neighbours, ring_shift, ring_shift_legacy, seeded_key
+from ..functions.keys import hash_bucket
 from ..operators.splits import split_exact
-from ..session import cut_lineage
+from ..session import bucket_bits, cut_lineage
 from . import fixtures as fx
 
 SOURCES = {"tq": "TQ_explicit", "easy": "TSQA_easy", "hard": "TSQA_hard"}
@@ -36,28 +37,73 @@ def stacked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stack(tq, easy, hard).select(*QA_COLUMNS)
 
 
-def split(spark: SparkSession, sf_dir: str, seed=SPLIT_SEED) -> DataFrame:
-    return split_exact(stacked(spark, sf_dir), ["idx"], seed, by=["source"])
+def with_order(df: DataFrame, seed=SPLIT_SEED) -> DataFrame:
+    """Seeded order key and its bucket, shared by the split and the ring shift.
 
+    The two windows are deliberately *not* co-partitioned: the ring's own
+    exchange (by type, bucket) sits after the date falsification, so both
+    ring branches (inner rows, bucket edges) reuse that one shuffle output
+    instead of recomputing the split window and the falsification.
+    """
+    spark = df.sparkSession
+    d = df.withColumn("order_key", seeded_key(["idx"], seed))
+    return d.withColumn("order_bucket", hash_bucket(F.col("order_key"), bucket_bits(spark)))
+
+
+def split(spark: SparkSession, sf_dir: str, seed=SPLIT_SEED, keep_order: bool = False) -> DataFrame:
+    d = with_order(stacked(spark, sf_dir), seed)
+    d = split_exact(d, ["idx"], seed, by=["source"], order_key="order_key", bucket=F.col("order_bucket"))
+    return d if keep_order else d.drop("order_key", "order_bucket")
 
-def with_order(df: DataFrame, seed=SPLIT_SEED) -> DataFrame:
-    return df.withColumn("order_key", seeded_key(["idx"], seed))
+
+def prepared(spark: SparkSession, sf_dir: str, seed=SPLIT_SEED, date_seed=DEFAULT_SEED,
+             falsify: bool = True, materialise: bool = True) -> DataFrame:
+    """Split (+ wrong-date contexts) with order columns, cut into the shared
+    checkpoint folder.
+
+    The ring shift that follows reads its input three times (inner rows,
+    bucket edges, bucket links); from a checkpoint each read is a pruned
+    scan instead of a replay of stacking, splitting and date falsification,
+    and a lost executor restarts from here.
+    """
+    d = split(spark, sf_dir, seed, keep_order=True)
+    if falsify:
+        d = falsify_dates(d, "relevant_context", "idx", date_seed, out="wrong_date_context")
+    return cut_lineage(d) if materialise else d
 
 
 def with_random_context(df: DataFrame, seed=SPLIT_SEED, legacy: bool = False) -> DataFrame:
-    d = with_order(df, seed)
+    d = df if "order_bucket" in df.columns else with_order(df, seed)
     order = [F.col("order_key"), F.col("idx")]
     if legacy:
-        d = ring_shift_legacy(d, "relevant_context", order, by=["type"], out="random_context")
+        d = ring_shift_legacy(d, "relevant_context", order, by=["type"], out="random_context",
+                              bucket=F.col("order_bucket"))
     else:
-        d = ring_shift(d, "relevant_context", -1, order, by=["type"], out="random_context")
-    return d.drop("order_key")
+        d = ring_shift(d, "relevant_context", -1, order, by=["type"], out="random_context",
+                       bucket=F.col("order_bucket"))
+    return d.drop("order_key", "order_bucket")
 
 
 def corpus(spark: SparkSession, sf_dir: str, seed=SPLIT_SEED, date_seed=DEFAULT_SEED,
-           checkpoint: bool = False) -> DataFrame:
+           checkpoint: bool = False, irrelevant: bool = False) -> DataFrame:
     """idx, question, answer, relevant_context, source, type, random_context,
-    wrong_date_context."""
-    d = with_random_context(split(spark, sf_dir, seed), seed)
-    d = falsify_dates(d, "relevant_context", "idx", date_seed, out="wrong_date_context")
+    wrong_date_context (+ ``ic``, ``wd_ic`` with ``irrelevant=True``).
+
+    Dates are falsified before the neighbour pass, so one window over the
+    bucketed rows yields the random context (next row's relevant context)
+    and the irrelevant variants (previous row's relevant and wrong-date
+    contexts) together.
+    """
+    d = prepared(spark, sf_dir, seed, date_seed)
+    order = [F.col("order_key"), F.col("idx")]
+    if irrelevant:
+        n = neighbours(d, ["relevant_context", "wrong_date_context"], order, by=["type"],
+                       bucket=F.col("order_bucket"), prefix_next="_nx_", prefix_prev="_pv_")
+        d = n.select(*d.columns, F.col("_nx_relevant_context").alias("random_context"),
+                     F.col("_pv_relevant_context").alias("ic"),
+                     F.col("_pv_wrong_date_context").alias("wd_ic"))
+    else:
+        d = ring_shift(d, "relevant_context", -1, order, by=["type"], out="random_context",
+                       bucket=F.col("order_bucket"))
+    d = d.drop("order_key", "order_bucket")
     return cut_lineage(d) if checkpoint else d

@@ -163,13 +163,14 @@ def q_holdout_last(spark, d):
 
 @query("random_context", O.with_(O.base_ctes("corpus"), "SELECT idx, type, random_context FROM corpus"))
 def q_random_context(spark, d):
-    return C.with_random_context(C.split(spark, d)).select("idx", "type", "random_context")
+    return C.with_random_context(C.prepared(spark, d, falsify=False)).select("idx", "type", "random_context")
 
 
 @query("random_context_legacy", O.with_(O.base_ctes("split_k"),
        f"SELECT idx, type, random_context FROM ({O.ring_sql('split_k', 'relevant_context', -1, 'random_context', legacy=True)})"))
 def q_random_context_legacy(spark, d):
-    return C.with_random_context(C.split(spark, d), legacy=True).select("idx", "type", "random_context")
+    return C.with_random_context(C.prepared(spark, d, falsify=False), legacy=True).select(
+        "idx", "type", "random_context")
 
 
 @query("irrelevant_context", O.with_(
@@ -178,11 +179,9 @@ def q_random_context_legacy(spark, d):
                              ("r2", O.ring_sql("r1", "wrong_date_context", 1, "wd_irrelevant_context"))],
     "SELECT idx, type, irrelevant_context, wd_irrelevant_context FROM r2"))
 def q_irrelevant_context(spark, d):
-    c = C.corpus(spark, d, checkpoint=True).withColumn("_k", seeded_key(["idx"], K.SPLIT_SEED))
-    order = [F.col("_k"), F.col("idx")]
-    c = ring_shift(c, "relevant_context", 1, order, by=["type"], out="irrelevant_context")
-    c = ring_shift(c, "wrong_date_context", 1, order, by=["type"], out="wd_irrelevant_context")
-    return c.select("idx", "type", "irrelevant_context", "wd_irrelevant_context")
+    c = C.corpus(spark, d, irrelevant=True)
+    return c.select("idx", "type", F.col("ic").alias("irrelevant_context"),
+                    F.col("wd_ic").alias("wd_irrelevant_context"))
 
 
 # -------------------------------------------------------------------- dates
@@ -303,11 +302,7 @@ SELECT * FROM (
   UNION ALL SELECT idx, 'WD_ICQ', {_cq_sql('wd_ic', 'question')}, answer FROM r2)
 WHERE cq IS NOT NULL"""))
 def q_context_question_long(spark, d):
-    c = C.corpus(spark, d, checkpoint=True).withColumn("_k", seeded_key(["idx"], K.SPLIT_SEED))
-    order = [F.col("_k"), F.col("idx")]
-    c = ring_shift(c, "relevant_context", 1, order, by=["type"], out="ic")
-    c = ring_shift(c, "wrong_date_context", 1, order, by=["type"], out="wd_ic")
-    return prompts.context_question_long(c)
+    return prompts.context_question_long(C.corpus(spark, d, irrelevant=True))
 
 
 _INSTR_NO = K.INSTRUCTION_NO_INPUT.split("{instruction}")

@@ -38,6 +38,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local") and "spark.driver.memory" not in (extra or {}):
+        # local mode: the driver JVM is the whole cluster; 1g default thrashes
+        b = b.config("spark.driver.memory", "12g")
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()

@@ -20,6 +20,7 @@ from ..operators import prompts
 from ..operators.assemble import conform
 from ..operators.dates import falsify_dates
 from ..plans import fixtures as fx
+from ..sources.tables import TABLE_SCHEMAS
 from ..sources.writers import write_response_log
 from .responses import attach_stream, response_stream, run_available, scratch
 
@@ -39,7 +40,7 @@ def q_stream_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out_dir = scratch(spark, "prompts-out")
     ckpt = scratch(spark, "prompts-ckpt")
-    schema = spark.read.parquet(f"{sf_dir}/orders.parquet").schema
+    schema = TABLE_SCHEMAS["orders"]
     # the file source watches a directory; the glob selects the orders file(s)
     orders = spark.readStream.schema(schema).parquet(f"{sf_dir}/orders*.parquet")
     qa = conform(fx.qa_tq_from(orders), {"Question": "question", "Answer": "answer"}, drop=["pos"])

@@ -36,10 +36,13 @@ def word_tokens(text: Column) -> Column:
     return F.filter(F.split(text, r"\s+"), lambda t: t != "")
 
 
-def hashed_ids(tokens: Column, vocab_size: int = VOCAB_SIZE) -> Column:
+def hashed_id(token: Column, vocab_size: int = VOCAB_SIZE) -> Column:
     """Word -> id in [3, V) by md5; ids 0..2 are PAD, BOS, EOS."""
-    span = vocab_size - FIRST_WORD_ID
-    return F.transform(tokens, lambda t: (F.lit(FIRST_WORD_ID) + F.pmod(hash60(t), F.lit(span))).cast("int"))
+    return (F.lit(FIRST_WORD_ID) + F.pmod(hash60(token), F.lit(vocab_size - FIRST_WORD_ID))).cast("int")
+
+
+def hashed_ids(tokens: Column, vocab_size: int = VOCAB_SIZE) -> Column:
+    return F.transform(tokens, lambda t: hashed_id(t, vocab_size))
 
 
 def tokenize(df: DataFrame, col: str, out: str = "input_ids", vocab_size: int = VOCAB_SIZE) -> DataFrame:
@@ -74,8 +77,12 @@ def build_vocab(df: DataFrame, col: str, n_buckets: int | None = None) -> DataFr
     """
     from .ordering import global_index, range_bucket
 
-    counts = (df.select(F.explode(word_tokens(F.col(col))).alias("token"))
-              .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
+    from ..session import cut_lineage
+
+    # the counted vocabulary is read three times (quantiles, bucket counts,
+    # ranking): materialise it once in the shared checkpoint folder
+    counts = cut_lineage(df.select(F.explode(word_tokens(F.col(col))).alias("token"))
+                         .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
     code = (-F.col("n").cast("double") * float(2 ** 32)
             + F.coalesce(F.ascii(F.substring("token", 1, 1)), F.lit(0)).cast("double") * 65536.0
             + F.coalesce(F.ascii(F.substring("token", 2, 1)), F.lit(0)).cast("double"))
@@ -166,15 +173,24 @@ def token_offsets(df: DataFrame, order_key: str, length: Column, by: Sequence[st
 
 
 def pack_sequences(df: DataFrame, ids_col: str, order_key: str, seq_len: int = PACK_LEN,
-                   by: Sequence[str] = (), eos_id: int = EOS_ID, bits: int | None = None) -> DataFrame:
+                   by: Sequence[str] = (), eos_id: int = EOS_ID, bits: int | None = None,
+                   id_fn=None) -> DataFrame:
     """Concatenate every row's ids (+EOS) in order, cut at stride L+1.
 
     Keeps only full cuts; ``input_ids = cut[:-1]``, ``labels = cut[1:]``.
     Output: (*by, chunk_id, input_ids, labels).
+
+    With ``id_fn`` the column holds tokens (strings) and ids are computed on
+    the cut pieces, so each token is mapped once and the offset pass only
+    needs token counts.
     """
     width = seq_len + 1
     by = list(by)
-    d = df.select(*by, order_key, F.concat(F.col(ids_col), F.array(F.lit(eos_id))).alias("_ids"))
+    if id_fn is None:
+        seq = F.concat(F.col(ids_col), F.array(F.lit(eos_id)))
+    else:
+        seq = F.concat(F.col(ids_col), F.array(F.lit(None).cast("string")))
+    d = df.select(*by, order_key, seq.alias("_ids"))
     d = token_offsets(d, order_key, F.size("_ids"), by, bits)
     d = d.withColumn("_end", F.col("start") + F.col("_len"))
     c = F.explode(F.sequence((F.col("start") / width).cast("long"),
@@ -185,6 +201,10 @@ def pack_sequences(df: DataFrame, ids_col: str, order_key: str, seq_len: int = P
     pieces = pieces.select(*by, "chunk_id", F.struct(
         lo.alias("at"), F.slice("_ids", (lo - F.col("start") + 1).cast("int"), (hi - lo).cast("int")).alias("ids")
     ).alias("piece"))
+    if id_fn is not None:
+        p = F.col("piece")
+        pieces = pieces.select(*by, "chunk_id", F.struct(p["at"].alias("at"), F.transform(
+            p["ids"], lambda t: F.when(t.isNull(), F.lit(eos_id)).otherwise(id_fn(t))).alias("ids")).alias("piece"))
     chunks = (pieces.groupBy(*by, "chunk_id")
               .agg(F.flatten(F.transform(F.array_sort(F.collect_list("piece")), lambda p: p["ids"])).alias("_seq"))
               .where(F.size("_seq") == width))

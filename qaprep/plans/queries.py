@@ -119,8 +119,10 @@ SELECT type AS split, count(*) AS n_rows, min(length(relevant_context)) AS min_c
        count(DISTINCT source) AS n_sources
 FROM corpus GROUP BY type"""))
 def q_dataset_manifest(spark, d):
+    # the corpus has exactly the split's rows (the ring shift and the date
+    # falsification add columns only), so its profile is taken from the split
     from ..sources.writers import dataset_stats
-    return dataset_stats(C.corpus(spark, d))
+    return dataset_stats(C.split(spark, d))
 
 
 # -------------------------------------------------------------- order/split
@@ -253,6 +255,31 @@ def q_plain_prompts(spark, d):
     return t.select("idx", prompts.plain_prompt(F.col("Question")).alias("prompt"))
 
 
+def _plain_ctx_sql(c: str, q: str) -> str:
+    return (f"'{_PLAIN_HEAD_SQL}' || {NL} || '### Question:' || {NL} || {c} || {NL} || {NL} || {q} "
+            f"|| {NL} || {NL} || '### Response:' || {NL}")
+
+
+@query("plain_prompt_variants", O.with_(O.base_ctes("stacked") + [("wd", f"""
+SELECT idx, Question AS question, relevant_context,
+       {O.falsify_sql('relevant_context', 'idx')} AS wrong_date_context
+FROM (SELECT idx, question AS Question, relevant_context FROM stacked)""")], f"""
+SELECT idx, 'no_context' AS variant, '{_PLAIN_HEAD_SQL}' || {NL} || '### Question:' || {NL} || question || {NL} || {NL}
+       || '### Response:' || {NL} AS prompt FROM wd
+UNION ALL SELECT idx, 'relevant_context', {_plain_ctx_sql('relevant_context', 'question')} FROM wd
+UNION ALL SELECT idx, 'wrong_date_context', {_plain_ctx_sql('wrong_date_context', 'question')} FROM wd"""))
+def q_plain_prompt_variants(spark, d):
+    s = dops.falsify_dates(C.stacked(spark, d), "relevant_context", "idx", K.DEFAULT_SEED)
+    q = F.col("question")
+    arr = F.array(
+        F.struct(F.lit("no_context").alias("variant"), prompts.plain_prompt(q).alias("prompt")),
+        F.struct(F.lit("relevant_context").alias("variant"),
+                 prompts.plain_prompt_with_context(q, F.col("relevant_context")).alias("prompt")),
+        F.struct(F.lit("wrong_date_context").alias("variant"),
+                 prompts.plain_prompt_with_context(q, F.col("wrong_date_context")).alias("prompt")))
+    return s.select("idx", F.explode(arr).alias("_v")).select("idx", "_v.variant", "_v.prompt")
+
+
 def _sql_lit(s: str) -> str:
     parts = s.replace("'", "''").split("\n")
     return " || chr(10) || ".join(f"'{p}'" for p in parts)
@@ -544,8 +571,8 @@ FROM pk""")
 
 def _packed(spark, d):
     docs = fx.table(spark, d, "documents")
-    t = tokens.tokenize(docs, "text", "ids").withColumn("k", seeded_key(["doc_id"], 42))
-    return tokens.pack_sequences(t, "ids", "k")
+    t = docs.select(tokens.word_tokens(F.col("text")).alias("toks"), seeded_key(["doc_id"], 42).alias("k"))
+    return tokens.pack_sequences(t, "toks", "k", id_fn=tokens.hashed_id)
 
 
 @query("pack_sequences", PACK_SQL)
@@ -725,6 +752,5 @@ def q_experiment_grid(spark, d):
     ntok = F.size(tokens.word_tokens(F.concat("prompt", "answer"))) + 1
     files = (m.groupBy("type", "family", "context_kind", path.alias("path"))
              .agg(F.sum(ntok).alias("_t")).where(F.col("_t") >= W_PACK).select("path"))
-    anchor = fx.table(spark, d, "region").limit(1)
-    g = grid.runnable_grid(anchor, files)
+    g = grid.runnable_grid(spark.range(1), files)
     return g.select("model", "context", "train_path", "eval_path", "status")

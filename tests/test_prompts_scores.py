@@ -131,3 +131,11 @@ def test_grid_missing_file(spark):
     g = grid.runnable_grid(anchor, spark.createDataFrame([(p,) for p in files], "path string")).collect()
     missing = [(r["model"], r["context"]) for r in g if r["status"] == "missing"]
     assert len(g) == 8 and missing == [("Llama", "WD_context")]
+
+
+def test_request_lines_are_json(spark):
+    import json
+    df = spark.createDataFrame([("i0", "Q?", "A")], "idx string, question string, answer string")
+    line = requests.request_lines(requests.context_requests(df, "idx"), "idx").first()["value"]
+    obj = json.loads(line)
+    assert obj["custom_id"] == "i0" and obj["body"]["messages"][1]["role"] == "user"

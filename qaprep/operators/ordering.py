@@ -105,8 +105,12 @@ def global_index(df: DataFrame, order: Sequence[str | Column], by: Sequence[str]
         F.sum("_n").over(Window.partitionBy(*by)).alias("_total"),
     )
     # left join: every bucket has an offset; avoids an inferred not-null
-    # filter that would evaluate the bucket expression at the scan
-    out = (wd.join(F.broadcast(offs), [*by, "_b"], "left")
+    # filter that would evaluate the bucket expression at the scan.  Without
+    # groups the table is <= 2**bits rows (broadcast by construction); with
+    # groups AQE decides at runtime (a sort-merge join would reuse the
+    # window's (group, bucket) partitioning, so the rows are not reshuffled).
+    offs = F.broadcast(offs) if not by else offs
+    out = (wd.join(offs, [*by, "_b"], "left")
            .withColumn(pos, F.col("_off") + F.col("_rn") - 1))
     if count:
         out = out.withColumn(count, F.col("_total"))
@@ -125,10 +129,9 @@ def neighbours(df: DataFrame, cols: Sequence[str], order: Sequence[str | Column]
     (a row is never its own neighbour).
 
     One shuffle of the data (by bucket) and one window pass; rows at bucket
-    edges — at most two per bucket — fetch their cross-bucket neighbour from
-    a small links table by a join of small sides, and are unioned back.
-    When the input is already hash-partitioned on the bucket column, the
-    window reuses that partitioning (no new exchange).
+    edges — at most two per bucket — fetch their cross-bucket neighbour by
+    equi-joins with the other edge rows (the bucket ring itself is a window
+    over bucket ids only), and are unioned back.
     """
     spark = df.sparkSession
     bits = bits or bucket_bits(spark)
@@ -160,23 +163,32 @@ def neighbours(df: DataFrame, cols: Sequence[str], order: Sequence[str | Column]
     inner = finish(inner, F.col("_nx") if want_next else null_vals,
                    F.col("_pv") if want_prev else null_vals, F.lit(False), F.lit(False))
 
-    edges = wd.where((F.col("_rn") == 1) | F.col("_nx").isNull()).withColumn("_me", vals)
-    links = (edges.groupBy(*by, "_b")
-             .agg(F.min_by("_me", "_rn").alias("_head"), F.max_by("_me", "_rn").alias("_tail")))
+    edges = wd.where((F.col("_rn") == 1) | F.col("_nx").isNull())
+    # bucket ring per group: ids only (<= 2**bits small rows per group), so
+    # the one window that sees a whole group never holds row text
     wl = Window.partitionBy(*by).orderBy("_b")
     wall = wl.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    def narrow(row: Column) -> Column:
-        return F.struct(*[row[c].alias(c) for c in cols])
-
-    links = links.select(
+    ring = edges.select(*by, "_b").distinct().select(
         *by, "_b",
-        narrow(F.coalesce(F.lead("_head").over(wl), F.first("_head").over(wall))).alias("_next_head"),
-        narrow(F.coalesce(F.lag("_tail").over(wl), F.last("_tail").over(wall))).alias("_prev_tail"),
+        F.coalesce(F.lead("_b").over(wl), F.first("_b").over(wall)).alias("_nb"),
+        F.coalesce(F.lag("_b").over(wl), F.last("_b").over(wall)).alias("_pb"),
         (F.row_number().over(wl) == 1).alias("_first_b"),
         F.lead("_b").over(wl).isNull().alias("_last_b"),
         (F.count(F.lit(1)).over(wall) == 1).alias("_one_b"),
     )
-    e = edges.join(links, [*by, "_b"])
+    # neighbour values travel by equi-joins of edge rows (<= 2 per bucket),
+    # hash-partitioned on (group, bucket): no single task holds them all
+    heads = edges.where(F.col("_rn") == 1).select(*[F.col(c).alias("_h_" + c) for c in by],
+                                                 F.col("_b").alias("_hb"), vals.alias("_next_head"))
+    tails = edges.where(F.col("_nx").isNull()).select(*[F.col(c).alias("_t_" + c) for c in by],
+                                                      F.col("_b").alias("_tb"), vals.alias("_prev_tail"))
+    e = edges.join(ring, [*by, "_b"])
+    if want_next:
+        cond = [F.col("_hb") == F.col("_nb")] + [F.col("_h_" + c) == F.col(c) for c in by]
+        e = e.join(heads, cond, "left")
+    if want_prev:
+        cond = [F.col("_tb") == F.col("_pb")] + [F.col("_t_" + c) == F.col(c) for c in by]
+        e = e.join(tails, cond, "left")
     is_first = (F.col("_rn") == 1) & F.col("_first_b")
     is_last = F.col("_nx").isNull() & F.col("_last_b")
     alone = (F.col("_rn") == 1) & F.col("_nx").isNull() & F.col("_one_b")

@@ -167,7 +167,8 @@ def token_offsets(df: DataFrame, order_key: str, length: Column, by: Sequence[st
     sums = d.groupBy(*by, "_b").agg(F.sum("_len").alias("_s"))
     wg = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offs = sums.select(*by, "_b", (F.sum("_s").over(wg) - F.col("_s")).alias("_off"))
-    return (wd.join(F.broadcast(offs), [*by, "_b"], "left")
+    offs = F.broadcast(offs) if not by else offs      # see ordering.global_index
+    return (wd.join(offs, [*by, "_b"], "left")
             .withColumn("start", F.col("_off") + F.col("_run") - F.col("_len"))
             .drop("_b", "_off", "_run"))
 

@@ -115,7 +115,8 @@ def q_response_log_json(spark, d):
 
 @query("dataset_manifest", O.with_(O.base_ctes("corpus"), """
 SELECT type AS split, count(*) AS n_rows, min(length(relevant_context)) AS min_context_chars,
-       max(length(relevant_context)) AS max_context_chars, sum(length(relevant_context)) AS context_chars,
+       max(length(relevant_context)) AS max_context_chars,
+       CAST(sum(length(relevant_context)) AS BIGINT) AS context_chars,
        count(DISTINCT source) AS n_sources
 FROM corpus GROUP BY type"""))
 def q_dataset_manifest(spark, d):
@@ -193,7 +194,7 @@ SELECT idx, len(m) AS n_dates, array_to_string(m, '|') AS dates
 FROM (SELECT idx, {O.mentions_sql('relevant_context')} AS m FROM stacked)"""))
 def q_extract_dates(spark, d):
     s = dops.extract_dates(C.stacked(spark, d), "relevant_context", out="m")
-    return s.select("idx", F.size("m").alias("n_dates"), F.array_join("m", "|").alias("dates"))
+    return s.select("idx", F.size("m").cast("long").alias("n_dates"), F.array_join("m", "|").alias("dates"))
 
 
 FALSIFY_SQL = O.with_(O.base_ctes("stacked"), f"""
@@ -238,7 +239,7 @@ def q_validate_marked(spark, d):
     s = s.withColumn("reply", F.when(F.col("source") == "TSQA_hard", F.col("relevant_context"))
                      .otherwise(D.mark(F.col("relevant_context"))))
     v = dops.validate_marked(s, "reply", "relevant_context")
-    return v.select("idx", F.size("marked_dates").alias("n_marked"), "valid")
+    return v.select("idx", F.size("marked_dates").cast("long").alias("n_marked"), "valid")
 
 
 # ------------------------------------------------------------------ prompts
@@ -487,7 +488,7 @@ SELECT doc_id, len(ids) AS n_tokens, array_to_string(ids, ',') AS ids
 FROM (SELECT doc_id, {_IDS_SQL} AS ids FROM documents)""")
 def q_tokenize_words(spark, d):
     t = tokens.tokenize(fx.table(spark, d, "documents"), "text", "ids")
-    return t.select("doc_id", F.size("ids").alias("n_tokens"), _ids(F.col("ids")).alias("ids"))
+    return t.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), _ids(F.col("ids")).alias("ids"))
 
 
 @query("build_vocab", f"""
@@ -529,7 +530,7 @@ def q_pad_truncate(spark, d):
     t = tokens.tokenize(fx.table(spark, d, "documents"), "text", "ids")
     ids, mask = tokens.pad_truncate(F.col("ids"), K.PAD_LEN)
     return t.select("doc_id", _ids(ids).alias("ids"),
-                    F.aggregate(mask, F.lit(0), lambda a, x: a + x).alias("mask_sum"))
+                    F.aggregate(mask, F.lit(0), lambda a, x: a + x).cast("long").alias("mask_sum"))
 
 
 _TQ_IDS = f"list_transform({O.word_tokens_sql('Question')}, lambda t: {_hid_sql('t')})"
@@ -542,7 +543,7 @@ FROM (SELECT idx, pos // 8 AS batch, ids, max(len(ids)) OVER (PARTITION BY pos /
 def q_pad_batch(spark, d):
     t = tokens.tokenize(fx.qa_tq(spark, d), "Question", "ids").withColumn("batch", (F.col("pos") / 8).cast("long"))
     p = tokens.pad_batch(t, "batch", "ids")
-    return p.select("idx", "batch", F.size("ids").alias("width"), _ids(F.col("ids")).alias("ids"))
+    return p.select("idx", "batch", F.size("ids").cast("long").alias("width"), _ids(F.col("ids")).alias("ids"))
 
 
 W_PACK = K.PACK_LEN + 1
@@ -698,7 +699,7 @@ def q_score_answers(spark, d):
 
 @query("scoreboard", O.with_(PRED_CTE + [("means", MEANS_SQL)], """
 SELECT coalesce(lang, 'ALL') AS lang, coalesce(source, 'ALL') AS source, count(*) AS n,
-       sum(CASE WHEN label = CASE WHEN m1 > m0 THEN 1 ELSE 0 END THEN 1 ELSE 0 END) AS correct,
+       CAST(sum(CASE WHEN label = CASE WHEN m1 > m0 THEN 1 ELSE 0 END THEN 1 ELSE 0 END) AS BIGINT) AS correct,
        round(sum(CASE WHEN label = CASE WHEN m1 > m0 THEN 1 ELSE 0 END THEN 1 ELSE 0 END) / count(*), 6) AS accuracy
 FROM means m JOIN documents d ON d.doc_id = m.idx
 GROUP BY CUBE (lang, source)"""))

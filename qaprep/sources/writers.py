@@ -35,7 +35,7 @@ def append_metrics(df: DataFrame, path: str, run_id: str, fmt: str = "parquet")
 
 def dataset_stats(df: DataFrame, split_col: str = "type", text_col: str = "relevant_context") -> DataFrame:
     """Per-split row counts and text-length profile (the manifest's body)."""
-    n = F.length(F.col(text_col))
+    n = F.length(F.col(text_col)).cast("long")
     return df.groupBy(F.col(split_col).alias("split")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.min(n).alias("min_context_chars"),
         F.max(n).alias("max_context_chars"), F.sum(n).alias("context_chars"),

@@ -609,6 +609,28 @@ def q_step_plan(spark, d):
     return tokens.step_plan(_batches(spark, d), K.BATCH_SIZE, K.EPOCHS)
 
 
+@query("pack_variants", O.with_(O.base_ctes("corpus") + [("matrix", MATRIX_SQL)], f"""
+SELECT type, CASE family WHEN 'gemma' THEN 'GEMMA' ELSE 'Llama' END AS model,
+       CASE context_kind WHEN 'relevant_context' THEN 'rel_context' WHEN 'wrong_date_context' THEN 'WD_context'
+                         ELSE context_kind END AS context,
+       CAST(sum(len({O.word_tokens_sql("prompt || CASE WHEN ends_with(answer, '</s>') THEN answer ELSE answer || '</s>' END")}) + 1) // {W_PACK} AS BIGINT) AS n_chunks
+FROM matrix WHERE type IN ('train', 'dev')
+GROUP BY type, family, context_kind
+HAVING sum(len({O.word_tokens_sql("prompt || CASE WHEN ends_with(answer, '</s>') THEN answer ELSE answer || '</s>' END")}) + 1) >= {W_PACK}"""))
+def q_pack_variants(spark, d):
+    """Packed sequences per (split, model, context) variant, counted."""
+    from .jobs import FAMILY_NAME, KIND_NAME
+    c = C.corpus(spark, d).where(F.col("type").isin("train", "dev"))
+    ex = prompts.examples(prompts.prompt_matrix(c))
+    fam = F.element_at(F.create_map(*[x for k, v in FAMILY_NAME.items() for x in (F.lit(k), F.lit(v))]), F.col("family"))
+    kind = F.element_at(F.create_map(*[x for k, v in KIND_NAME.items() for x in (F.lit(k), F.lit(v))]),
+                        F.col("context_kind"))
+    t = ex.select("type", fam.alias("model"), kind.alias("context"), seeded_key(["idx"], K.SPLIT_SEED).alias("k"),
+                  tokens.word_tokens(F.col("example")).alias("toks"))
+    p = tokens.pack_sequences(t, "toks", "k", by=["type", "model", "context"], id_fn=tokens.hashed_id)
+    return p.groupBy("type", "model", "context").agg(F.count(F.lit(1)).alias("n_chunks"))
+
+
 # ------------------------------------------------------------------- scores
 
 PRED_CTE = [("pred_windows", O.PRED_WINDOWS)]

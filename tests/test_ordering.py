@@ -82,3 +82,20 @@ def test_split_hash_is_exhaustive(spark):
     s = split_hash(df, ["idx"], 27)
     assert s.count() == 2000
     assert {r["type"] for r in s.select("type").distinct().collect()} == {"train", "dev", "test"}
+
+
+def test_hot_group_spreads_over_buckets(spark):
+    """A group holding 90 % of the rows still splits into even buckets, and the
+    split sizes stay exact per group."""
+    from qaprep.functions.keys import hash_bucket
+    n = 20000
+    df = spark.range(0, n).select(F.col("id").cast("string").alias("idx"),
+                                  F.when(F.col("id") % 10 == 0, "cold").otherwise("hot").alias("src"))
+    k = seeded_key(["idx"], 27)
+    per_bucket = (df.where(F.col("src") == "hot").groupBy(hash_bucket(k, 6).alias("b")).count()
+                  .agg(F.max("count").alias("mx"), F.avg("count").alias("avg")).first())
+    assert per_bucket["mx"] < 1.5 * per_bucket["avg"]
+    s = split_exact(df, ["idx"], 27, by=["src"])
+    counts = {(r["src"], r["type"]): r["count"] for r in s.groupBy("src", "type").count().collect()}
+    assert counts[("hot", "train")] == 18000 - 5400 and counts[("hot", "dev")] == 2700
+    assert counts[("cold", "train")] == 1400 and counts[("cold", "test")] == 300

@@ -12,7 +12,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import hash60
 from .tokens import word_tokens
 
 
@@ -144,14 +143,16 @@ def benchmark_leak(items: DataFrame, docs: DataFrame, n: int = 8, item_key: str
     g = F.when(k >= 3, F.least(k - 2, F.lit(n))).otherwise(F.lit(1))
     probe = F.when(k >= 3, F.array_join(F.slice("_w", 2, g), " ")).otherwise(
         F.element_at(F.array_sort(F.transform("_w", lambda w: F.struct((-F.length(w)).alias("l"), w.alias("w")))), 1)["w"])
-    ig = it.select(item_key, g.alias("g"), hash60(probe).alias("h")).where(F.col("h").isNotNull())
+    # join key: a 64-bit xxhash of the n-gram text (8-byte shuffle key); a
+    # collision only adds a candidate, which the substring check removes
+    ig = it.select(item_key, g.alias("g"), F.xxhash64(probe).alias("h")).where(probe.isNotNull())
     # gram sizes in use: at most n distinct small integers
     sizes = sorted(r[0] for r in ig.select("g").distinct().collect())
     dgs = None
     for size in sizes:
         part = docs.select(doc_key, word_tokens(F.col(text)).alias("_dw")) \
             .select(doc_key, F.explode(shingles(F.col("_dw"), size)).alias("_s")) \
-            .select(doc_key, F.lit(size).alias("g"), hash60(F.col("_s")).alias("h"))
+            .select(doc_key, F.lit(size).alias("g"), F.xxhash64(F.col("_s")).alias("h"))
         dgs = part if dgs is None else dgs.unionByName(part)
     if dgs is None:
         return items.select(item_key, F.lit(None).cast("long").alias(doc_key)).where(F.lit(False))

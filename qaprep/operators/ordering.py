@@ -29,11 +29,6 @@ from pyspark.sql import functions as F
 from ..functions.keys import hash60, hash_bucket
 from ..session import bucket_bits
 
-# group columns passed as ``by`` must be low-cardinality (split, source,
-# type): the broadcast offsets table holds len(groups) * 2**bits rows.
-MAX_GROUPS = 1024
-
-
 def seeded_key(key_cols: Sequence[str | Column], seed) -> Column:
     """60-bit shuffle key: md5 of ``seed:key...``."""
     return hash60(F.lit(str(seed)), *[F.col(c) if isinstance(c, str) else c for c in key_cols])

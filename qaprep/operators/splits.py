@@ -65,7 +65,7 @@ def split_hash(df: DataFrame, key: Sequence[str], seed=SPLIT_SEED, out: str = "t
     expr = None
     acc = 0.0
     for frac, name in zip(fractions[:-1], names[:-1]):
-        acc += frac
+        acc = round(acc + frac, 12)        # 0.7 + 0.15 must be the literal 0.85
         expr = (F.when(u < acc, name) if expr is None else expr.when(u < acc, name))
     expr = expr.otherwise(names[-1]) if expr is not None else F.lit(names[-1])
     return df.withColumn(out, expr)

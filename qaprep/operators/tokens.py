@@ -25,8 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..constants import (ACCUM_TARGET, EOS_ID, FIRST_WORD_ID, PACK_LEN, PAD_ID, PAD_LEN,
-                         VOCAB_SIZE)
+from ..constants import ACCUM_TARGET, EOS_ID, FIRST_WORD_ID, PACK_LEN, PAD_ID, VOCAB_SIZE
 from ..functions.keys import hash60, hash_bucket
 from ..session import bucket_bits
 

@@ -14,10 +14,9 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import dates as D
-from ..functions.keys import hash60
 from ..operators import assemble, evaluate, grid, prompts, requests, splits, tokens
 from ..operators import dates as dops
-from ..operators.ordering import global_index, range_bucket, ring_shift, seeded_key
+from ..operators.ordering import global_index, range_bucket, seeded_key
 from . import corpus as C
 from . import fixtures as fx
 from . import oracle as O
@@ -155,6 +154,16 @@ def q_split_exact(spark, d):
     return C.split(spark, d).select("idx", "source", "type")
 
 
+@query("split_hash", O.with_(O.base_ctes("stacked"), f"""
+SELECT idx, source,
+       CASE WHEN u < 0.7 THEN 'train' WHEN u < 0.85 THEN 'dev' ELSE 'test' END AS type
+FROM (SELECT idx, source, CAST({O.h60("'27:' || idx")} AS DOUBLE) / CAST(1152921504606846976 AS DOUBLE) AS u
+      FROM stacked)"""))
+def q_split_hash(spark, d):
+    """Approximate 70/15/15 by hash range: no shuffle, no count."""
+    return splits.split_hash(C.stacked(spark, d), ["idx"], K.SPLIT_SEED).select("idx", "source", "type")
+
+
 @query("holdout_last", O.with_([("qa_tq", O.QA_TQ)], f"""
 SELECT idx, pos, CASE WHEN pos >= n - 100 THEN 'eval' ELSE 'train' END AS part FROM (
   SELECT idx, row_number() OVER (ORDER BY {O.h60("'27:' || idx")}, idx) - 1 AS pos,

@@ -23,3 +23,19 @@ def test_stream_dedupes_joins_and_resumes(spark, tmp_path):
     run_available(attach_stream(response_stream(spark, log), requests), out, ck)
     got = sorted((r["idx"], r["output"]) for r in spark.read.parquet(out).collect())
     assert got == [("q0", "a0"), ("q1", "a1"), ("q2", "a2")]
+
+
+def test_prompt_stream_equals_batch(spark):
+    from pyspark.sql import functions as F
+    from conftest import SF001
+    from qaprep import constants as K
+    from qaprep.operators import prompts
+    from qaprep.operators.dates import falsify_dates
+    from qaprep.plans import fixtures as fx
+    from qaprep.streaming.queries import q_stream_prompts
+    stream = sorted(tuple(r) for r in q_stream_prompts(spark, SF001).collect())
+    b = fx.qa_tq(spark, SF001)
+    b = falsify_dates(b, "relevant_context", "idx", K.DEFAULT_SEED)
+    batch = sorted(tuple(r) for r in b.select(
+        "idx", prompts.gemma_prompt(F.col("Question"), F.col("wrong_date_context")).alias("prompt")).collect())
+    assert stream == batch and len(batch) > 0

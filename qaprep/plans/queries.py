@@ -196,6 +196,23 @@ def q_irrelevant_context(spark, d):
                     F.col("wd_ic").alias("wd_irrelevant_context"))
 
 
+@query("counterfactual_report", O.with_(O.base_ctes("corpus"), """
+SELECT type, source, count(*) AS n,
+       count(*) FILTER (WHERE random_context = relevant_context) AS random_equals_relevant,
+       count(*) FILTER (WHERE random_context IS NULL) AS random_missing,
+       count(*) FILTER (WHERE wrong_date_context = relevant_context) AS wrong_date_unchanged
+FROM corpus GROUP BY type, source"""))
+def q_counterfactual_report(spark, d):
+    """Per split and source: how often a counterfactual context is no
+    counterfactual (same passage as the neighbour's, or no date changed)."""
+    c = C.corpus(spark, d)
+    return c.groupBy("type", "source").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(F.when(F.col("random_context") == F.col("relevant_context"), 1)).alias("random_equals_relevant"),
+        F.count(F.when(F.col("random_context").isNull(), 1)).alias("random_missing"),
+        F.count(F.when(F.col("wrong_date_context") == F.col("relevant_context"), 1)).alias("wrong_date_unchanged"))
+
+
 # -------------------------------------------------------------------- dates
 
 @query("extract_dates", O.with_(O.base_ctes("stacked"), f"""

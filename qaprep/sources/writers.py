@@ -9,8 +9,14 @@ from pyspark.sql import functions as F
 
 
 def write_splits(df: DataFrame, path: str, fmt: str = "parquet", split_col: str = "type",
-                 mode: str = "overwrite") -> None:
-    """One directory per split value; CSV gets a header and full quoting."""
+                 mode: str = "overwrite", index_col: str | None = None) -> None:
+    """One directory per split value; CSV gets a header and full quoting.
+
+    ``index_col`` (e.g. the position within the split) is written as the
+    leading column, as the original split files carry their row index first.
+    """
+    if index_col:
+        df = df.select(index_col, *[c for c in df.columns if c != index_col])
     w = df.write.mode(mode).partitionBy(split_col)
     if fmt == "csv":
         w = w.option("header", True).option("quoteAll", True).option("escape", '"')

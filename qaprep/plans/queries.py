@@ -602,6 +602,17 @@ def _packed(spark, d):
     return tokens.pack_sequences(t, "toks", "k", id_fn=tokens.hashed_id)
 
 
+@query("token_offsets", O.with_(PACK_CTES[:2], "SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_tokens, st AS start FROM off"))
+def q_token_offsets(spark, d):
+    """Start of every document (its words + EOS) on the global token axis in
+    seeded order: the running offset packing cuts."""
+    docs = fx.table(spark, d, "documents")
+    t = docs.select("doc_id", tokens.word_tokens(F.col("text")).alias("toks"),
+                    seeded_key(["doc_id"], 42).alias("k"))
+    o = tokens.token_offsets(t, "k", F.size("toks") + 1)
+    return o.select("doc_id", F.col("_len").alias("n_tokens"), "start")
+
+
 @query("pack_sequences", PACK_SQL)
 def q_pack_sequences(spark, d):
     p = _packed(spark, d)

@@ -54,3 +54,26 @@ QUERIES = {
     "stream_responses": q_stream_responses,
     "stream_prompts": q_stream_prompts,
 }
+
+
+def _sql() -> dict[str, str]:
+    """The streams' results are SQL-expressible (a stream run must equal
+    the batch answer), so both get a DuckDB oracle."""
+    from ..constants import GEMMA_EOT, GEMMA_MODEL, GEMMA_USER
+    from ..plans import oracle as O
+
+    def lit(x: str) -> str:
+        return " || chr(10) || ".join("'" + p.replace("'", "''") + "'" for p in x.split("\n"))
+
+    prompt = (f"{lit(GEMMA_USER + chr(10))} || wrong_date_context || chr(10) || chr(10) || question || "
+              f"{lit(GEMMA_EOT + chr(10) + GEMMA_MODEL)}")
+    return {
+        "stream_responses": O.with_([("qa_tq", O.QA_TQ), ("responses", O.RESPONSES)], """
+SELECT t.idx, r.i, r.output FROM qa_tq t JOIN (SELECT DISTINCT i, output FROM responses) r ON r.i = t.pos"""),
+        "stream_prompts": O.with_([("qa_tq", O.QA_TQ)], f"""
+SELECT idx, {prompt} AS prompt FROM (
+  SELECT idx, Question AS question, {O.falsify_sql('relevant_context', 'idx')} AS wrong_date_context FROM qa_tq)"""),
+    }
+
+
+SQL = _sql()

@@ -1,4 +1,5 @@
-"""Streaming queries (rows-only check: no SQL oracle for a stream run).
+"""Streaming queries; their DuckDB oracles state the batch answer a stream
+run must reproduce.
 
 ``stream_responses``: a response log derived from ``documents`` is written
 as JSON-lines parts (twice, to simulate re-sent answers), ingested by the

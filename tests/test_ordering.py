@@ -99,3 +99,29 @@ def test_hot_group_spreads_over_buckets(spark):
     counts = {(r["src"], r["type"]): r["count"] for r in s.groupBy("src", "type").count().collect()}
     assert counts[("hot", "train")] == 18000 - 5400 and counts[("hot", "dev")] == 2700
     assert counts[("cold", "train")] == 1400 and counts[("cold", "test")] == 300
+
+
+def test_ring_groups_sparse_buckets_brute_force(spark):
+    """Groups, gaps between bucket ids and one-row buckets vs a Python ring."""
+    import random
+    rnd = random.Random(5)
+    rows = [(k, f"g{rnd.randint(0, 3)}", f"v{k}") for k in range(400)]
+    rows += [(1000, "solo", "only")]                         # a group of one row
+    df = spark.createDataFrame(rows, "k long, g string, v string")
+    bucket = (F.col("k") * F.col("k") / 997).cast("int") * 3     # uneven, gapped buckets
+    nxt = ring_shift(df, "v", -1, order=["k"], by=["g"], bucket=bucket, out="s").collect()
+    prv = ring_shift(df, "v", 1, order=["k"], by=["g"], bucket=bucket, out="s").collect()
+    leg = ring_shift_legacy(df, "v", order=["k"], by=["g"], bucket=bucket, out="s").collect()
+    groups = {}
+    for k, g, v in sorted(rows):
+        groups.setdefault(g, []).append((k, v))
+    want_n, want_p, want_l = {}, {}, {}
+    for g, items in groups.items():
+        n = len(items)
+        for i, (k, v) in enumerate(items):
+            want_n[k] = items[(i + 1) % n][1] if n > 1 else None
+            want_p[k] = items[(i - 1) % n][1] if n > 1 else None
+            want_l[k] = (v if n == 1 else items[-1][1]) if i == 0 else (None if i == n - 1 else items[i + 1][1])
+    assert {r["k"]: r["s"] for r in nxt} == want_n
+    assert {r["k"]: r["s"] for r in prv} == want_p
+    assert {r["k"]: r["s"] for r in leg} == want_l

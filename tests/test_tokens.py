@@ -72,3 +72,17 @@ def test_tokenize_with_hook(spark):
     df = spark.createDataFrame([("ab cd",), ("e",)], "text string")
     out = T.tokenize_with(df, "text", lambda: (lambda texts: [[len(w) for w in t.split()] for t in texts]))
     assert sorted(r["input_ids"] for r in out.collect()) == [[1], [2, 2]]
+
+
+def test_pack_groups_brute_force(spark):
+    rows = [(f"d{i}", "a" if i % 3 else "b", [i * 100 + j for j in range((i * 5) % 13 + 1)]) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc string, grp string, ids array<int>").withColumn("k", seeded_key(["doc"], 9))
+    L = 8
+    got = T.pack_sequences(df, "ids", "k", seq_len=L, by=["grp"], eos_id=-1).collect()
+    keyed = {r["doc"]: r["k"] for r in df.select("doc", "k").collect()}
+    for g in ("a", "b"):
+        items = sorted((keyed[d], ids) for d, gg, ids in rows if gg == g)
+        flat = [t for _, ids in items for t in ids + [-1]]
+        want = [flat[i:i + L + 1] for i in range(0, len(flat) - L, L + 1)]
+        mine = sorted((r["chunk_id"], r["input_ids"], r["labels"]) for r in got if r["grp"] == g)
+        assert [(m[1], m[2]) for m in mine] == [(w[:-1], w[1:]) for w in want]

@@ -11,7 +11,8 @@ on *order buckets*:
    ``k`` (top hash bits, or frozen quantile boundaries) — never the partition
    id, which can change when a task is retried;
 3. per-bucket counts -> prefix offsets: a table of at most
-   ``groups x 2**bits`` small rows, hence safe to broadcast;
+   ``groups x 2**bits`` small rows (broadcast when there are no groups,
+   otherwise joined on the window's own partitioning);
 4. ``pos = off + row_number() over (partition by group, b order by k) - 1``.
 
 The row data is shuffled once (by bucket); only the tiny count table goes
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import hash60, hash_bucket
 from ..session import bucket_bits
 
+
 def seeded_key(key_cols: Sequence[str | Column], seed) -> Column:
     """60-bit shuffle key: md5 of ``seed:key...``."""
     return hash60(F.lit(str(seed)), *[F.col(c) if isinstance(c, str) else c for c in key_cols])
@@ -38,8 +40,9 @@ def range_bucket(df: DataFrame, col: str, n_buckets: int, rel_error: float = 1e-
     """Order-preserving bucket expression for a numeric natural-order column.
 
     Boundaries come from one ``approxQuantile`` pass and are frozen as
-    literals, so the expression is deterministic on retry.  Returns a
-    function that adds column ``out`` to a DataFrame.
+    literals, so the expression is deterministic on retry.  The cast to
+    double is monotone, so the buckets stay order-preserving even for keys
+    beyond 2**53.  Returns a function that adds column ``out`` to a DataFrame.
     """
     probs = [i / n_buckets for i in range(1, n_buckets)]
     qs = df.approxQuantile(col, probs, rel_error) if n_buckets > 1 else []

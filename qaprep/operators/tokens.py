@@ -152,8 +152,8 @@ def token_offsets(df: DataFrame, order_key: str, length: Column, by: Sequence[st
                   bits: int | None = None) -> DataFrame:
     """Start of each row on a global token axis ordered by a 60-bit hash key.
 
-    Weighted version of ``global_index``: bucket sums -> broadcast prefix
-    offsets -> running sum inside the bucket.
+    Weighted version of ``global_index``: bucket sums -> prefix offsets
+    (broadcast when ungrouped) -> running sum inside the bucket.
     """
     spark = df.sparkSession
     bits = bits or bucket_bits(spark)

@@ -73,3 +73,12 @@ def test_results_invariant_to_input_file_layout(spark, tmp_path):
         a = sorted(tuple(r) for r in q[name](spark, SF001).collect())
         b = sorted(tuple(r) for r in q[name](spark, str(d)).collect())
         assert a == b, name
+
+
+def test_registered_queries_stay_in_the_jvm(spark):
+    """Python runs only behind the opt-in hooks, never in a registered query."""
+    import __spark_entry__ as E
+    for name, fn in E.queries().items():
+        plan = _plan(fn(spark, SF001))
+        assert not re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas|PythonUDF|FlatMapGroupsInPandas",
+                             plan), name

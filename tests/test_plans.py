@@ -82,3 +82,9 @@ def test_registered_queries_stay_in_the_jvm(spark):
         plan = _plan(fn(spark, SF001))
         assert not re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas|PythonUDF|FlatMapGroupsInPandas",
                              plan), name
+
+
+def test_every_query_has_an_oracle():
+    import __spark_entry__ as E
+    assert set(E.queries()) == set(E.oracle_sql())
+    assert all(sql.strip() for sql in E.oracle_sql().values())

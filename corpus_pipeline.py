@@ -8,12 +8,16 @@ returns a DataFrame.  All but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from qaprep.llm import decontaminate, repeats, simhash
+from qaprep.llm import decontaminate, language, packing, repeats, simhash
 from qaprep.llm.shared import materialize, table
 
 
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language (no letter), or with none that clearly leads, go."""
+    return language.keep_identified(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays: the smallest id."""
     return simhash.keep_one(docs, simhash.simhash_groups(docs))
@@ -29,10 +33,17 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def packed_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all remaining documents in windows of 2048 tokens."""
+    return packing.pack_documents(docs)
+
+
 STAGES = [
+    ("language_id", languages),
     ("simhash_dedup", near_duplicates),
     ("suffix_dedup", repeated_passages),
     ("decontamination", benchmark_passages),
+    ("packing", packed_windows),
 ]
 
 #: SimHash components, byte-level repeats, tokenizer and language model are beyond SQL

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, repeats, simhash
+from . import decontaminate, language, packing, repeats, simhash, toxicity
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,18 +25,36 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op1_toxicity")
+def op1_toxicity(spark, d):
+    """Toxicity score of every document."""
+    return toxicity.score_documents(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 @query("op4_simhash")
 def op4_simhash(spark, d):
     """SimHash components of all documents."""
     return simhash.simhash_groups(table(spark, d, "documents"))
 
 
+@query("op6_language")
+def op6_language(spark, d):
+    """Language of every document."""
+    return language.language_of_documents(table(spark, d, "documents"))
+
+
 @query("op7_suffix_dedup")
 def op7_suffix_dedup(spark, d):
     """Bytes of all documents that repeated 200-byte strings cover."""
     return repeats.deduplicate(table(spark, d, "documents")).drop("spans", "kept_text")
 
 
+@query("op8_packing")
+def op8_packing(spark, d):
+    """Pieces of all documents in windows of 2048 tokens."""
+    return packing.pack_documents(table(spark, d, "documents"))
+
+
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
          r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 

@@ -420,7 +420,7 @@ def _whole_characters(text: bytes, spans: list) -> list:
 
 
 def _per_document(spans: DataFrame) -> DataFrame:
-    return spans.groupBy("doc_id", "th").agg(F.array_distinct(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    return spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

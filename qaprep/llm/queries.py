@@ -9,7 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, packing, repeats, simhash, toxicity
+from . import (decontaminate, html_text, language, packing, quality_rules, quality_sites, repeats, simhash, toxicity,
+               warc)
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,12 +32,58 @@ def op1_toxicity(spark, d):
     return toxicity.score_documents(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+_LINES = "list_filter(string_split(t, chr(10)), lambda s: regexp_matches(s, '[^\\x20\\x09-\\x0D]'))"
+
+
+@query("op2_quality_rules", f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w, {_LINES} AS lines FROM d),
+g AS (SELECT rid, s, array_to_string(w[s:s + 4], ' ') AS g
+      FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS s FROM w WHERE len(w) >= 5)),
+dup AS (SELECT rid, s FROM (SELECT rid, s, count(*) OVER (PARTITION BY rid, g) AS n FROM g) WHERE n > 1),
+rep AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(s, s + 5)) AS p FROM dup) GROUP BY rid),
+m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g')) AS word_chars,
+  length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+  len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+  len(list_filter(lines, lambda s: regexp_matches(s, '^[\\x20\\x09]*[-*\\x{{2022}}]'))) AS n_bullet_lines,
+  len(list_filter(lines, lambda s: regexp_matches(s, '(\\.\\.\\.|\\x{{2026}})[\\x20\\x09\\x0D]*$'))) AS n_ellipsis_lines,
+  len(list_filter(w, lambda x: x IN ({', '.join(repr(s) for s in quality_rules.STOP_FORMS)}))) AS n_stop_words,
+  coalesce(rep.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN rep USING (rid))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND {quality_rules.rules_sql()} AS kept
+FROM m""")
+def op2_quality_rules(spark, d):
+    """Quality rules of every document."""
+    return quality_rules.apply_rules(table(spark, d, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op3_html_text")
+def op3_html_text(spark, d):
+    """Main text of every page."""
+    return html_text.extract(table(spark, d, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query("op4_simhash")
 def op4_simhash(spark, d):
     """SimHash components of all documents."""
     return simhash.simhash_groups(table(spark, d, "documents"))
 
 
+@query("op5_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+f AS (SELECT html, min(page_id) AS first FROM p WHERE octet_length(encode(html)) >= 100 GROUP BY html)
+SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN first IS NOT NULL AND first IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (html)""")
+def op5_warc(spark, d):
+    """All pages written as WARC archives and read back."""
+    return warc.round_trip(spark, table(spark, d, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op6_language")
 def op6_language(spark, d):
     """Language of every document."""
@@ -55,6 +102,12 @@ def op8_packing(spark, d):
     return packing.pack_documents(table(spark, d, "documents"))
 
 
+@query("op10_quality_sites")
+def op10_quality_sites(spark, d):
+    """Quality of every document by its text, source and language section."""
+    return quality_sites.score_documents(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
          r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 

@@ -1,60 +1,93 @@
-"""Connected components of a distributed edge table (large-star / small-star).
+"""Connected components of a distributed edge table.
 
-Every round is two grouped minima and two joins on the node id; nothing but
-two totals per round reaches the driver.  A hub node may own any share of the
-edges: minima are combined before the shuffle and the join back is salted.
+Rounds of contraction: edges are dealt to tasks by node, and each task replaces
+its edges by a star to the smallest node of every group that they connect.  A
+round deals each edge by both ends (every node meets all its neighbours), then by
+its larger end (every node keeps one parent).  The rounds end when the edges stop
+changing: then each component is one star.  Only two totals a round reach the
+driver.
+
+The number of tasks follows the number of edges, and a task contracts blocks of
+``BLOCK`` edges, so a hub node with any share of the edges needs no more memory.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialize
-
-#: rows of one node are dealt to so many tasks in the join back
-SALTS = 8
+from .shared import batch, materialize, ship
 
+#: edges that a task contracts at once, and edges per task
+BLOCK = 1 << 18
 
-def _least_neighbour(edges: DataFrame) -> DataFrame:
-    """(u, v, m): every edge with the smallest of u and u's neighbours."""
-    low = edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    low = low.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return edges.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(low, ["u", "s"])
+_EDGES = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return (_least_neighbour(both).where("v > u AND v != m")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node of its group) for the groups that the links a-b connect."""
+    nodes, ids = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ids[:len(a)], ids[len(a):]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[x], label[y])
+        new = label.copy()
+        for at in (x, y, label[x], label[y]):
+            np.minimum.at(new, at, low)
+        new = new[new]
+        if np.array_equal(new, label):
+            break
+        label = new
+    leaf = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[leaf], nodes[label[leaf]]
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    # edges point from the larger to the smaller node here
-    linked = _least_neighbour(edges)
-    return (linked.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(linked.select("u", F.col("m").alias("v"))).distinct())
+def _contract(batches):
+    held, size = [], 0
 
+    def stars():
+        a, b = (np.concatenate(c) for c in zip(*held))
+        leaf, root = forest(a, b)
+        if len(leaf):
+            yield batch(_EDGES, leaf, root)
 
-def _totals(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return r[0], r[1]
+    for t in batches:
+        a, b = (np.asarray(t.column(t.schema.get_field_index(c))).astype(np.int64) for c in ("u", "v"))
+        held.append((a, b))
+        size += len(a)
+        if size >= BLOCK:
+            yield from stars()
+            held, size = [], 0
+    if size:
+        yield from stars()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, root): each node of ``edges`` (columns u, v; any order, repeats
-    and loops allowed) with the smallest node that it can reach.
+    """(node, root): each node of ``edges`` (columns u, v; any order, repeats and
+    loops allowed) with the smallest node that it can reach.
+
+    An edge with a null end is ignored; a node whose only edges are loops is not
+    listed; an empty table gives an empty result."""
+    spark = edges.sparkSession
+    ship(spark)
+
+    def totals(e):
+        r = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        return r[0], r[1]
 
-    Rounds end when the edge table stops changing: then it holds one star per
-    component.  An edge with a null end is ignored; an empty table gives an
-    empty result."""
     e = (edges.where("u IS NOT NULL AND v IS NOT NULL AND u != v")
          .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     e = materialize(e, "edges")
-    seen = _totals(e)
+    seen = totals(e)
     while seen[0]:
-        e = materialize(_small_star(_large_star(e)), "edges")
-        now = _totals(e)
+        tasks = -(-seen[0] // BLOCK)
+        ends = F.explode(F.array("u", "v")).alias("k")
+        met = e.select("u", "v", ends).repartition(tasks, "k").mapInArrow(_contract, "u BIGINT, v BIGINT")
+        kept = met.repartition(tasks, "u").mapInArrow(_contract, "u BIGINT, v BIGINT")
+        e = materialize(kept.distinct(), "edges")
+        now = totals(e)
         if now == seen:
             break
         seen = now

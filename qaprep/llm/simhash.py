@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import connected_components
+from .components import connected_components, forest
 from .shared import batch, chunks, materialize, ship
 
 #: words in a shingle and largest number of differing bits (fixed by the contract)
@@ -102,26 +102,6 @@ def _replicate(batches):
             yield batch(schema, anchor.astype(np.int64) | (side << 32), fp[row].view(np.int64), home)
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A star for each connected group of the links a-b."""
-    nodes, ids = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = ids[:len(a)], ids[len(a):]
-    label = np.arange(len(nodes))
-    while True:
-        low = np.minimum(label[x], label[y])
-        new = label.copy()
-        np.minimum.at(new, x, low)
-        np.minimum.at(new, y, low)
-        np.minimum.at(new, label[x], low)
-        np.minimum.at(new, label[y], low)
-        new = new[new]
-        if np.array_equal(new, label):
-            break
-        label = new
-    leaf = np.flatnonzero(label != np.arange(len(nodes)))
-    return nodes[leaf], nodes[label[leaf]]
-
-
 def _links_per_group(batches, keys: list[str], max_bits: int):
     """Spanning links of each group of consecutive rows with equal ``keys``."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
@@ -146,7 +126,7 @@ def _links_per_group(batches, keys: list[str], max_bits: int):
             j = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w) + np.repeat(first[group[h]], w)
             ok = (np.bitwise_count(fp[i] ^ fp[j]) <= max_bits) & (fp[i] != fp[j])
             if ok.any():
-                yield batch(schema, *(x.view(np.int64) for x in _forest(fp[i[ok]], fp[j[ok]])))
+                yield batch(schema, *(x.view(np.int64) for x in forest(fp[i[ok]], fp[j[ok]])))
             at = to
 
     held = None

@@ -82,3 +82,20 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7), (None, 3)], "u long, v long")
     got = {r.node: r.root for r in components.connected_components(edges).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+
+
+def test_components_equal_union_find_with_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(components, "BLOCK", 40)  # several tasks a round
+    rnd = random.Random(8)
+    edges = [(rnd.randrange(400), rnd.randrange(400)) for _ in range(330)] + [(500, i) for i in range(600, 900)]
+    low = {x: x for e in edges for x in e}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            m = min(low[a], low[b])
+            changed |= low[a] != m or low[b] != m
+            low[a] = low[b] = m
+    got = components.connected_components(spark.createDataFrame(edges, "u long, v long"))
+    loops = {a for a, b in edges if a == b} - {x for a, b in edges if a != b for x in (a, b)}
+    assert {r.node: r.root for r in got.collect()} == {k: v for k, v in low.items() if k not in loops}

@@ -118,17 +118,21 @@ def posteriors(scores, first, trans, start) -> np.ndarray:
 
 # ------------------------------------------------------------------- fitting
 
-def labelled_sample(rows: DataFrame, label: str, per_label: int, max_labels: int) -> list:
-    """At most about ``per_label`` rows of each of the ``max_labels`` most frequent
-    labels, picked by a hash of the text (column ``text``)."""
+def labelled_sample(rows: DataFrame, label: str, per_label: int | dict, max_labels: int) -> tuple[list, dict]:
+    """(rows, share of each label that was taken): about ``per_label`` rows at most of each of
+    the ``max_labels`` most frequent labels, picked by a hash of the text (column ``text``)."""
     sizes = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), label).limit(max_labels)
-    share = {r[label]: min(1.0, per_label / r["n"]) for r in sizes.collect()}
+    bound = per_label if isinstance(per_label, dict) else {}
+    sizes = {r[label]: r["n"] for r in sizes.collect()}
+    most = {k: bound[k] if bound else per_label for k in sizes}
+    share = {k: min(1.0, most[k] / n) for k, n in sizes.items()}
     if not share:
-        return []
+        return [], {}
     low = F.create_map(*(F.lit(v) for kv in share.items() for v in kv))
     spot = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    picked = rows.where(spot < low[F.col(label)])
-    return picked.limit(2 * per_label * max_labels).collect()
+    # texts that repeat fall into or out of the sample together, so its size is bounded once more
+    picked = rows.where(spot < low[F.col(label)]).limit(2 * sum(most.values()))
+    return picked.collect(), share
 
 
 def _sequences(texts: list[tuple[bytes, int]], rnd: np.random.Generator):
@@ -200,7 +204,7 @@ def fit(texts: list[tuple[bytes, str]], epochs: int = 4, seed: int = 7) -> dict[
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_lang: int = SAMPLE_PER_LANG) -> dict:
     """Model from a bounded sample of the labelled rows of ``docs``."""
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    got = labelled_sample(rows.where("text IS NOT NULL AND lang IS NOT NULL"), "lang", per_lang, MAX_LANGS)
+    got, _ = labelled_sample(rows.where("text IS NOT NULL AND lang IS NOT NULL"), "lang", per_lang, MAX_LANGS)
     texts = sorted((r["text"].encode(), r["lang"]) for r in got)
     return fit(texts) if texts else {}
 

@@ -28,7 +28,7 @@ from .shared import (NON_SPACE, byte_set, chunks, held_out_column, lower_ascii,
                      ship, span_hash, unpack_model, word_bounds)
 
 #: labelled rows of either class for the classifier; weight of an unlabelled document in its site
-SAMPLE_ROWS, SOFT = 10_000, 0.25
+SAMPLE_ROWS, SOFT = 2000, 0.25
 #: bounds of a prior's strength, in documents
 STRENGTH = (2.0, 1e5)
 CHUNK = 1 << 20
@@ -70,11 +70,17 @@ def _design(x: np.ndarray, mean: np.ndarray, sd: np.ndarray) -> np.ndarray:
     return np.concatenate([np.ones((len(z), 1)), z, z * z], 1)
 
 
-def fit(texts: list[bytes], good: list[int], rounds: int = 25) -> dict[str, np.ndarray]:
-    """Ridge logistic regression by Newton's method."""
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    x = text_features(data, np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64))
+def fit(texts: list[bytes], good: list[int], share: dict | None = None, rounds: int = 25) -> dict[str, np.ndarray]:
+    """Ridge logistic regression by Newton's method; rows weigh by the part of their class that was sampled."""
+    x = []
+    for at in range(0, len(texts), 100):
+        some = texts[at:at + 100]
+        offs = np.concatenate([[0], np.cumsum([len(t) for t in some])]).astype(np.int64)
+        x.append(text_features(np.frombuffer(b"".join(some), np.uint8), offs))
+    x = np.concatenate(x)
     y = np.array(good, np.float64)
+    weight = np.array([1 / (share or {}).get(int(g), 1.0) for g in good])
+    weight /= weight.mean()
     mean, sd = x.mean(0), x.std(0) + 1e-6
     a = _design(x, mean, sd)
     w = np.zeros(a.shape[1])
@@ -82,8 +88,8 @@ def fit(texts: list[bytes], good: list[int], rounds: int = 25) -> dict[str, np.n
     ridge[0] = 1e-3
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        g = a.T @ (y - p) - ridge * w
-        hess = (a * (p * (1 - p) + 1e-6)[:, None]).T @ a + np.diag(ridge)
+        g = a.T @ (weight * (y - p)) - ridge * w
+        hess = (a * (weight * p * (1 - p) + 1e-6)[:, None]).T @ a + np.diag(ridge)
         step = np.linalg.solve(hess, g)
         w += step
         if np.abs(step).max() < 1e-8:
@@ -163,8 +169,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
              .groupBy("__id").agg(F.avg("y").alias("y")))
     learn = src.where("NOT held_out AND text IS NOT NULL").join(marks, F.col("doc_id") == F.col("__id")) \
         .select("text", F.col("y").cast("int").alias("y"))
-    got = sorted((r["text"], r["y"]) for r in labelled_sample(learn, "y", sample, 2))
-    model = fit([t.encode() for t, _ in got], [y for _, y in got]) if got else {}
+    got, share = labelled_sample(learn, "y", sample, 2)
+    got = sorted((r["text"], r["y"]) for r in got)
+    model = fit([t.encode() for t, _ in got], [y for _, y in got], share) if got else {}
     sent = spark.sparkContext.broadcast(pack_model(model) if model else b"")
 
     def run(batches):

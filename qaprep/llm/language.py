@@ -118,21 +118,30 @@ def posteriors(scores, first, trans, start) -> np.ndarray:
 
 # ------------------------------------------------------------------- fitting
 
-def labelled_sample(rows: DataFrame, label: str, per_label: int | dict, max_labels: int) -> tuple[list, dict]:
+def bounded_sample(rows: DataFrame, label: str, key: str, per_label: int | dict,
+                   max_labels: int) -> tuple[DataFrame, dict]:
     """(rows, share of each label that was taken): about ``per_label`` rows at most of each of
-    the ``max_labels`` most frequent labels, picked by a hash of the text (column ``text``)."""
-    sizes = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), label).limit(max_labels)
-    bound = per_label if isinstance(per_label, dict) else {}
-    sizes = {r[label]: r["n"] for r in sizes.collect()}
-    most = {k: bound[k] if bound else per_label for k in sizes}
-    share = {k: min(1.0, most[k] / n) for k, n in sizes.items()}
+    the ``max_labels`` most frequent labels, picked by a hash of column ``key``."""
+    found = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), label).limit(max_labels).collect()
+    most = {r[label]: per_label[r[label]] if isinstance(per_label, dict) else per_label for r in found}
+    share = {r[label]: min(1.0, most[r[label]] / r["n"]) for r in found}
     if not share:
-        return [], {}
+        return rows.limit(0), {}
     low = F.create_map(*(F.lit(v) for kv in share.items() for v in kv))
-    spot = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    # texts that repeat fall into or out of the sample together, so its size is bounded once more
-    picked = rows.where(spot < low[F.col(label)]).limit(2 * sum(most.values()))
-    return picked.collect(), share
+    spot = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
+    # keys that repeat fall into or out of the sample together, so its size is bounded once more
+    return rows.where(spot < low[F.col(label)]).limit(2 * sum(most.values())), share
+
+
+def sampled_texts(docs: DataFrame, marks: DataFrame, label: str, per_label: int | dict) -> tuple[list, dict]:
+    """Bounded labelled sample of ``docs``: (rows of docs with ``label``, share of each label).
+
+    ``marks`` (__id, label) is sampled by itself; the ids, no more than twice the
+    bound, are broadcast to the scan of ``docs``, whose texts are never shuffled."""
+    picked, share = bounded_sample(marks, label, "__id", per_label, 2)
+    bound = 4 * (sum(per_label.values()) if isinstance(per_label, dict) else 2 * per_label)
+    rows = docs.join(F.broadcast(picked), F.col("doc_id") == F.col("__id")).drop("__id", "doc_id")
+    return rows.limit(bound).collect(), share
 
 
 def _sequences(texts: list[tuple[bytes, int]], rnd: np.random.Generator):
@@ -204,8 +213,8 @@ def fit(texts: list[tuple[bytes, str]], epochs: int = 4, seed: int = 7) -> dict[
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_lang: int = SAMPLE_PER_LANG) -> dict:
     """Model from a bounded sample of the labelled rows of ``docs``."""
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    got, _ = labelled_sample(rows.where("text IS NOT NULL AND lang IS NOT NULL"), "lang", per_lang, MAX_LANGS)
-    texts = sorted((r["text"].encode(), r["lang"]) for r in got)
+    got, _ = bounded_sample(rows.where("text IS NOT NULL AND lang IS NOT NULL"), "lang", "text", per_lang, MAX_LANGS)
+    texts = sorted((r["text"].encode(), r["lang"]) for r in got.collect())
     return fit(texts) if texts else {}
 
 

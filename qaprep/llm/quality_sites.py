@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .language import labelled_sample
+from .language import sampled_texts
 from .shared import (NON_SPACE, byte_set, chunks, held_out_column, lower_ascii, materialize, pack_model, prefix_hash,
                      ship, span_hash, unpack_model, word_bounds)
 
@@ -167,9 +167,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     marks = (labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("double").alias("y"))
              .where("y IN (0, 1) AND __id IS NOT NULL").where(~held_out_column("__id"))
              .groupBy("__id").agg(F.avg("y").alias("y")))
-    learn = src.where("NOT held_out AND text IS NOT NULL").join(marks, F.col("doc_id") == F.col("__id")) \
-        .select("text", F.col("y").cast("int").alias("y"))
-    got, share = labelled_sample(learn, "y", sample, 2)
+    learn = src.where("NOT held_out AND text IS NOT NULL").select("doc_id", "text")
+    got, share = sampled_texts(learn, marks.withColumn("y", F.col("y").cast("int")), "y", sample)
     got = sorted((r["text"], r["y"]) for r in got)
     model = fit([t.encode() for t, _ in got], [y for _, y in got], share) if got else {}
     sent = spark.sparkContext.broadcast(pack_model(model) if model else b"")

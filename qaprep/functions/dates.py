@@ -20,11 +20,17 @@ from .keys import hash60
 
 MONTH_ALT = "|".join(MONTHS)
 
-# A mention: a year range, an optional-day month-year form, or a bare year.
-# ASCII classes and no look-around so RE2 (DuckDB) and Java agree.
+_YEAR = r"[0-9]{4}(?:(?:-|–)[0-9]{2,4})?"
+# a month with its day, either way round
+_MONTH_DAY = r"(?:[0-9]{1,2} (?:of )?(?:" + MONTH_ALT + r")|(?:" + MONTH_ALT + r") [0-9]{1,2})"
+
+# A mention: a year range; a month with a day, or a range of such days, with or
+# without a year; a month with a year; or a bare year.  ASCII classes and no
+# look-around so RE2 (DuckDB) and Java agree.
 DATE_RX = (
     r"\b(?:[0-9]{4}(?:-|–)[0-9]{2,4}"
-    r"|(?:[0-9]{1,2} )?(?:" + MONTH_ALT + r")(?: [0-9]{1,2},)?(?: of)? [0-9]{4}(?:(?:-|–)[0-9]{2,4})?"
+    r"|" + _MONTH_DAY + r"(?:(?: to | and | ?(?:-|–) ?)(?:" + _MONTH_DAY + r"|[0-9]{1,2}))?(?:,?(?: of)? " + _YEAR + r")?"
+    r"|(?:" + MONTH_ALT + r")(?: of)? " + _YEAR +
     r"|[0-9]{4})\b"
 )
 

@@ -38,8 +38,8 @@ def with_prediction(df: DataFrame, logits: str = "mean_logits", out: str = "pred
     return df.withColumn(out, argmax(F.col(logits)))
 
 
-def confusion(df: DataFrame, label: str = "label", pred: str = "pred") -> DataFrame:
-    return df.groupBy(label, pred).agg(F.count(F.lit(1)).alias("n"))
+def confusion(df: DataFrame, label: str = "label", pred: str = "pred", by: Sequence[str] = ()) -> DataFrame:
+    return df.groupBy(*by, label, pred).agg(F.count(F.lit(1)).alias("n"))
 
 
 def f1_scores(df: DataFrame, label: str = "label", pred: str = "pred",
@@ -47,7 +47,7 @@ def f1_scores(df: DataFrame, label: str = "label", pred: str = "pred",
     """Binary F1 (positive = 1), macro F1 over labels in truth or prediction,
     and accuracy, per ``by`` group.  F1 of a class without support is 0."""
     by = list(by)
-    cm = df.groupBy(*by, label, pred).agg(F.count(F.lit(1)).alias("n"))
+    cm = confusion(df, label, pred, by)
     # per class: tp, predicted, actual
     cls = (cm.select(*by, F.col(label).alias("c"), F.col("n").alias("actual"),
                      F.lit(0).cast("long").alias("predicted"),
@@ -96,17 +96,24 @@ def validation_loss(df: DataFrame, batch: str = "batch", loss: str = "loss",
 
 
 def normalise(c: Column) -> Column:
-    """lower, strip punctuation, collapse whitespace, trim."""
+    """lower, punctuation to spaces (letters, marks and digits of any script stay),
+    collapse whitespace, trim."""
     x = F.lower(c)
-    x = F.regexp_replace(x, r"[^a-z0-9\s]", " ")
+    x = F.regexp_replace(x, r"[^\p{L}\p{M}\p{N}\s]", " ")
     return F.trim(F.regexp_replace(x, r"\s+", " "))
 
 
 def score_answers(df: DataFrame, pred: str = "prediction", gold: str = "answer") -> DataFrame:
-    """Exact and contains match after normalisation."""
-    p, g = normalise(F.col(pred)), normalise(F.col(gold))
-    return (df.withColumn("exact", (p == g))
-              .withColumn("contains", (g != "") & F.instr(p, g).cast("boolean")))
+    """Exact and contains match after normalisation, any of the gold answers.
+
+    ``gold`` is a text or an array of texts.  A gold answer that normalises to
+    nothing matches nothing; a null prediction or gold matches nothing."""
+    golds = F.col(gold) if df.schema[gold].dataType.simpleString().startswith("array") else F.array(F.col(gold))
+    d = df.withColumn("_p", normalise(F.col(pred))).withColumn(
+        "_g", F.filter(F.transform(golds, normalise), lambda g: g.isNotNull() & (g != "")))
+    return (d.withColumn("exact", F.coalesce(F.exists("_g", lambda g: g == F.col("_p")), F.lit(False)))
+             .withColumn("contains", F.coalesce(F.exists("_g", lambda g: F.instr(F.col("_p"), g) > 0), F.lit(False)))
+             .drop("_p", "_g"))
 
 
 def answer_in_prompt(df: DataFrame, prompt: str = "prompt", answer: str = "answer") -> DataFrame:
@@ -125,42 +132,61 @@ def shingles(words: Column, n: int) -> Column:
     return F.array_distinct(F.when(k > 0, grams).otherwise(F.array().cast("array<string>")))
 
 
-def benchmark_leak(items: DataFrame, docs: DataFrame, n: int = 8, item_key: str = "item_id",
+#: words of the two probe n-grams; items of fewer words than LEAST_PROBED are searched as they are
+LONG_GRAM, SHORT_GRAM, LEAST_PROBED = 8, 3, 5
+#: short items that one pass over the documents searches
+ITEM_BLOCK = 1000
+
+
+def benchmark_leak(items: DataFrame, docs: DataFrame, item_key: str = "item_id",
                    doc_key: str = "doc_id", text: str = "text") -> DataFrame:
     """(item, doc) pairs where the document contains the item text verbatim.
 
-    Candidates come from an equi-join on hashed word n-grams, never from a
-    cross product.  Each item probes with one *interior* n-gram (words 2..n+1):
-    interior words are whitespace-delimited inside the item, so if the item
-    occurs anywhere in a document they are whole words of that document too.
-    Documents contribute every n-gram of their whole text.  Candidate pairs
-    are de-duplicated before the substring verification, so a hot n-gram
-    costs one check per (item, doc) pair that shares it.  Items of fewer than
-    three words probe with their longest word (word-aligned matches only).
+    Items of five words or more probe with one *interior* n-gram: interior
+    words are whitespace-delimited inside the item, so wherever it occurs they
+    are whole words of the document too.  The n-gram has eight words, or three
+    for items of five to nine words (the documents emit three-word grams only
+    if such items exist); documents contribute every n-gram of their whole text
+    in one scan, and candidates are verified by substring.  Shorter items, blank
+    ones included, may begin and end inside words: they are the query set of a
+    scan over all documents, in blocks of ``ITEM_BLOCK`` items.  No cross
+    product, no cap.  Rows with a null text match nothing.
     """
-    it = items.select(item_key, word_tokens(F.col(text)).alias("_w"))
-    k = F.size("_w")
-    g = F.when(k >= 3, F.least(k - 2, F.lit(n))).otherwise(F.lit(1))
-    probe = F.when(k >= 3, F.array_join(F.slice("_w", 2, g), " ")).otherwise(
-        F.element_at(F.array_sort(F.transform("_w", lambda w: F.struct((-F.length(w)).alias("l"), w.alias("w")))), 1)["w"])
-    # join key: a 64-bit xxhash of the n-gram text (8-byte shuffle key); a
-    # collision only adds a candidate, which the substring check removes
-    ig = it.select(item_key, g.alias("g"), F.xxhash64(probe).alias("h")).where(probe.isNotNull())
-    # gram sizes in use: at most n distinct small integers
-    sizes = sorted(r[0] for r in ig.select("g").distinct().collect())
-    dgs = None
-    for size in sizes:
-        part = docs.select(doc_key, word_tokens(F.col(text)).alias("_dw")) \
-            .select(doc_key, F.explode(shingles(F.col("_dw"), size)).alias("_s")) \
-            .select(doc_key, F.lit(size).alias("g"), F.xxhash64(F.col("_s")).alias("h"))
-        dgs = part if dgs is None else dgs.unionByName(part)
-    if dgs is None:
-        return items.select(item_key, F.lit(None).cast("long").alias(doc_key)).where(F.lit(False))
+    it = items.where(F.col(text).isNotNull()).select(item_key, F.col(text).alias("_itext"),
+                                                     word_tokens(F.col(text)).alias("_w"))
+    it = it.withColumn("_words", F.size("_w"))
+    dd = docs.where(F.col(text).isNotNull()).select(doc_key, F.col(text).alias("_dtext"))
+    g = F.when(F.col("_words") >= LONG_GRAM + 2, F.lit(LONG_GRAM)).otherwise(F.lit(SHORT_GRAM))
+    ig = it.where(F.col("_words") >= LEAST_PROBED).select(
+        item_key, g.alias("g"), F.xxhash64(F.array_join(F.slice("_w", F.lit(2), g), " ")).alias("h"))
+    # one row: which sizes are in use
+    use = ig.agg(F.coalesce(F.max((F.col("g") == SHORT_GRAM).cast("int")), F.lit(0)).alias("_short"),
+                 F.coalesce(F.max((F.col("g") == LONG_GRAM).cast("int")), F.lit(0)).alias("_long"),
+                 F.lit(0).alias("_k"))
+
+    def grams(n):
+        return F.transform(shingles(F.col("_dw"), n), lambda s: F.struct(F.lit(n).alias("g"), F.xxhash64(s).alias("h")))
+
+    none = F.array().cast("array<struct<g:int,h:bigint>>")
+    both = F.concat(F.when(F.col("_short") == 1, grams(SHORT_GRAM)).otherwise(none),
+                    F.when(F.col("_long") == 1, grams(LONG_GRAM)).otherwise(none))
+    words = dd.select(doc_key, word_tokens(F.col("_dtext")).alias("_dw"), F.lit(0).alias("_k"))
+    dgs = words.join(F.broadcast(use), "_k").select(doc_key, F.explode(both).alias("_e")) \
+        .select(doc_key, "_e.g", "_e.h")
     cand = dgs.join(ig, ["g", "h"]).select(doc_key, item_key).distinct()
-    ver = (cand.join(items.select(item_key, F.col(text).alias("_itext")), item_key)
-           .join(docs.select(doc_key, F.col(text).alias("_dtext")), doc_key)
-           .where(F.instr(F.col("_dtext"), F.col("_itext")) > 0))
-    return ver.select(item_key, doc_key)
+    out = (cand.join(it.select(item_key, "_itext"), item_key).join(dd, doc_key)
+           .where(F.instr(F.col("_dtext"), F.col("_itext")) > 0).select(item_key, doc_key))
+    short = it.where(F.col("_words") < LEAST_PROBED).select(item_key, "_itext")
+    blocks = -(-short.count() // ITEM_BLOCK)
+    for b in range(blocks):
+        # about ITEM_BLOCK items as one row, searched in every document
+        mine = short.where(F.pmod(F.xxhash64(item_key, "_itext"), F.lit(blocks)) == b)
+        row = mine.agg(F.collect_list(F.struct(F.col(item_key).alias("id"), F.col("_itext").alias("t"))).alias("_all"),
+                       F.lit(0).alias("_k"))
+        hit = dd.withColumn("_k", F.lit(0)).join(F.broadcast(row), "_k").select(
+            doc_key, F.explode(F.filter("_all", lambda x: F.instr(F.col("_dtext"), x["t"]) > 0)).alias("_x"))
+        out = out.unionByName(hit.select(F.col("_x.id").alias(item_key), doc_key))
+    return out
 
 
 def scoreboard(df: DataFrame, dims: Sequence[str], label: str = "label", pred: str = "pred") -> DataFrame:

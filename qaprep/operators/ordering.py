@@ -60,6 +60,22 @@ def range_bucket(df: DataFrame, col: str, n_buckets: int, rel_error: float = 1e-
     return add
 
 
+def range_index(df: DataFrame, order: Sequence[str | Column], pos: str = "pos",
+                partitions: int | None = None) -> DataFrame:
+    """Dense 0-based position by any sortable columns, from sampled range bounds.
+
+    The rows are dealt by Spark's range partitioning of the real order columns
+    (ties of a leading column are split by the next one), and each row's range
+    number is written with it, so later passes agree on it.  Bounds are sampled;
+    no range is larger than Spark's sampling makes it, whatever the key skew."""
+    from ..session import materialise
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order_c = _order_cols(order)
+    dealt = materialise(df.repartitionByRange(n, *order_c).withColumn("_range", F.spark_partition_id()), "ranges")
+    return global_index(dealt, order_c, bucket=F.col("_range"), pos=pos).drop("_range")
+
+
 def _with_bucket(df: DataFrame, order: Sequence[Column], bucket, bits: int) -> DataFrame:
     if isinstance(bucket, Column):
         return df.withColumn("_b", bucket)
@@ -126,10 +142,11 @@ def neighbours(df: DataFrame, cols: Sequence[str], order: Sequence[str | Column]
     first row) and flags ``_first``/``_last``.  A group of one row gets nulls
     (a row is never its own neighbour).
 
-    One shuffle of the data (by bucket) and one window pass; rows at bucket
-    edges — at most two per bucket — fetch their cross-bucket neighbour by
-    equi-joins with the other edge rows (the bucket ring itself is a window
-    over bucket ids only), and are unioned back.
+    One shuffle of the rows (by bucket) and one window pass.  The first and
+    last row of every bucket come from an aggregate with map-side combine; the
+    bucket ring is a window over bucket ids only, edge values travel by
+    equi-joins of one row per bucket, and one join on the window's own
+    partitioning brings them to the rows.  ``order`` must be ascending.
     """
     spark = df.sparkSession
     bits = bits or bucket_bits(spark)
@@ -140,62 +157,52 @@ def neighbours(df: DataFrame, cols: Sequence[str], order: Sequence[str | Column]
     by = list(by)
     want_next, want_prev = "next" in directions, "prev" in directions
     vals = F.struct(*[F.col(c) for c in cols])
+    key = F.struct(*[c.alias(f"_k{i}") for i, c in enumerate(order_c)])
+    null_vals = F.lit(None).cast(df.select(vals.alias("v")).schema["v"].dataType)
     w = Window.partitionBy(*by, "_b").orderBy(*order_c)
-    # _nx marks bucket tails even when only "prev" is wanted (null = last row)
-    wd = (d.withColumn("_rn", F.row_number().over(w))
-          .withColumn("_nx", F.lead(vals if want_next else F.lit(1)).over(w)))
+    wd = d.withColumn("_rn", F.row_number().over(w)).withColumn("_tail", F.lead(F.lit(1)).over(w).isNull())
+    # first and last row of every bucket, combined before the shuffle
+    aggs = []
+    if want_next:
+        wd = wd.withColumn("_nx", F.lead(vals).over(w))
+        aggs.append(F.min_by(vals, key).alias("_head"))
     if want_prev:
         wd = wd.withColumn("_pv", F.lag(vals).over(w))
-    null_vals = F.lit(None).cast(df.select(vals.alias("v")).schema["v"].dataType)
-
-    def finish(x: DataFrame, nx: Column, pv: Column, first: Column, last: Column) -> DataFrame:
-        sel = [c for c in df.columns]
-        if want_next:
-            sel += [nx[c].alias(prefix_next + c) for c in cols]
-        if want_prev:
-            sel += [pv[c].alias(prefix_prev + c) for c in cols]
-        sel += [first.alias("_first"), last.alias("_last")]
-        return x.select(*sel)
-
-    inner = wd.where((F.col("_rn") > 1) & F.col("_nx").isNotNull())
-    inner = finish(inner, F.col("_nx") if want_next else null_vals,
-                   F.col("_pv") if want_prev else null_vals, F.lit(False), F.lit(False))
-
-    edges = wd.where((F.col("_rn") == 1) | F.col("_nx").isNull())
+        aggs.append(F.max_by(vals, key).alias("_last"))
+    edges = d.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"), *aggs)
     # bucket ring per group: ids only (<= 2**bits small rows per group), so
     # the one window that sees a whole group never holds row text
     wl = Window.partitionBy(*by).orderBy("_b")
     wall = wl.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ring = edges.select(*by, "_b").distinct().select(
+    ring = d.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n")).select(
         *by, "_b",
         F.coalesce(F.lead("_b").over(wl), F.first("_b").over(wall)).alias("_nb"),
         F.coalesce(F.lag("_b").over(wl), F.last("_b").over(wall)).alias("_pb"),
         (F.row_number().over(wl) == 1).alias("_first_b"),
         F.lead("_b").over(wl).isNull().alias("_last_b"),
-        (F.count(F.lit(1)).over(wall) == 1).alias("_one_b"),
+        (F.sum("_n").over(wall) == 1).alias("_one"),
     )
-    # neighbour values travel by equi-joins of edge rows (<= 2 per bucket),
-    # hash-partitioned on (group, bucket): no single task holds them all
-    heads = edges.where(F.col("_rn") == 1).select(*[F.col(c).alias("_h_" + c) for c in by],
-                                                 F.col("_b").alias("_hb"), vals.alias("_next_head"))
-    tails = edges.where(F.col("_nx").isNull()).select(*[F.col(c).alias("_t_" + c) for c in by],
-                                                      F.col("_b").alias("_tb"), vals.alias("_prev_tail"))
-    e = edges.join(ring, [*by, "_b"])
+    side = ring
+    for want, to, col in ((want_next, "_nb", "_head"), (want_prev, "_pb", "_last")):
+        if want:
+            e = edges.select(*[F.col(c).alias("_e_" + c) for c in by], F.col("_b").alias("_eb"),
+                             F.col(col).alias("_edge" + col))
+            cond = [F.col("_eb") == F.col(to)] + [F.col("_e_" + c).eqNullSafe(F.col(c)) for c in by]
+            side = side.join(e, cond, "left").drop("_eb", *["_e_" + c for c in by])
+    side = side.withColumnsRenamed({**{c: "_s_" + c for c in by}, "_b": "_sb"})
+    # one row per bucket joins back on the window's own partitioning
+    cond = [F.col("_b") == F.col("_sb")] + [F.col(c).eqNullSafe(F.col("_s_" + c)) for c in by]
+    j = wd.join(side, cond, "left")
+    sel = list(df.columns)
     if want_next:
-        cond = [F.col("_hb") == F.col("_nb")] + [F.col("_h_" + c) == F.col(c) for c in by]
-        e = e.join(heads, cond, "left")
+        nx = (F.when(F.col("_one"), null_vals).when(F.col("_tail"), F.col("_edge_head")).otherwise(F.col("_nx")))
+        sel += [nx[c].alias(prefix_next + c) for c in cols]
     if want_prev:
-        cond = [F.col("_tb") == F.col("_pb")] + [F.col("_t_" + c) == F.col(c) for c in by]
-        e = e.join(tails, cond, "left")
-    is_first = (F.col("_rn") == 1) & F.col("_first_b")
-    is_last = F.col("_nx").isNull() & F.col("_last_b")
-    alone = (F.col("_rn") == 1) & F.col("_nx").isNull() & F.col("_one_b")
-    nx = (F.when(alone, null_vals).when(F.col("_nx").isNull(), F.col("_next_head")).otherwise(F.col("_nx"))
-          if want_next else null_vals)
-    pv = (F.when(alone, null_vals).when(F.col("_rn") == 1, F.col("_prev_tail")).otherwise(F.col("_pv"))
-          if want_prev else null_vals)
-    e = finish(e, nx, pv, is_first, is_last)
-    return inner.unionByName(e)
+        pv = (F.when(F.col("_one"), null_vals).when(F.col("_rn") == 1, F.col("_edge_last")).otherwise(F.col("_pv")))
+        sel += [pv[c].alias(prefix_prev + c) for c in cols]
+    sel += [((F.col("_rn") == 1) & F.col("_first_b")).alias("_first"),
+            (F.col("_tail") & F.col("_last_b")).alias("_last")]
+    return j.select(*sel)
 
 
 def ring_shift(df: DataFrame, col: str, step: int, order: Sequence[str | Column],

@@ -68,29 +68,18 @@ def tokenize_with(df: DataFrame, col: str, factory: Callable[[], Callable[[list[
 # ---------------------------------------------------------------- vocabulary
 
 def build_vocab(df: DataFrame, col: str, n_buckets: int | None = None) -> DataFrame:
-    """(token, n, id): ids by descending frequency then token, from 3 upwards.
+    """(token, n, id): BIGINT ids by descending frequency then token, from 3 upwards.
 
-    The dense rank uses order buckets over an order-preserving numeric code of
-    (-n, first two characters) with frozen quantile boundaries; the
-    per-bucket window only sorts that bucket's tokens.
+    The counted vocabulary is range-partitioned on the real ``(-n, token)``
+    pair by sampled bounds, so the many tokens of one count spread over the
+    ranges in token order whatever their alphabet or common prefix.
     """
-    from .ordering import global_index, range_bucket
-
-    from ..session import cut_lineage
-
-    # the counted vocabulary is read three times (quantiles, bucket counts,
-    # ranking): materialise it once in the shared checkpoint folder
-    counts = cut_lineage(df.select(F.explode(word_tokens(F.col(col))).alias("token"))
-                         .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
-    code = (-F.col("n").cast("double") * float(2 ** 32)
-            + F.coalesce(F.ascii(F.substring("token", 1, 1)), F.lit(0)).cast("double") * 65536.0
-            + F.coalesce(F.ascii(F.substring("token", 2, 1)), F.lit(0)).cast("double"))
-    coded = counts.withColumn("_code", code)
-    spark = df.sparkSession
-    nb = n_buckets or 2 ** bucket_bits(spark)
-    bucket = range_bucket(coded, "_code", nb)
-    ranked = global_index(coded, [F.col("n").desc(), F.col("token")], bucket=bucket, pos="_rank")
-    return ranked.select("token", "n", (F.col("_rank") + FIRST_WORD_ID).cast("int").alias("id"))
+    from .ordering import range_index
+
+    counts = (df.select(F.explode(word_tokens(F.col(col))).alias("token"))
+              .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
+    ranked = range_index(counts, [F.col("n").desc(), F.col("token")], pos="_rank", partitions=n_buckets)
+    return ranked.select("token", "n", (F.col("_rank") + FIRST_WORD_ID).cast("long").alias("id"))
 
 
 def tokenize_with_vocab(df: DataFrame, key: str, col: str, vocab: DataFrame,
@@ -104,10 +93,10 @@ def tokenize_with_vocab(df: DataFrame, key: str, col: str, vocab: DataFrame,
     toks = df.select(key, F.posexplode(word_tokens(F.col(col))).alias("p", "token"))
     j = toks.join(vocab.select("token", "id"), "token", "left")
     ids = (j.groupBy(key)
-           .agg(F.array_sort(F.collect_list(F.struct("p", F.coalesce("id", F.lit(unk_id)).alias("id"))))
+           .agg(F.array_sort(F.collect_list(F.struct("p", F.coalesce("id", F.lit(unk_id).cast("long")).alias("id"))))
                 .alias("_pairs"))
            .select(key, F.transform("_pairs", lambda x: x["id"]).alias(out)))
-    return df.join(ids, key, "left").withColumn(out, F.coalesce(F.col(out), F.array().cast("array<int>")))
+    return df.join(ids, key, "left").withColumn(out, F.coalesce(F.col(out), F.array().cast("array<bigint>")))
 
 
 # ------------------------------------------------------------ windows / pads
@@ -149,9 +138,11 @@ def pad_batch(df: DataFrame, batch_col: str, ids_col: str, pad_id: int = PAD_ID)
 # ------------------------------------------------------------------ packing
 
 def token_offsets(df: DataFrame, order_key: str, length: Column, by: Sequence[str] = (),
-                  bits: int | None = None) -> DataFrame:
+                  bits: int | None = None, tie: Sequence[str] = ()) -> DataFrame:
     """Start of each row on a global token axis ordered by a 60-bit hash key.
 
+    ``tie``: columns (the row key) that order rows whose hash keys are equal.
+
     Weighted version of ``global_index``: bucket sums -> prefix offsets
     (broadcast when ungrouped) -> running sum inside the bucket.
     """
@@ -159,7 +150,7 @@ def token_offsets(df: DataFrame, order_key: str, length: Column, by: Sequence[st
     bits = bits or bucket_bits(spark)
     by = list(by)
     d = df.withColumn("_len", length.cast("long")).withColumn("_b", hash_bucket(F.col(order_key), bits))
-    w = (Window.partitionBy(*by, "_b").orderBy(order_key)
+    w = (Window.partitionBy(*by, "_b").orderBy(order_key, *tie)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     # bucket sums: a key-and-length-only pass with map-side partial sums
     wd = d.withColumn("_run", F.sum("_len").over(w))
@@ -174,7 +165,7 @@ def token_offsets(df: DataFrame, order_key: str, length: Column, by: Sequence[st
 
 def pack_sequences(df: DataFrame, ids_col: str, order_key: str, seq_len: int = PACK_LEN,
                    by: Sequence[str] = (), eos_id: int = EOS_ID, bits: int | None = None,
-                   id_fn=None) -> DataFrame:
+                   id_fn=None, tie: Sequence[str] = ()) -> DataFrame:
     """Concatenate every row's ids (+EOS) in order, cut at stride L+1.
 
     Keeps only full cuts; ``input_ids = cut[:-1]``, ``labels = cut[1:]``.
@@ -186,21 +177,27 @@ def pack_sequences(df: DataFrame, ids_col: str, order_key: str, seq_len: int = P
     """
     width = seq_len + 1
     by = list(by)
+    # a row without tokens (null) is an empty document: its end token stays
     if id_fn is None:
-        seq = F.concat(F.col(ids_col), F.array(F.lit(eos_id)))
+        seq = F.concat(F.coalesce(F.col(ids_col), F.array().cast(df.schema[ids_col].dataType)),
+                       F.array(F.lit(eos_id)))
     else:
-        seq = F.concat(F.col(ids_col), F.array(F.lit(None).cast("string")))
-    d = df.select(*by, order_key, seq.alias("_ids"))
-    d = token_offsets(d, order_key, F.size("_ids"), by, bits)
+        seq = F.concat(F.coalesce(F.col(ids_col), F.array().cast("array<string>")),
+                       F.array(F.lit(None).cast("string")))
+    d = df.select(*by, order_key, *tie, seq.alias("_ids"))
+    d = token_offsets(d, order_key, F.size("_ids"), by, bits, tie)
     d = d.withColumn("_end", F.col("start") + F.col("_len"))
-    c = F.explode(F.sequence((F.col("start") / width).cast("long"),
-                             ((F.col("_end") - 1) / width).cast("long"))).alias("chunk_id")
-    pieces = d.select(*by, "start", "_end", "_ids", c)
-    lo = F.greatest(F.col("chunk_id") * width, F.col("start"))
-    hi = F.least((F.col("chunk_id") + 1) * width, F.col("_end"))
-    pieces = pieces.select(*by, "chunk_id", F.struct(
-        lo.alias("at"), F.slice("_ids", (lo - F.col("start") + 1).cast("int"), (hi - lo).cast("int")).alias("ids")
-    ).alias("piece"))
+    # slices are cut inside the row, so a chunk row carries its own piece only
+    cuts = F.sequence(F.expr(f"start div {width}"), F.expr(f"(_end - 1) div {width}"))
+
+    def piece(c):
+        lo = F.greatest(c * width, F.col("start"))
+        hi = F.least((c + 1) * width, F.col("_end"))
+        return F.struct(c.alias("chunk_id"), F.struct(lo.alias("at"), F.slice(
+            "_ids", (lo - F.col("start") + 1).cast("int"), (hi - lo).cast("int")).alias("ids")).alias("piece"))
+
+    pieces = d.select(*by, F.explode(F.transform(cuts, piece)).alias("_p")) \
+        .select(*by, F.col("_p.chunk_id").alias("chunk_id"), F.col("_p.piece").alias("piece"))
     if id_fn is not None:
         p = F.col("piece")
         pieces = pieces.select(*by, "chunk_id", F.struct(p["at"].alias("at"), F.transform(
@@ -215,21 +212,35 @@ def pack_sequences(df: DataFrame, ids_col: str, order_key: str, seq_len: int = P
 
 # ------------------------------------------------------------------ batching
 
-def batch_plan(df: DataFrame, pos_col: str, size: int, keep: Sequence[str]) -> DataFrame:
-    """Fixed-size batches in order; the last partial batch is kept."""
-    b = (F.col(pos_col) / size).cast("long")
-    return (df.withColumn("batch", b)
-            .groupBy("batch")
-            .agg(F.array_sort(F.collect_list(F.struct(pos_col, *keep))).alias("members"),
-                 F.count(F.lit(1)).alias("n_rows")))
+def batches(packed: DataFrame, size: int, chunk_col: str = "chunk_id") -> DataFrame:
+    """Fixed-size batches of packed chunks with stacked token columns.
+
+    Chunk ids are dense (only the last cut can be short), so the batch of a
+    chunk is a division; the last partial batch is kept."""
+    row = F.struct(F.col(chunk_col).alias("chunk_id"), F.col("input_ids").alias("input_ids"),
+                   F.col("labels").alias("labels"))
+    return (packed.groupBy(F.expr(f"{chunk_col} div {size}").alias("batch"))
+            .agg(F.array_sort(F.collect_list(row)).alias("_rows"), F.count(F.lit(1)).alias("n_rows"))
+            .select("batch", "n_rows", F.col("_rows.chunk_id").alias("members"),
+                    F.col("_rows.input_ids").alias("input_ids"), F.col("_rows.labels").alias("labels")))
+
+
+def batch_ids(offsets: DataFrame, size: int, seq_len: int = PACK_LEN) -> DataFrame:
+    """(batch): ids of the batches that packing will give, from ``token_offsets``
+    alone (columns start, _len): no token array is read or shuffled."""
+    width = seq_len + 1
+    total = offsets.agg(F.expr(f"sum(_len) div {width}").alias("_chunks")).withColumn("_k", F.lit(0))
+    span = F.expr(f"sequence(start div {width * size}, (start + _len - 1) div {width * size})")
+    ids = offsets.select(F.explode(span).alias("batch")).distinct().withColumn("_k", F.lit(0))
+    return ids.join(F.broadcast(total), "_k").where(F.col("batch") * size < F.col("_chunks")).select("batch")
 
 
-def step_plan(batches: DataFrame, batch_size: int, epochs: int) -> DataFrame:
+def step_plan(plan: DataFrame, batch_size: int, epochs: int) -> DataFrame:
     """(epoch, batch, accum, is_update, update_step, total_steps, warmup_steps)."""
     accum = max(ACCUM_TARGET // batch_size, 1)
     # one-row aggregate attached by a broadcast equi-join on a constant key
-    n = batches.agg(F.count(F.lit(1)).alias("n_batches")).withColumn("_k", F.lit(0))
-    rows = batches.select("batch", F.lit(0).alias("_k")).join(F.broadcast(n), "_k")
+    n = plan.agg(F.count(F.lit(1)).alias("n_batches")).withColumn("_k", F.lit(0))
+    rows = plan.select("batch", F.lit(0).alias("_k")).join(F.broadcast(n), "_k")
     ep = F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch")
     rows = rows.select(ep, "batch", "n_batches")
     updates_before = F.floor((F.col("batch") + accum - 1) / accum)   # updates in earlier batches of this epoch

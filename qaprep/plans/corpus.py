@@ -5,12 +5,14 @@
     random   = ring shift -1 of relevant_context within each split
     wrong    = ordered date falsification of relevant_context
 
-One lazy plan; ``checkpoint=True`` cuts the lineage into the shared
-checkpoint folder before the many consumers (prompts, packing) run.
+The split and falsified rows are written once as parquet below the shared
+checkpoint folder; the ring shift reads pruned scans of that table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ from ..operators.dates import falsify_dates
 from ..operators.ordering import neighbours, ring_shift, ring_shift_legacy, seeded_key
 from ..functions.keys import hash_bucket
 from ..operators.splits import split_exact
-from ..session import bucket_bits, cut_lineage
+from ..session import bucket_bits, materialise
 from . import fixtures as fx
 
 SOURCES = {"tq": "TQ_explicit", "easy": "TSQA_easy", "hard": "TSQA_hard"}
@@ -57,19 +59,21 @@ def split(spark: SparkSession, sf_dir: str, seed=SPLIT_SEED, keep_order: bool =
 
 
 def prepared(spark: SparkSession, sf_dir: str, seed=SPLIT_SEED, date_seed=DEFAULT_SEED,
-             falsify: bool = True, materialise: bool = True) -> DataFrame:
-    """Split (+ wrong-date contexts) with order columns, cut into the shared
-    checkpoint folder.
-
-    The ring shift that follows reads its input three times (inner rows,
-    bucket edges, bucket links); from a checkpoint each read is a pruned
-    scan instead of a replay of stacking, splitting and date falsification,
-    and a lost executor restarts from here.
+             falsify: bool = True, types: Sequence[str] | None = None) -> DataFrame:
+    """Split (+ wrong-date contexts) with order columns, as a parquet table in
+    the shared checkpoint folder.
+
+    The ring shift that follows reads its input several times (rows, bucket
+    edges, bucket ring); each read is a pruned scan instead of a replay of
+    stacking, splitting and date falsification, and a lost executor restarts
+    from here.  ``types`` keeps only these splits: the ring runs per split.
     """
     d = split(spark, sf_dir, seed, keep_order=True)
+    if types is not None:
+        d = d.where(F.col("type").isin(*types))
     if falsify:
         d = falsify_dates(d, "relevant_context", "idx", date_seed, out="wrong_date_context")
-    return cut_lineage(d) if materialise else d
+    return materialise(d, "corpus")
 
 
 def with_random_context(df: DataFrame, seed=SPLIT_SEED, legacy: bool = False) -> DataFrame:
@@ -85,7 +89,7 @@ def with_random_context(df: DataFrame, seed=SPLIT_SEED, legacy: bool = False) ->
 
 
 def corpus(spark: SparkSession, sf_dir: str, seed=SPLIT_SEED, date_seed=DEFAULT_SEED,
-           checkpoint: bool = False, irrelevant: bool = False) -> DataFrame:
+           irrelevant: bool = False, types: Sequence[str] | None = None) -> DataFrame:
     """idx, question, answer, relevant_context, source, type, random_context,
     wrong_date_context (+ ``ic``, ``wd_ic`` with ``irrelevant=True``).
 
@@ -94,7 +98,7 @@ def corpus(spark: SparkSession, sf_dir: str, seed=SPLIT_SEED, date_seed=DEFAULT_
     and the irrelevant variants (previous row's relevant and wrong-date
     contexts) together.
     """
-    d = prepared(spark, sf_dir, seed, date_seed)
+    d = prepared(spark, sf_dir, seed, date_seed, types=types)
     order = [F.col("order_key"), F.col("idx")]
     if irrelevant:
         n = neighbours(d, ["relevant_context", "wrong_date_context"], order, by=["type"],
@@ -105,5 +109,4 @@ def corpus(spark: SparkSession, sf_dir: str, seed=SPLIT_SEED, date_seed=DEFAULT_
     else:
         d = ring_shift(d, "relevant_context", -1, order, by=["type"], out="random_context",
                        bucket=F.col("order_bucket"))
-    d = d.drop("order_key", "order_bucket")
-    return cut_lineage(d) if checkpoint else d
+    return d.drop("order_key", "order_bucket")

@@ -124,4 +124,4 @@ def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A response log ``(i, output)``: document i answered with its text."""
     d = table(spark, sf_dir, "documents")
-    return d.select(F.col("doc_id").cast("int").alias("i"), F.col("text").alias("output"))
+    return d.select(F.col("doc_id").cast("long").alias("i"), F.col("text").alias("output"))

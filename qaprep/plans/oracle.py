@@ -147,4 +147,4 @@ LEFT JOIN (SELECT conv_id, arg_min(text, turn) AS system FROM conversations WHER
            GROUP BY conv_id) s ON s.conv_id = u.conv_id
 WHERE u.role = 'user'"""
 
-RESPONSES = "SELECT CAST(doc_id AS INTEGER) AS i, text AS output FROM documents"
+RESPONSES = "SELECT CAST(doc_id AS BIGINT) AS i, text AS output FROM documents"

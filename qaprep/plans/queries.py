@@ -7,6 +7,7 @@ places so that the order-insensitive value hash compares like with like.
 
 from __future__ import annotations
 
+import json
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,12 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import dates as D
+from ..functions.keys import hash60
 from ..operators import assemble, evaluate, grid, prompts, requests, splits, tokens
 from ..operators import dates as dops
-from ..operators.ordering import global_index, range_bucket, seeded_key
+from ..operators.ordering import global_index, range_index, seeded_key
+from ..session import shared_path
+from ..sources import readers, writers
 from . import corpus as C
 from . import fixtures as fx
 from . import oracle as O
@@ -52,13 +56,11 @@ def q_stack_sources(spark, d):
 @query("prefixed_ids", """
 SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) - 1 AS pos,
        'conv_' || (row_number() OVER (ORDER BY conv_id, turn) - 1) AS idx
-FROM conversations WHERE role = 'user'""")
+FROM conversations""")
 def q_prefixed_ids(spark, d):
-    u = fx.table(spark, d, "conversations").where(F.col("role") == "user").select("conv_id", "turn")
-    u = u.withColumn("_nat", F.col("conv_id") * (1 << 20) + F.col("turn"))
-    nb = 2 ** 6
-    idx = global_index(u, [F.col("conv_id"), F.col("turn")], bucket=range_bucket(u, "_nat", nb))
-    return assemble.with_prefixed_id(idx, "conv_").select("conv_id", "turn", "pos", "idx")
+    u = fx.table(spark, d, "conversations").select("conv_id", "turn")
+    return assemble.with_prefixed_id(range_index(u, ["conv_id", "turn"]), "conv_").select(
+        "conv_id", "turn", "pos", "idx")
 
 
 @query("attach_responses", O.with_([("qa_tq", O.QA_TQ), ("responses", O.RESPONSES)], """
@@ -454,7 +456,9 @@ _JUDGE = K.JUDGE_MESSAGE.replace("{instruction}", "\0").replace("{gen1}", "\0").
 @query("judge_requests", O.with_([("instructions", O.INSTRUCTIONS), ("qa_easy", O.QA_EASY)], f"""
 SELECT i.conv_id, i.turn, '{K.JUDGE_MODEL}' AS model, {_sql_lit(K.JUDGE_SYSTEM_PROMPT)} AS system_content,
        {_sql_lit(_JUDGE[0])} || i.instruction || {_sql_lit(_JUDGE[1])} || i.output || {_sql_lit(_JUDGE[2])}
-         || e.context || {_sql_lit(_JUDGE[3])} AS user_content
+         || e.context || {_sql_lit(_JUDGE[3])} AS user_content,
+       {_sql_lit(json.dumps({"name": K.JUDGE_FUNCTION["name"]}))} AS function_call,
+       {_sql_lit(json.dumps([K.JUDGE_FUNCTION]))} AS functions
 FROM instructions i JOIN qa_easy e ON e.idx = 'easy_' || i.conv_id || '_' || i.turn"""))
 def q_judge_requests(spark, d):
     i = fx.instructions(spark, d)
@@ -464,7 +468,9 @@ def q_judge_requests(spark, d):
     return r.select(F.col("key.conv_id").alias("conv_id"), F.col("key.turn").alias("turn"),
                     F.col("request.model").alias("model"),
                     F.col("request.messages")[0]["content"].alias("system_content"),
-                    F.col("request.messages")[1]["content"].alias("user_content"))
+                    F.col("request.messages")[1]["content"].alias("user_content"),
+                    F.col("request.function_call").alias("function_call"),
+                    F.col("request.functions").alias("functions"))
 
 
 _REPLY_SQL = """CASE WHEN user_id % 17 = 0 THEN '{"choice": ' || event_id
@@ -518,14 +524,14 @@ def q_tokenize_words(spark, d):
 
 
 @query("build_vocab", f"""
-SELECT token, n, CAST(row_number() OVER (ORDER BY n DESC, token) - 1 + {K.FIRST_WORD_ID} AS INTEGER) AS id
+SELECT token, n, CAST(row_number() OVER (ORDER BY n DESC, token) - 1 + {K.FIRST_WORD_ID} AS BIGINT) AS id
 FROM (SELECT token, count(*) AS n FROM (SELECT unnest({_TOK_SQL}) AS token FROM documents) GROUP BY token)""")
 def q_build_vocab(spark, d):
     return tokens.build_vocab(fx.table(spark, d, "documents"), "text")
 
 
 @query("tokenize_vocab", f"""
-WITH v AS (SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) - 1 + {K.FIRST_WORD_ID} AS INTEGER) AS id
+WITH v AS (SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) - 1 + {K.FIRST_WORD_ID} AS BIGINT) AS id
            FROM (SELECT token, count(*) AS n FROM (SELECT unnest({_TOK_SQL}) AS token FROM documents) GROUP BY token)),
      t AS (SELECT doc_id, unnest({_TOK_SQL}) AS token, generate_subscripts({_TOK_SQL}, 1) AS p FROM documents)
 SELECT d.doc_id, coalesce(x.n_tokens, 0) AS n_tokens, coalesce(x.ids, '') AS ids
@@ -598,19 +604,21 @@ FROM pk""")
 
 def _packed(spark, d):
     docs = fx.table(spark, d, "documents")
-    t = docs.select(tokens.word_tokens(F.col("text")).alias("toks"), seeded_key(["doc_id"], 42).alias("k"))
-    return tokens.pack_sequences(t, "toks", "k", id_fn=tokens.hashed_id)
+    t = docs.select("doc_id", tokens.word_tokens(F.col("text")).alias("toks"), seeded_key(["doc_id"], 42).alias("k"))
+    return tokens.pack_sequences(t, "toks", "k", id_fn=tokens.hashed_id, tie=["doc_id"])
 
 
 @query("token_offsets", O.with_(PACK_CTES[:2], "SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_tokens, st AS start FROM off"))
 def q_token_offsets(spark, d):
     """Start of every document (its words + EOS) on the global token axis in
     seeded order: the running offset packing cuts."""
-    docs = fx.table(spark, d, "documents")
-    t = docs.select("doc_id", tokens.word_tokens(F.col("text")).alias("toks"),
-                    seeded_key(["doc_id"], 42).alias("k"))
-    o = tokens.token_offsets(t, "k", F.size("toks") + 1)
-    return o.select("doc_id", F.col("_len").alias("n_tokens"), "start")
+    return _offsets(spark, d).select("doc_id", F.col("_len").alias("n_tokens"), "start")
+
+
+def _offsets(spark, d):
+    t = fx.table(spark, d, "documents").select("doc_id", F.size(tokens.word_tokens(F.col("text"))).alias("n"),
+                                               seeded_key(["doc_id"], 42).alias("k"))
+    return tokens.token_offsets(t, "k", F.col("n") + 1, tie=["doc_id"])
 
 
 @query("pack_sequences", PACK_SQL)
@@ -619,53 +627,87 @@ def q_pack_sequences(spark, d):
     return p.select("chunk_id", _ids(F.col("input_ids")).alias("input_ids"), _ids(F.col("labels")).alias("labels"))
 
 
-@query("batch_plan", O.with_(PACK_CTES, f"""
-SELECT batch, string_agg(CAST(chunk_id AS VARCHAR), ',' ORDER BY pos) AS members, count(*) AS n_rows
-FROM (SELECT chunk_id, pos, pos // 8 AS batch FROM (
-        SELECT chunk_id, row_number() OVER (ORDER BY chunk_id) - 1 AS pos FROM pk))
-GROUP BY batch"""))
+def _batch_sql(size: int) -> str:
+    return O.with_(PACK_CTES, f"""
+SELECT chunk_id // {size} AS batch, string_agg(CAST(chunk_id AS VARCHAR), ',' ORDER BY chunk_id) AS members,
+       count(*) AS n_rows,
+       string_agg(array_to_string(seq[1:{K.PACK_LEN}], ','), '|' ORDER BY chunk_id) AS input_ids,
+       string_agg(array_to_string(seq[2:{W_PACK}], ','), '|' ORDER BY chunk_id) AS labels
+FROM pk GROUP BY chunk_id // {size}""")
+
+
+def _batches(spark, d, size):
+    def rows(c):
+        return F.array_join(F.transform(c, lambda x: F.array_join(x.cast("array<string>"), ",")), "|")
+    b = tokens.batches(_packed(spark, d), size)
+    return b.select("batch", F.array_join(F.col("members").cast("array<string>"), ",").alias("members"), "n_rows",
+                    rows(F.col("input_ids")).alias("input_ids"), rows(F.col("labels")).alias("labels"))
+
+
+@query("batch_plan", _batch_sql(K.BATCH_SIZE))
 def q_batch_plan(spark, d):
-    b = _batches(spark, d)
-    return b.select("batch", F.array_join(F.transform("members", lambda m: m["chunk_id"].cast("string")), ",")
-                    .alias("members"), "n_rows")
+    """Batches of 8 chunks with stacked ids and labels."""
+    return _batches(spark, d, K.BATCH_SIZE)
 
 
-def _batches(spark, d):
-    p = _packed(spark, d).select("chunk_id")
-    nb = 2 ** 6
-    g = global_index(p, ["chunk_id"], bucket=range_bucket(p, "chunk_id", nb), pos="pos")
-    return tokens.batch_plan(g, "pos", K.BATCH_SIZE, ["chunk_id"])
+@query("batch_plan_grid", _batch_sql(4))
+def q_batch_plan_grid(spark, d):
+    """Batches of 4 chunks, as the grid runner uses them."""
+    return _batches(spark, d, 4)
 
 
-@query("step_plan", O.with_(PACK_CTES + [("b", """SELECT DISTINCT (row_number() OVER (ORDER BY chunk_id) - 1) // 8 AS batch FROM pk"""), ("n", "SELECT count(*) AS nb FROM b")], """
+@query("step_plan", O.with_(PACK_CTES + [("b", """SELECT DISTINCT chunk_id // 8 AS batch FROM pk"""), ("n", "SELECT count(*) AS nb FROM b")], """
 SELECT CAST(e AS INTEGER) AS epoch, batch, 4 AS accum, batch % 4 = 0 AS is_update,
        CAST(e * ((nb + 3) // 4) + (batch + 3) // 4 AS BIGINT) AS update_step,
        CAST(nb * 3 // 4 AS BIGINT) AS total_steps, CAST(nb * 3 // 4 // 10 AS BIGINT) AS warmup_steps
 FROM b, n, unnest(range(0, 3)) AS r(e)"""))
 def q_step_plan(spark, d):
-    return tokens.step_plan(_batches(spark, d), K.BATCH_SIZE, K.EPOCHS)
+    return tokens.step_plan(tokens.batch_ids(_offsets(spark, d), K.BATCH_SIZE), K.BATCH_SIZE, K.EPOCHS)
+
 
+_EXAMPLE_SQL = "prompt || CASE WHEN ends_with(answer, '</s>') THEN answer ELSE answer || '</s>' END"
+_MODEL_SQL = "CASE family WHEN 'gemma' THEN 'GEMMA' ELSE 'Llama' END"
+_CONTEXT_SQL = ("CASE context_kind WHEN 'relevant_context' THEN 'rel_context' WHEN 'wrong_date_context' "
+                "THEN 'WD_context' ELSE context_kind END")
 
-@query("pack_variants", O.with_(O.base_ctes("corpus") + [("matrix", MATRIX_SQL)], f"""
-SELECT type, CASE family WHEN 'gemma' THEN 'GEMMA' ELSE 'Llama' END AS model,
-       CASE context_kind WHEN 'relevant_context' THEN 'rel_context' WHEN 'wrong_date_context' THEN 'WD_context'
-                         ELSE context_kind END AS context,
-       CAST(sum(len({O.word_tokens_sql("prompt || CASE WHEN ends_with(answer, '</s>') THEN answer ELSE answer || '</s>' END")}) + 1) // {W_PACK} AS BIGINT) AS n_chunks
-FROM matrix WHERE type IN ('train', 'dev')
-GROUP BY type, family, context_kind
-HAVING sum(len({O.word_tokens_sql("prompt || CASE WHEN ends_with(answer, '</s>') THEN answer ELSE answer || '</s>' END")}) + 1) >= {W_PACK}"""))
+
+@query("pack_variants", O.with_(O.base_ctes("corpus") + [("matrix", MATRIX_SQL), ("ex", f"""
+  SELECT type, {_MODEL_SQL} AS model, {_CONTEXT_SQL} AS context, idx, {O.h60(f"'{K.SPLIT_SEED}:' || idx")} AS k,
+         list_append(list_transform({O.word_tokens_sql(_EXAMPLE_SQL)}, lambda t: {_hid_sql('t')}), {K.EOS_ID}) AS ids
+  FROM matrix WHERE type IN ('train', 'dev')"""), ("voff", """
+  SELECT *, CAST(sum(len(ids)) OVER (PARTITION BY type, model, context ORDER BY k, idx
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - len(ids) AS BIGINT) AS st FROM ex"""),
+    ("vpieces", f"""
+  SELECT type, model, context, c AS chunk_id, greatest(c * {W_PACK}, st) AS pstart,
+         ids[greatest(c * {W_PACK}, st) - st + 1 : least((c + 1) * {W_PACK}, st + len(ids)) - st] AS piece
+  FROM voff, unnest(range(st // {W_PACK}, (st + len(ids) - 1) // {W_PACK} + 1)) AS r(c)"""),
+    ("vchunks", """
+  SELECT type, model, context, chunk_id, flatten(list(piece ORDER BY pstart)) AS seq
+  FROM vpieces GROUP BY type, model, context, chunk_id""")], f"""
+SELECT type, model, context, chunk_id, md5(array_to_string(seq[1:{K.PACK_LEN}], ',')) AS input_md5,
+       md5(array_to_string(seq[2:{W_PACK}], ',')) AS labels_md5
+FROM vchunks WHERE len(seq) = {W_PACK}"""))
 def q_pack_variants(spark, d):
-    """Packed sequences per (split, model, context) variant, counted."""
+    """Every packed sequence of every (split, model, context) variant, by the md5 of its ids."""
+    p = _variants(spark, d)
+    return p.select("type", "model", "context", "chunk_id", F.md5(_ids(F.col("input_ids"))).alias("input_md5"),
+                    F.md5(_ids(F.col("labels"))).alias("labels_md5"))
+
+
+def _named(m):
+    """(model, context) columns of the prompt matrix in the grid's naming."""
     from .jobs import FAMILY_NAME, KIND_NAME
-    c = C.corpus(spark, d).where(F.col("type").isin("train", "dev"))
-    ex = prompts.examples(prompts.prompt_matrix(c))
-    fam = F.element_at(F.create_map(*[x for k, v in FAMILY_NAME.items() for x in (F.lit(k), F.lit(v))]), F.col("family"))
-    kind = F.element_at(F.create_map(*[x for k, v in KIND_NAME.items() for x in (F.lit(k), F.lit(v))]),
-                        F.col("context_kind"))
-    t = ex.select("type", fam.alias("model"), kind.alias("context"), seeded_key(["idx"], K.SPLIT_SEED).alias("k"),
-                  tokens.word_tokens(F.col("example")).alias("toks"))
-    p = tokens.pack_sequences(t, "toks", "k", by=["type", "model", "context"], id_fn=tokens.hashed_id)
-    return p.groupBy("type", "model", "context").agg(F.count(F.lit(1)).alias("n_chunks"))
+    names = [F.element_at(F.create_map(*[x for k, v in n.items() for x in (F.lit(k), F.lit(v))]), F.col(c))
+             for n, c in ((FAMILY_NAME, "family"), (KIND_NAME, "context_kind"))]
+    return m.withColumns({"model": names[0], "context": names[1]})
+
+
+def _variants(spark, d):
+    c = C.corpus(spark, d, types=("train", "dev"))
+    t = _named(prompts.examples(prompts.prompt_matrix(c))).select(
+        "type", "model", "context", "idx", seeded_key(["idx"], K.SPLIT_SEED).alias("k"),
+        tokens.word_tokens(F.col("example")).alias("toks"))
+    return tokens.pack_sequences(t, "toks", "k", by=["type", "model", "context"], id_fn=tokens.hashed_id, tie=["idx"])
 
 
 # ------------------------------------------------------------------- scores
@@ -743,19 +785,51 @@ def q_answer_leak(spark, d):
     return evaluate.benchmark_leak(fx.table(spark, d, "benchmark"), fx.table(spark, d, "documents"))
 
 
+_SHORT_ITEMS = """
+SELECT item_id * 4 + n AS item_id, CASE n WHEN 0 THEN '' ELSE array_to_string(w[1:[1, 2, 4][n]], ' ') END AS text
+FROM (SELECT item_id, {w} AS w FROM benchmark), unnest(range(0, 4)) AS r(n)"""
+
+
+@query("answer_leak_short", O.with_([("items", _SHORT_ITEMS.replace("{w}", O.word_tokens_sql("text")))], """
+SELECT i.item_id, d.doc_id FROM items i JOIN documents d ON contains(d.text, i.text)"""))
+def q_answer_leak_short(spark, d):
+    """Blank, one-, two- and four-word items (the first words of every benchmark item)."""
+    w = fx.table(spark, d, "benchmark").select("item_id", tokens.word_tokens(F.col("text")).alias("w"))
+    n = F.explode(F.array(*[F.struct(F.lit(i).alias("n"), F.lit(k).alias("k")) for i, k in enumerate((0, 1, 2, 4))]))
+    items = w.select("item_id", "w", n.alias("c")).select(
+        (F.col("item_id") * 4 + F.col("c.n")).alias("item_id"),
+        F.array_join(F.slice("w", F.lit(1), F.col("c.k")), " ").alias("text"))
+    return evaluate.benchmark_leak(items, fx.table(spark, d, "documents"))
+
+
 def _norm_sql(x: str) -> str:
-    return f"trim(regexp_replace(regexp_replace(lower({x}), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
+    return (f"trim(regexp_replace(regexp_replace(lower({x}), '[^\\p{{L}}\\p{{M}}\\p{{N}}\\s]', ' ', 'g'), "
+            f"'\\s+', ' ', 'g'))")
 
 
-@query("score_answers", O.with_(O.base_ctes("stacked"), f"""
-SELECT idx, {_norm_sql('relevant_context')} = {_norm_sql('answer')} AS exact,
-       {_norm_sql('answer')} <> '' AND instr({_norm_sql('relevant_context')}, {_norm_sql('answer')}) > 0 AS contains
-FROM stacked"""))
+def _any_sql(golds: str, pred: str) -> str:
+    return f"""
+SELECT idx, len(list_filter(g, lambda x: x = p)) > 0 AS exact,
+       len(list_filter(g, lambda x: instr(p, x) > 0)) > 0 AS contains
+FROM (SELECT idx, coalesce({_norm_sql(pred)}, '') AS p,
+             list_filter(list_transform({golds}, lambda a: {_norm_sql('a')}), lambda a: a <> '') AS g FROM stacked)"""
+
+
+@query("score_answers", O.with_(O.base_ctes("stacked"), _any_sql("[answer]", "relevant_context")))
 def q_score_answers(spark, d):
     s = evaluate.score_answers(C.stacked(spark, d), pred="relevant_context", gold="answer")
     return s.select("idx", "exact", "contains")
 
 
+@query("score_answers_any", O.with_(O.base_ctes("stacked"), _any_sql(
+    "[answer, split_part(answer, ' ', 1), question, '?!']", "split_part(relevant_context, '.', 1)")))
+def q_score_answers_any(spark, d):
+    """Any of several gold answers (one of them only punctuation) against the first sentence."""
+    s = C.stacked(spark, d).withColumn("pred", F.substring_index("relevant_context", ".", 1)).withColumn(
+        "answers", F.array("answer", F.split_part("answer", F.lit(" "), F.lit(1)), "question", F.lit("?!")))
+    return evaluate.score_answers(s, pred="pred", gold="answers").select("idx", "exact", "contains")
+
+
 @query("scoreboard", O.with_(PRED_CTE + [("means", MEANS_SQL)], """
 SELECT coalesce(lang, 'ALL') AS lang, coalesce(source, 'ALL') AS source, count(*) AS n,
        CAST(sum(CASE WHEN label = CASE WHEN m1 > m0 THEN 1 ELSE 0 END THEN 1 ELSE 0 END) AS BIGINT) AS correct,
@@ -770,7 +844,12 @@ def q_scoreboard(spark, d):
                     "n", F.col("correct").cast("long").alias("correct"), _r6(F.col("accuracy")).alias("accuracy"))
 
 
-# --------------------------------------------------------------------- grid
+def _grid_pred_sql() -> str:
+    return f"""
+SELECT m.idx, m.label, g.model, g.context,
+       CAST({O.h60("'pred:' || g.model || ':' || g.context || ':' || m.idx")} % 2 AS INTEGER) AS pred
+FROM means m, ({_grid_sql()}) g"""
+
 
 def _grid_sql() -> str:
     rows = []
@@ -780,10 +859,25 @@ def _grid_sql() -> str:
     return " UNION ALL ".join(rows)
 
 
-_FAMILY_OF = {"GEMMA": "gemma", "Llama": "llama"}
-_KIND_OF = {"no_context": "no_context", "random_context": "random_context", "rel_context": "relevant_context",
-            "WD_context": "wrong_date_context"}
+@query("scoreboard_grid", O.with_(PRED_CTE + [("means", MEANS_SQL), ("pr", _grid_pred_sql())], """
+SELECT coalesce(model, 'ALL') AS model, coalesce(context, 'ALL') AS context, coalesce(source, 'ALL') AS source,
+       count(*) AS n, CAST(sum(CASE WHEN label = pred THEN 1 ELSE 0 END) AS BIGINT) AS correct,
+       round(sum(CASE WHEN label = pred THEN 1 ELSE 0 END) / count(*), 6) AS accuracy
+FROM pr JOIN documents d ON d.doc_id = pr.idx GROUP BY CUBE (model, context, source)"""))
+def q_scoreboard_grid(spark, d):
+    """Accuracy by model x context x source over derived predictions of every grid cell."""
+    m = evaluate.window_logit_mean(fx.pred_windows(spark, d), 2).select("idx", "label")
+    cell = F.explode(F.array(*[F.struct(F.lit(a).alias("model"), F.lit(b).alias("context"))
+                               for a in K.GRID_MODELS for b in K.GRID_CONTEXTS]))
+    m = m.select("idx", "label", cell.alias("c")).select("idx", "label", "c.model", "c.context")
+    pred = F.pmod(hash60(F.lit("pred"), F.col("model"), F.col("context"), F.col("idx")), F.lit(2)).cast("int")
+    docs = fx.table(spark, d, "documents").select(F.col("doc_id").alias("idx"), "source")
+    s = evaluate.scoreboard(m.withColumn("pred", pred).join(docs, "idx"), ["model", "context", "source"])
+    return s.select(*[F.coalesce(c, F.lit("ALL")).alias(c) for c in ("model", "context", "source")], "n",
+                    F.col("correct").cast("long").alias("correct"), _r6(F.col("accuracy")).alias("accuracy"))
+
 
+# --------------------------------------------------------------------- grid
 
 @query("experiment_grid", O.with_(O.base_ctes("corpus") + [("matrix", MATRIX_SQL)], f"""
 , files AS (
@@ -793,24 +887,121 @@ _KIND_OF = {"no_context": "no_context", "random_context": "random_context", "rel
                                 ELSE context_kind END || '_packed.jsonl' AS path
   FROM matrix WHERE type IN ('train', 'dev')
   GROUP BY type, family, context_kind
-  HAVING sum(len({O.word_tokens_sql("prompt || answer")}) + 1) >= {W_PACK}),
+  HAVING sum(len({O.word_tokens_sql(_EXAMPLE_SQL)}) + 1) >= {W_PACK}),
 g AS ({_grid_sql()})
 SELECT g.model, g.context,
        'train/train_' || g.model || '_' || g.context || '_packed.jsonl' AS train_path,
        'dev/packed/dev_' || g.model || '_' || g.context || '_packed.jsonl' AS eval_path,
+       CASE g.model WHEN 'GEMMA' THEN '{K.MODEL_PATHS["GEMMA"]}' ELSE '{K.MODEL_PATHS["Llama"]}' END AS model_id,
        CASE WHEN t.path IS NOT NULL AND e.path IS NOT NULL THEN 'ready' ELSE 'missing' END AS status
 FROM g LEFT JOIN files t ON t.path = 'train/train_' || g.model || '_' || g.context || '_packed.jsonl'
        LEFT JOIN files e ON e.path = 'dev/packed/dev_' || g.model || '_' || g.context || '_packed.jsonl'
 """.replace("\n, files AS", "SELECT * FROM (WITH files AS", 1) + ")"))
 def q_experiment_grid(spark, d):
-    m = prompts.prompt_matrix(C.corpus(spark, d)).where(F.col("type").isin("train", "dev"))
-    fam = F.when(F.col("family") == "gemma", "GEMMA").otherwise("Llama")
-    kind = F.when(F.col("context_kind") == "relevant_context", "rel_context") \
-        .when(F.col("context_kind") == "wrong_date_context", "WD_context").otherwise(F.col("context_kind"))
+    m = _named(prompts.examples(prompts.prompt_matrix(C.corpus(spark, d, types=("train", "dev")))))
     path = F.concat(F.when(F.col("type") == "train", "train/train_").otherwise("dev/packed/dev_"),
-                    fam, F.lit("_"), kind, F.lit("_packed.jsonl"))
-    ntok = F.size(tokens.word_tokens(F.concat("prompt", "answer"))) + 1
-    files = (m.groupBy("type", "family", "context_kind", path.alias("path"))
-             .agg(F.sum(ntok).alias("_t")).where(F.col("_t") >= W_PACK).select("path"))
+                    F.col("model"), F.lit("_"), F.col("context"), F.lit("_packed.jsonl"))
+    ntok = F.size(tokens.word_tokens(F.col("example"))) + 1
+    files = (m.groupBy(path.alias("path")).agg(F.sum(ntok).alias("_t")).where(F.col("_t") >= W_PACK).select("path"))
     g = grid.runnable_grid(spark.range(1), files)
-    return g.select("model", "context", "train_path", "eval_path", "status")
+    return g.select("model", "context", "train_path", "eval_path", "model_id", "status")
+
+
+# ------------------------------------------------- written and read back again
+
+@query("dataset_written", O.with_(O.base_ctes("split"), """
+SELECT type AS split, count(*) AS n_rows, CAST(sum(length(relevant_context)) AS BIGINT) AS context_chars,
+       count(DISTINCT source) AS n_sources, true AS files_hold_all, 5::BIGINT AS n_preview
+FROM split GROUP BY type"""))
+def q_dataset_written(spark, d):
+    """The split as a dataset directory, seen through its written manifest."""
+    path = shared_path(spark, "dataset")
+    writers.write_dataset(C.split(spark, d), path, "temporal_qa", metadata={"seed": str(K.SPLIT_SEED)})
+    m = spark.read.schema("manifest STRING").json(f"{path}/_manifest").select(F.from_json(
+        "manifest", "splits ARRAY<STRUCT<split: STRING, n_rows: BIGINT, context_chars: BIGINT, n_sources: BIGINT>>, "
+                    "files ARRAY<STRUCT<file: STRING, n_rows: BIGINT>>, preview ARRAY<STRUCT<idx: STRING>>").alias("m"))
+    in_files = F.aggregate("m.files", F.lit(0).cast("bigint"), lambda a, f: a + f["n_rows"])
+    in_splits = F.aggregate("m.splits", F.lit(0).cast("bigint"), lambda a, f: a + f["n_rows"])
+    return m.select(F.explode("m.splits").alias("s"), (in_files == in_splits).alias("files_hold_all"),
+                    F.size(F.filter("m.preview", lambda r: r["idx"].isNotNull())).cast("bigint").alias("n_preview")) \
+        .select("s.split", "s.n_rows", "s.context_chars", "s.n_sources", "files_hold_all", "n_preview")
+
+
+@query("qa_csv_roundtrip", O.with_([("qa_hard", O.QA_HARD)], """
+SELECT question AS Question, context AS Answer FROM qa_hard"""))
+def q_qa_csv_roundtrip(spark, d):
+    """Questions and multi-line texts as CSV, read with the QA reader."""
+    path = shared_path(spark, "qa-csv")
+    q = fx.qa_hard(spark, d).select(F.col("question").alias("Question"), F.col("context").alias("Answer"))
+    q.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    return readers.read_qa_csv(spark, path)
+
+
+@query("split_files_roundtrip", O.with_(O.base_ctes("split"), f"""
+SELECT pos, idx, question, answer, nullif(relevant_context, '') AS relevant_context, source, type FROM (
+  SELECT *, row_number() OVER (PARTITION BY type ORDER BY {O.h60(f"'{K.SPLIT_SEED}:' || idx")}, idx) - 1 AS pos
+  FROM split)"""))
+def q_split_files_roundtrip(spark, d):
+    """CSV split files with a leading position, read back with all splits (an
+    empty text is a missing value in CSV)."""
+    path = shared_path(spark, "splits")
+    c = C.split(spark, d, keep_order=True)
+    c = global_index(c, ["order_key", "idx"], by=["type"], bucket=F.col("order_bucket"), pos="pos")
+    writers.write_splits(c.select("idx", "question", "answer", "relevant_context", "source", "type", "pos"), path,
+                         fmt="csv", index_col="pos")
+    schema = "_c0 BIGINT, idx STRING, question STRING, answer STRING, relevant_context STRING, source STRING, type STRING"
+    return readers.read_indexed_csv(spark, path, schema)
+
+
+@query("tsqa_jsonl_roundtrip", O.with_([("qa_easy", O.QA_EASY)], """
+SELECT idx, question, context, targets AS answer, 2::INTEGER AS n_targets FROM qa_easy"""))
+def q_tsqa_jsonl_roundtrip(spark, d):
+    path = shared_path(spark, "tsqa")
+    q = fx.qa_easy(spark, d).withColumn("targets", F.array("targets", F.lit("another answer")))
+    writers.write_jsonl(q, path)
+    t = readers.read_tsqa(spark, path)
+    return t.select("idx", "question", "context", "answer", F.size("targets").alias("n_targets"))
+
+
+@query("packed_jsonl_roundtrip", O.with_(PACK_CTES, f"""
+SELECT md5(array_to_string(seq[1:{K.PACK_LEN}], ',')) AS input_md5, md5(array_to_string(seq[2:{W_PACK}], ',')) AS labels_md5
+FROM pk"""))
+def q_packed_jsonl_roundtrip(spark, d):
+    path = shared_path(spark, "packed")
+    writers.write_jsonl(_packed(spark, d).select("input_ids", "labels"), path)
+    p = readers.read_packed(spark, path)
+    return p.select(F.md5(_ids(F.col("input_ids"))).alias("input_md5"), F.md5(_ids(F.col("labels"))).alias("labels_md5"))
+
+
+# ------------------------------------------------- dates that have no year
+
+_DAY_SQL = """
+SELECT o_orderkey AS k, 'Ready ' || strftime(o_orderdate, '%B %-d') || ', sent ' || strftime(o_orderdate, '%-d %B')
+  || ' to ' || strftime(o_orderdate + INTERVAL 40 DAY, '%-d %B %Y') || '; open ' || strftime(o_orderdate, '%B %-d')
+  || ' to 28, ' || year(o_orderdate) || ' and in ' || strftime(o_orderdate, '%B') || ' again.' AS t FROM orders"""
+
+
+def _day_texts(spark, d):
+    at, later = F.col("o_orderdate"), F.col("o_orderdate") + F.expr("INTERVAL 40 DAYS")
+    return fx.table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.concat(
+        F.lit("Ready "), F.date_format(at, "MMMM d"), F.lit(", sent "), F.date_format(at, "d MMMM"), F.lit(" to "),
+        F.date_format(later, "d MMMM yyyy"), F.lit("; open "), F.date_format(at, "MMMM d"), F.lit(" to 28, "),
+        F.year(at), F.lit(" and in "), F.date_format(at, "MMMM"), F.lit(" again.")).alias("t"))
+
+
+@query("extract_day_dates", O.with_([("x", _DAY_SQL)], f"""
+SELECT k, array_to_string({O.mentions_sql('t')}, '|') AS dates,
+       array_to_string(regexp_extract_all(t, '{D.DATE_RX_WITH_BARE_MONTH.replace("'", "''")}', 0), '|') AS with_months
+FROM x"""))
+def q_extract_day_dates(spark, d):
+    """Days without a year, day ranges, and bare months with the wider pattern."""
+    x = _day_texts(spark, d)
+    return x.select("k", F.array_join(D.extract_mentions(F.col("t")), "|").alias("dates"),
+                    F.array_join(D.extract_mentions(F.col("t"), D.DATE_RX_WITH_BARE_MONTH), "|").alias("with_months"))
+
+
+@query("falsify_day_dates", O.with_([("x", _DAY_SQL)], f"""
+SELECT k, {O.falsify_sql('t', 'CAST(k AS VARCHAR)')} AS wrong FROM x"""))
+def q_falsify_day_dates(spark, d):
+    x = dops.falsify_dates(_day_texts(spark, d).withColumn("key", F.col("k").cast("string")), "t", "key", out="wrong")
+    return x.select("k", "wrong")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,7 +63,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None) or \
         spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master.startswith("local-cluster") or not sc.master.startswith("local"):
             # executors cannot share a machine-local folder
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="qaprep-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
@@ -70,14 +71,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/qaprep-{name}-{uuid.uuid4().hex}"
 
-    Used after the multi-stage corpus build so that a lost executor
-    re-reads the checkpoint instead of replaying every stage.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+
+def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as parquet below the shared checkpoint folder and read it back.
+
+    Used where several consumers read a costly stage: each reads only the
+    columns it needs, and a lost executor re-reads the table instead of
+    replaying the stage."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def bucket_bits(spark: SparkSession, minimum: int = 6, maximum: int = 16) -> int:

@@ -13,7 +13,7 @@ QA_SPLIT_SCHEMA = ("_c0 BIGINT, idx STRING, question STRING, answer STRING, rele
                    "source STRING, type STRING, random_context STRING, wrong_date_context STRING")
 TSQA_SCHEMA = ("idx STRING, question STRING, context STRING, targets ARRAY<STRING>, "
                "`from` STRING, `end` STRING, paragraphs ARRAY<STRING>")
-RESPONSE_SCHEMA = "i INT, output STRING"
+RESPONSE_SCHEMA = "i BIGINT, output STRING"
 PACKED_SCHEMA = "input_ids ARRAY<INT>, labels ARRAY<INT>"
 INSTRUCTION_SCHEMA = "instruction STRING, input STRING, output STRING"
 
@@ -27,6 +27,16 @@ def read_qa_csv(spark: SparkSession, path: str, schema: str = QA_CSV_SCHEMA,
             .csv(path))
 
 
+def with_file_order(df: DataFrame) -> DataFrame:
+    """``df`` (a file scan) with ``_file`` and ``_line``: row identity in file and line order.
+
+    Spark deals files to tasks by size, so a task number says nothing about the
+    order of files; the pair (file path, line number within the scan) does, as
+    long as each file is read by one task (multi-line CSV, or unsplit text)."""
+    return df.select("*", F.col("_metadata.file_path").alias("_file"),
+                     F.monotonically_increasing_id().alias("_line"))
+
+
 def read_indexed_csv(spark: SparkSession, path: str, schema: str = QA_SPLIT_SCHEMA) -> DataFrame:
     """CSV whose unnamed leading column is the row index -> ``pos``."""
     df = read_qa_csv(spark, path, schema)
@@ -34,15 +44,16 @@ def read_indexed_csv(spark: SparkSession, path: str, schema: str = QA_SPLIT_SCHE
 
 
 def read_tsqa(spark: SparkSession, path: str, schema: str = TSQA_SCHEMA) -> DataFrame:
-    """One JSON object per line; ``targets`` kept as a list plus a scalar answer."""
+    """One JSON object per line; ``targets`` kept as a list plus a scalar answer
+    (the first one; null for an empty list)."""
     df = spark.read.schema(schema).json(path)
-    return df.withColumn("answer", F.element_at("targets", 1))
+    return df.withColumn("answer", F.get("targets", 0))
 
 
 def read_response_log(spark: SparkSession, path: str) -> DataFrame:
     """``{"i": n, "output": text}`` per line; malformed lines land in
     ``_corrupt_record`` (kept for a report, not silently dropped)."""
-    schema = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("output", T.StringType()),
+    schema = T.StructType([T.StructField("i", T.LongType()), T.StructField("output", T.StringType()),
                            T.StructField("_corrupt_record", T.StringType())])
     return (spark.read.schema(schema).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))

@@ -28,11 +28,11 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_response_log(df: DataFrame, path: str, i_col: str = "i", text_col: str = "output",
-                       mode: str = "append") -> None:
-    """One ``{"i": .., "output": ..}`` JSON object per line, appended."""
-    (df.select(F.to_json(F.struct(F.col(i_col).cast("int").alias("i"),
-                                  F.col(text_col).alias("output"))).alias("value"))
-       .write.mode(mode).text(path))
+                       mode: str = "append", run_col: str = "run_id") -> None:
+    """One ``{"i": .., "output": ..}`` JSON object per line, appended; with the run if there is one."""
+    fields = [F.col(run_col).alias("run_id")] if run_col in df.columns else []
+    fields += [F.col(i_col).cast("long").alias("i"), F.col(text_col).alias("output")]
+    df.select(F.to_json(F.struct(*fields)).alias("value")).write.mode(mode).text(path)
 
 
 def append_metrics(df: DataFrame, path: str, run_id: str, fmt: str = "parquet") -> None:
@@ -50,9 +50,10 @@ def dataset_stats(df: DataFrame, split_col: str = "type", text_col: str = "relev
 
 def write_dataset(df: DataFrame, path: str, name: str, kind: str = "dataset", description: str = "",
                   metadata: dict | None = None, fmt: str = "parquet", split_col: str | None = "type",
-                  text_col: str = "relevant_context") -> DataFrame:
-    """Write data, then a one-row manifest (name, type, description,
-    metadata map, per-split stats) computed by an aggregate, not a collect."""
+                  text_col: str = "relevant_context", preview: int = 5) -> DataFrame:
+    """Write data, then a one-row manifest: name, type, description, metadata map,
+    per-split statistics, files with their row counts, and a preview of the
+    first ``preview`` rows.  Statistics and files are aggregates, not collects."""
     w = df.write.mode("overwrite")
     if split_col and split_col in df.columns:
         w = w.partitionBy(split_col)
@@ -62,8 +63,16 @@ def write_dataset(df: DataFrame, path: str, name: str, kind: str = "dataset", de
     stats = dataset_stats(written, split_col or "type", text_col) if split_col else \
         written.agg(F.count(F.lit(1)).alias("n_rows"))
     head = {"name": name, "type": kind, "description": description, "metadata": metadata or {}}
-    manifest = (stats.agg(F.to_json(F.collect_list(F.struct(*stats.columns))).alias("splits"))
-                .select(F.concat(F.lit(json.dumps(head)[:-1] + ', "splits": '), F.col("splits"), F.lit("}"))
-                        .alias("manifest")))
+    file = F.regexp_extract("_metadata.file_path", r"/data/(.*)$", 1)
+    files = written.groupBy(file.alias("file")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+    def as_list(d: DataFrame, out: str) -> DataFrame:
+        return d.agg(F.coalesce(F.to_json(F.sort_array(F.collect_list(F.struct(*d.columns)))), F.lit("[]"))
+                     .alias(out), F.lit(0).alias("_k"))
+
+    first = as_list(written.limit(preview), "preview")
+    manifest = (as_list(stats, "splits").join(as_list(files, "files"), "_k").join(first, "_k")
+                .select(F.concat(F.lit(json.dumps(head)[:-1] + ', "splits": '), "splits", F.lit(', "files": '), "files",
+                                 F.lit(', "preview": '), "preview", F.lit("}")).alias("manifest")))
     manifest.coalesce(1).write.mode("overwrite").json(f"{path}/_manifest")
     return manifest

@@ -2,10 +2,10 @@
 run must reproduce.
 
 ``stream_responses``: a response log derived from ``documents`` is written
-as JSON-lines parts (twice, to simulate re-sent answers), ingested by the
-streaming job of ``streaming.responses`` and joined to the explicit-question
-requests built from ``orders``.  Expected rows: one per (question with a
-response), duplicates removed.
+as JSON-lines parts and ingested; a second part re-sends every answer, some with
+another text, and a second run of the stream picks it up.  The arrivals are
+joined to the explicit-question requests built from ``orders``.  Expected rows:
+one per (run, question with a response), with the text that batch would keep.
 
 ``stream_prompts``: the stateless corpus transforms (conform, falsify dates,
 render Gemma prompts) run unchanged on a stream of ``orders`` files.
@@ -23,19 +23,23 @@ from ..operators.dates import falsify_dates
 from ..plans import fixtures as fx
 from ..sources.tables import TABLE_SCHEMAS
 from ..sources.writers import write_response_log
-from .responses import attach_stream, response_stream, run_available, scratch
+from .responses import RESPONSE_SCHEMA, attach_arrived, response_stream, run_available, scratch
 
 
 def q_stream_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     log_dir = scratch(spark, "responses-log")
     out_dir = scratch(spark, "responses-out")
     ckpt = scratch(spark, "responses-ckpt")
-    log = fx.responses(spark, sf_dir)
+    log = fx.responses(spark, sf_dir).withColumn("run_id", F.concat(F.lit("run_"), F.pmod("i", F.lit(3))))
     write_response_log(log, log_dir, mode="append")
-    write_response_log(log, log_dir, mode="append")   # a producer that re-sent everything
+    # a producer that sent everything again, a third of it with another text
+    again = F.when(F.pmod("i", F.lit(3)) == 1, F.concat(F.lit("Again: "), F.col("output"))).otherwise(F.col("output"))
+    run_available(response_stream(spark, log_dir), out_dir, ckpt)
+    write_response_log(log.withColumn("output", again), log_dir, mode="append")
+    run_available(response_stream(spark, log_dir), out_dir, ckpt)   # resumes from the checkpoint
     requests = fx.qa_tq(spark, sf_dir).select("pos", "idx")
-    run_available(attach_stream(response_stream(spark, log_dir), requests), out_dir, ckpt)
-    return spark.read.parquet(out_dir).select("idx", "i", "output")
+    return attach_arrived(spark.read.schema(RESPONSE_SCHEMA).parquet(out_dir), requests) \
+        .select("idx", "run_id", "i", "output")
 
 
 def q_stream_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +74,9 @@ def _sql() -> dict[str, str]:
               f"{lit(GEMMA_EOT + chr(10) + GEMMA_MODEL)}")
     return {
         "stream_responses": O.with_([("qa_tq", O.QA_TQ), ("responses", O.RESPONSES)], """
-SELECT t.idx, r.i, r.output FROM qa_tq t JOIN (SELECT DISTINCT i, output FROM responses) r ON r.i = t.pos"""),
+SELECT t.idx, 'run_' || (r.i % 3) AS run_id, r.i,
+       CASE WHEN r.i % 3 = 1 THEN greatest(r.output, 'Again: ' || r.output) ELSE r.output END AS output
+FROM qa_tq t JOIN responses r ON r.i = t.pos"""),
         "stream_prompts": O.with_([("qa_tq", O.QA_TQ)], f"""
 SELECT idx, {prompt} AS prompt FROM (
   SELECT idx, Question AS question, {O.falsify_sql('relevant_context', 'idx')} AS wrong_date_context FROM qa_tq)"""),

@@ -81,6 +81,19 @@ def test_extract_and_mark(spark):
     assert marked == "Born ####12 March 1950####, moved ####1960-1965####, died in ####2001####."
 
 
+def test_days_without_a_year_and_ranges(spark):
+    text = ("Opened April 8, closed May 3 to 6, 1999; ran 8 June to 8 July 1999, from 1 May - 3 June and in March 1995, "
+            "March No. 1, 12 of October 2001, July 4-6 and August.")
+    df = spark.createDataFrame([("0", text)], "idx string, text string")
+    assert extract_dates(df, "text").first()["dates"] == [
+        "April 8", "May 3 to 6, 1999", "8 June to 8 July 1999", "1 May - 3 June", "March 1995", "12 of October 2001",
+        "July 4-6"]
+    bare = extract_dates(df, "text", pattern=D.DATE_RX_WITH_BARE_MONTH).first()["dates"]
+    assert bare[-1] == "August" and "March" in bare
+    (f,) = _fals(spark, ["April 8"])
+    assert f.split(" ")[0] in MONTHS and f != "April 8" and f.endswith(" 8")
+
+
 def test_validate_marked(spark):
     ctx = "on November 30, 1993, in"
     rows = [("a", "on ####November 30, 1993####, in", ctx), ("b", ctx, ctx), ("c", "plain", "plain")]

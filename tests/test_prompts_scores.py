@@ -97,7 +97,7 @@ def test_benchmark_leak(spark):
     docs = spark.createDataFrame([(10, "xx alpha beta gamma delta epsilon zeta eta theta iota kappa yy"),
                                   (11, "alpha beta gamma"), (12, "Xalpha beta gamma delta epsilon zeta eta theta iota kappa")],
                                  "doc_id long, text string")
-    got = sorted((r["item_id"], r["doc_id"]) for r in E.benchmark_leak(items, docs, n=4).collect())
+    got = sorted((r["item_id"], r["doc_id"]) for r in E.benchmark_leak(items, docs).collect())
     assert got == [(1, 10), (1, 12)]
 
 
@@ -139,3 +139,26 @@ def test_request_lines_are_json(spark):
     line = requests.request_lines(requests.context_requests(df, "idx"), "idx").first()["value"]
     obj = json.loads(line)
     assert obj["custom_id"] == "i0" and obj["body"]["messages"][1]["role"] == "user"
+
+
+def test_score_answers_any_script_and_any_of(spark):
+    from qaprep.operators import evaluate
+    rows = [("日本", ["中国"]), ("日本。", ["中国", "日本"]), ("café", ["caf"]), ("!!", ["??"]), (None, ["a"]), ("a b", None),
+            ("In Paris, 1999", ["london", "paris"]), ("a", [None, "a"])]
+    df = spark.createDataFrame(rows, "prediction string, answers array<string>")
+    got = [(r["exact"], r["contains"]) for r in evaluate.score_answers(df, gold="answers").collect()]
+    assert got == [(False, False), (True, True), (False, True), (False, False), (False, False), (False, False),
+                   (False, True), (True, True)]
+
+
+def test_leak_matches_contains_for_items_of_any_length(spark):
+    from qaprep.operators import evaluate
+    docs = [(1, "concatenate strings"), (2, "in new yorkshire"), (3, "one two three four five six seven eight nine ten eleven"),
+            (4, None), (5, ""), (6, "x one two three four five y  z")]
+    items = [(1, "cat"), (2, "new york"), (3, ""), (4, " "), (5, None), (6, "two three four"), (7, "e two three four fiv"),
+             (8, "one two three four five six seven eight nine ten"), (9, "y  z"), (10, "wo three four five six seven"),
+             (1, "cat")]
+    i = spark.createDataFrame(items, "item_id long, text string")
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r["item_id"], r["doc_id"]) for r in evaluate.benchmark_leak(i, d).collect()}
+    assert got == {(a, b) for a, t in items for b, x in docs if t is not None and x is not None and t in x}

@@ -89,6 +89,8 @@ def test_dataset_manifest_round_trip(spark, tmp_path):
     assert data.count() == 2
     assert manifest["name"] == "qa" and manifest["metadata"]["max_seq_len"] == "1024"
     assert sorted(s["split"] for s in manifest["splits"]) == ["dev", "train"]
+    assert sum(f["n_rows"] for f in manifest["files"]) == 2 and all("type=" in f["file"] for f in manifest["files"])
+    assert {r["idx"] for r in manifest["preview"]} == {"a", "b"}
 
 
 def test_append_metrics(spark, tmp_path):

@@ -52,16 +52,62 @@ def test_sliding_windows(spark):
     assert [r["text"] for r in w] == ["0 1 2 3", "3 4 5 6", "6 7 8 9"]
 
 
-def test_batch_and_step_plan(spark):
-    df = spark.range(0, 19).withColumnRenamed("id", "pos")
-    b = T.batch_plan(df, "pos", 8, [])
-    assert sorted(r["n_rows"] for r in b.collect()) == [3, 8, 8]
+def test_batches_stack_columns(spark):
+    rows = [(i, [i, i + 1], [i + 1, i + 2]) for i in range(19)]
+    df = spark.createDataFrame(rows, "chunk_id long, input_ids array<int>, labels array<int>").repartition(4)
+    got = {r["batch"]: r for r in T.batches(df, 8).collect()}
+    assert {k: r["n_rows"] for k, r in got.items()} == {0: 8, 1: 8, 2: 3}
+    assert got[1]["members"] == list(range(8, 16))
+    assert got[1]["input_ids"] == [[i, i + 1] for i in range(8, 16)]
+    assert got[2]["labels"] == [[i + 1, i + 2] for i in range(16, 19)]
+
+
+def test_step_plan(spark):
+    b = spark.range(0, 3).withColumnRenamed("id", "batch")
     s = T.step_plan(b, 8, 3).collect()
     assert len(s) == 9
     assert {r["accum"] for r in s} == {4} and {r["total_steps"] for r in s} == {2}
     assert sorted((r["epoch"], r["batch"]) for r in s if r["is_update"]) == [(0, 0), (1, 0), (2, 0)]
 
 
+def test_batch_ids_equal_those_of_packing(spark):
+    rows = [(f"d{i}", list(range((i * 7) % 90 + 1))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc string, ids array<int>").withColumn("k", seeded_key(["doc"], 3))
+    packed = T.pack_sequences(df, "ids", "k", seq_len=16, eos_id=-1, tie=["doc"])
+    offs = T.token_offsets(df, "k", F.size("ids") + 1, tie=["doc"])
+    want = {r["batch"] for r in T.batches(packed, 4).collect()}
+    assert {r["batch"] for r in T.batch_ids(offs, 4, 16).collect()} == want
+
+
+def test_pack_keeps_rows_without_tokens(spark):
+    df = spark.createDataFrame([("a", None), ("b", [5, 6])], "doc string, ids array<int>") \
+        .withColumn("k", F.when(F.col("doc") == "a", 1).otherwise(2).cast("long"))
+    p = T.pack_sequences(df, "ids", "k", seq_len=3, eos_id=9).collect()
+    assert [r["input_ids"] + r["labels"][-1:] for r in p] == [[9, 5, 6, 9]]
+
+
+def test_vocab_order_with_any_alphabet_and_no_hot_range(spark):
+    odd = ["a\U0001F600", "a\uffee", "a\ue000", "aé", "ab", "\U0001F680", "zz"]
+    tokens = [f"ht{i:06d}" for i in range(20_000)] + odd + odd[:2]
+    df = spark.createDataFrame([(" ".join(tokens[i::40]),) for i in range(40)], "text string")
+    got = sorted(T.build_vocab(df, "text", n_buckets=16).collect(), key=lambda r: r["id"])
+    count = {t: tokens.count(t) if t in odd else 1 for t in tokens}
+    want = sorted(count, key=lambda t: (-count[t], t.encode()))
+    assert [r["token"] for r in got] == want
+    assert [r["id"] for r in got] == list(range(3, 3 + len(want)))
+    from qaprep.operators.ordering import range_index
+    ranged = range_index(df.select(F.explode(F.split("text", " ")).alias("t")).distinct(), ["t"], partitions=16)
+    assert ranged.count() == len(want)
+
+
+def test_range_index_spreads_one_leading_value(spark):
+    from qaprep.session import materialise
+    rows = spark.range(20_000).select(F.lit(1).alias("n"), F.concat(F.lit("ht"), F.col("id")).alias("t"))
+    dealt = materialise(rows.repartitionByRange(16, "n", "t").withColumn("b", F.spark_partition_id()))
+    sizes = [r["count"] for r in dealt.groupBy("b").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 0.2 * 20_000
+
+
 def test_vocab_ranks(spark):
     df = spark.createDataFrame([("b a a c a b",)], "text string")
     v = {r["token"]: (r["n"], r["id"]) for r in T.build_vocab(df, "text", n_buckets=4).collect()}

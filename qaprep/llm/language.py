@@ -27,10 +27,10 @@ from .shared import (batch, byte_set, chunks, held_out_column, lower_ascii, mix,
 
 #: documents per language and languages that the model is fitted on
 SAMPLE_PER_LANG, MAX_LANGS = 300, 64
-#: bits of the feature table, words of one training sequence, words in a lane
-TABLE_BITS, SPLICE, LANE = 18, 2000, 128
+#: bits of the feature table, words in a lane
+TABLE_BITS, LANE = 18, 64
 #: bytes of text handled at once
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 _LETTERS = byte_set("A-Za-z\x80-\xff")
 _LETTER = regex.compile(r"\p{L}")
@@ -61,7 +61,8 @@ def emissions(weights: np.ndarray, fixed: np.ndarray, tri: np.ndarray, starts, e
     out = weights[fixed[:, 0]]
     for k in range(1, fixed.shape[1]):
         out = out + weights[fixed[:, k]]
-    sums = np.concatenate([np.zeros((1, weights.shape[1])), np.cumsum(weights[tri], 0, dtype=np.float64)])
+    sums = np.zeros((len(tri) + 1, weights.shape[1]))
+    np.cumsum(weights[tri], 0, out=sums[1:])
     n = np.maximum(ends - starts - 2, 0)
     return out + (sums[starts + n] - sums[starts]) / np.maximum(n, 1)[:, None]
 

@@ -31,7 +31,7 @@ from .shared import (NON_SPACE, byte_set, chunks, held_out_column, lower_ascii,
 SAMPLE_ROWS, SOFT = 2000, 0.25
 #: bounds of a prior's strength, in documents
 STRENGTH = (2.0, 1e5)
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 _SETS = [byte_set("#*$%&|<>"), byte_set("0-9"), byte_set("A-Z"), byte_set(".,;:!?"), byte_set("A-Za-z\x80-\xff"),
          byte_set("\n")]

@@ -44,7 +44,7 @@ OFFSETS, RANGE = LENGTH - GRAM + 1, 13
 #: distinct contexts of one anchor that meet in one task
 HOT_CONTEXTS = 4096
 #: bytes of text hashed at once, and bytes of contexts in one suffix array
-CHUNK, ARRAY_BYTES = 1 << 20, 4 << 20
+CHUNK, ARRAY_BYTES = 1 << 19, 1 << 20
 
 _POS_BITS = np.uint64(31)  # a Spark string has at most 2**31 - 1 bytes
 _POS_MASK = np.uint64((1 << 31) - 1)
@@ -180,11 +180,11 @@ def maximal_repeats(texts: list[bytes], starts: list[tuple[int, int]] | None = N
     size = np.array([len(t) for t in texts])
     begin = np.cumsum(size + 1) - size - 1
     n = int(size.sum() + len(texts))
-    sym = np.zeros(n, np.int64)  # 0 after each text, else byte + 1
+    sym = np.zeros(n, np.int16)  # 0 after each text, else byte + 1
     inside = np.ones(n, bool)
     inside[begin + size] = False
-    sym[inside] = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64) + 1
-    text_of = np.repeat(np.arange(len(texts)), size + 1)
+    sym[inside] = np.frombuffer(b"".join(texts), np.uint8).astype(np.int16) + 1
+    text_of = np.repeat(np.arange(len(texts), dtype=np.int32), size + 1)
     rest = (begin + size)[text_of] - np.arange(n)
     if starts is None:
         mine = rest >= least
@@ -195,17 +195,18 @@ def maximal_repeats(texts: list[bytes], starts: list[tuple[int, int]] | None = N
         spot = np.arange(n)
         mine = (spot >= first[text_of]) & (spot <= (begin + s[:, 1])[text_of]) & (rest >= least)
     # ranks by 7, 14, 28 ... symbols, up to half of the shortest repeat
-    padded = np.concatenate([sym, np.zeros(6, np.int64)])
+    padded = np.concatenate([sym, np.zeros(6, np.int16)])
     key = np.zeros(n, np.int64)
     for k in range(7):
         key = (key << 9) | padded[k:k + n]
-    depth, levels = 7, [(7, dense(key)[0])]
+    depth, levels = 7, [(7, dense(key)[0].astype(np.int32))]
     while 2 * depth <= max(7, least):
         rank = levels[-1][1]
-        after = np.zeros(n, np.int64)
-        after[:n - depth] = rank[depth:] + 1
+        key = rank.astype(np.int64) * (n + 1)
+        key[:n - depth] += rank[depth:] + 1
         depth *= 2
-        levels.append((depth, dense(rank * (n + 1) + after)[0]))
+        levels.append((depth, dense(key)[0].astype(np.int32)))
+    del key
     top = levels[-1][1]
 
     def ranks(at):
@@ -214,7 +215,7 @@ def maximal_repeats(texts: list[bytes], starts: list[tuple[int, int]] | None = N
 
     # suffixes that share their first ``least`` symbols with another one
     p = np.flatnonzero(mine)
-    shared, kinds = dense(top[p] * (n + 1) + ranks(p + max(0, least - depth)))
+    shared, kinds = dense(top[p].astype(np.int64) * (n + 1) + ranks(p + max(0, least - depth)))
     if depth > least:
         raise ValueError("a repeat has at least 7 symbols")
     p = p[np.bincount(shared, minlength=kinds)[shared] > 1]
@@ -237,7 +238,7 @@ def maximal_repeats(texts: list[bytes], starts: list[tuple[int, int]] | None = N
         common = np.where(sym[i] == sym[j], common + 1, common)
     lcp[1:] = np.minimum(common, np.minimum(rest[a], rest[b]))
     lcp[lcp < least] = 0
-    left = np.where(p > first[text_of[p]], sym[p - 1], -1 - np.arange(len(p)))
+    left = np.where(p > first[text_of[p]], sym[p - 1].astype(np.int64), -1 - np.arange(len(p)))
     return [(length, text_of[p[l:r + 1]], p[l:r + 1] - begin[text_of[p[l:r + 1]]])
             for l, r, length in interval_tree(lcp, left, least).tolist()]
 

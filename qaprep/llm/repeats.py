@@ -466,9 +466,10 @@ def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Characters that lie wholly inside a removed run go and ``n_chars`` (if there)
     follows; a document that loses characters and has no word left is dropped.
     Documents that lose nothing come back as they are, null texts included."""
-    found = _per_document(repeat_spans(docs, id_col, text_col)).withColumnsRenamed({"doc_id": "__d", "th": "__t"})
+    found = _per_document(repeat_spans(docs, id_col, text_col)).withColumnsRenamed(
+        {"doc_id": "__d", "th": "__t", "spans": "__spans"})
     on = F.col(id_col).cast("bigint").eqNullSafe(F.col("__d")) & (F.hash(F.col(text_col)) == F.col("__t"))
-    joined = docs.join(found, on, "left").drop("__d", "__t").withColumnRenamed("spans", "__spans")
+    joined = docs.join(found, on, "left").drop("__d", "__t")
     at = joined.columns.index(text_col)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 

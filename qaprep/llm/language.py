@@ -304,7 +304,7 @@ def language_of_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
                                                       F.col("lang_score").alias("score"))
 
 
-def keep_identified(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text",
+def keep_identified(docs: DataFrame, least: float = 0.4, id_col: str = "doc_id", text_col: str = "text",
                     lang_col: str = "lang") -> DataFrame:
     """``docs`` without the documents whose language is undetermined (``und``) or whose
     best language has less than ``least`` of the words' posterior mass.

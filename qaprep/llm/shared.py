@@ -66,9 +66,8 @@ def scratch_dir(spark: SparkSession) -> str:
         return base.rstrip("/")
     if sc.master.startswith("local-cluster") or not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    base = "file://" + tempfile.mkdtemp(prefix="qaprep-llm-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="qaprep-llm-", dir=os.environ.get("TMPDIR", "/tmp")))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

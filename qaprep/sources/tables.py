@@ -3,9 +3,9 @@
 A scan of a large table yields one task per file split, so it is already
 parallel.  A small table stored as a single row group yields one task no
 matter how many cores there are; every CPU-heavy projection after it (regex,
-md5, folds) would then run on one core.  ``read_table`` spreads such a scan
-by hashing its unique key — deterministic on retry, a no-op when the scan
-already has at least ``defaultParallelism`` splits (the 100 TB case).
+md5, folds) would then run on one core.  ``read_table(..., least_splits=n)``
+spreads a scan of fewer splits by hashing its unique key, which changes the plan
+but no result; by default the least is the number of cores, and 0 turns it off.
 """
 
 from __future__ import annotations
@@ -52,17 +52,16 @@ TABLE_SCHEMAS = {
 }
 
 
-def spread(df: DataFrame, keys: list[str] | None) -> DataFrame:
-    spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    if not keys or df.rdd.getNumPartitions() >= want:
+def spread(df: DataFrame, keys: list[str] | None, least_splits: int) -> DataFrame:
+    if not keys or least_splits <= 1 or df.rdd.getNumPartitions() >= least_splits:
         return df
-    return df.repartition(want, *[F.col(k) for k in keys])
+    return df.repartition(least_splits, *[F.col(k) for k in keys])
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, least_splits: int | None = None) -> DataFrame:
     reader = spark.read
     if name in TABLE_SCHEMAS:
         reader = reader.schema(TABLE_SCHEMAS[name])
     df = reader.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, TABLE_KEYS.get(name))
+    least = spark.sparkContext.defaultParallelism if least_splits is None else least_splits
+    return spread(df, TABLE_KEYS.get(name), least)

@@ -73,7 +73,10 @@ def ensure_suffix(c: Column, suffix: str = K.EOS) -> Column:
 def prompt_matrix(df: DataFrame, keep: Sequence[str] = ("idx", "type", "source", "answer"),
                   families: Sequence[str] = tuple(K.FAMILIES),
                   kinds: Sequence[str] = tuple(K.CONTEXT_KINDS)) -> DataFrame:
-    """Long form: one row per (row, family, context kind) with its prompt."""
+    """Long form: one row per (row, family, context kind) with its prompt.
+
+    A row without a question has no prompt, and a variant whose context is null
+    has none either: these rows are left out."""
     q = F.col("question")
     variants = []
     for fam in families:
@@ -101,7 +104,8 @@ def context_question_long(df: DataFrame, key: str = "idx", answer: str = "answer
                                                                  ("WD_RCQ", "wrong_date_context"),
                                                                  ("ICQ", "ic"), ("WD_ICQ", "wd_ic"))) -> DataFrame:
     """Wide -> long: each context variant rendered as ``Context: .. Question: ..``
-    into one ``cq`` column (the irrelevant variants include the question too)."""
+    into one ``cq`` column (the irrelevant variants include the question too).
+    Variants with a null context or question are left out."""
     arr = F.array(*[F.struct(F.lit(name).alias("variant"),
                              context_question(F.col(col), F.col("question")).alias("cq"))
                     for name, col in variants])

@@ -149,7 +149,8 @@ def url_site(url: Column) -> tuple[Column, Column]:
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     host: Column | None = None, path: Column | None = None, label_col: str = "quality",
                     sample: int = SAMPLE_ROWS) -> DataFrame:
-    """(doc_id, held_out, score, predicted, doc_score, host_rate, path_rate) of every document.
+    """(doc_id, held_out, score, predicted, kept, doc_score, host_rate, path_rate) of every document;
+    ``predicted`` is 1 and ``kept`` true where quality 1 is likelier (score >= 0.5).
 
     ``host`` and ``path`` default to the source and to its language section.  Labels
     of held-out ids are not looked at.  A document without a host has the global
@@ -194,4 +195,4 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     return (out.withColumns({c: F.coalesce(c, F.lit(rate)) for c in ("host_rate", "path_rate")})
             .withColumn("score", 1 / (1 + F.exp(-z)))
             .select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
-                    "doc_score", "host_rate", "path_rate"))
+                    (F.col("score") >= 0.5).alias("kept"), "doc_score", "host_rate", "path_rate"))

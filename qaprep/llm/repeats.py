@@ -42,7 +42,7 @@ LENGTH, GRAM = 200, 32
 #: window offsets around an anchor, and offsets in a range of a hot anchor
 OFFSETS, RANGE = LENGTH - GRAM + 1, 13
 #: distinct contexts of one anchor that meet in one task
-HOT_CONTEXTS = 4096
+HOT_CONTEXTS = 1024
 #: bytes of text hashed at once, and bytes of contexts in one suffix array
 CHUNK, ARRAY_BYTES = 1 << 19, 1 << 20
 

@@ -30,12 +30,18 @@ _MADE: list[str] = []
 
 _SHIPPED: set[str] = set()
 
+#: rows of an Arrow batch, where the session has Spark's default of 10,000: rows here are whole texts
+BATCH_ROWS = 2000
+
 
 def ship(spark: SparkSession) -> None:
-    """Let the Python workers import this package.
+    """Let the Python workers import this package, and keep Arrow batches of texts small.
 
-    Nothing to do where it is on ``PYTHONPATH``; else the package goes along as a
-    zip file, as with ``spark-submit --py-files``."""
+    Nothing to ship where it is on ``PYTHONPATH``; else the package goes along as a
+    zip file, as with ``spark-submit --py-files``.  A batch size that the session
+    sets itself stays as it is."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED or root in os.environ.get("PYTHONPATH", "").split(":"):

@@ -43,6 +43,8 @@ LENGTH, GRAM = 200, 32
 OFFSETS, RANGE = LENGTH - GRAM + 1, 13
 #: distinct contexts of one anchor that meet in one task
 HOT_CONTEXTS = 1024
+#: rows of one anchor, as one in ROUTE_SAMPLE of the rows shows them, from which it is classed without a window
+HOT_ROWS, ROUTE_SAMPLE = 2048, 64
 #: bytes of text hashed at once, and bytes of contexts in one suffix array
 CHUNK, ARRAY_BYTES = 1 << 19, 1 << 20
 
@@ -89,7 +91,7 @@ def _context_hash(prefix, lo, hi, x):
     return mix(span_hash(prefix, lo, hi + LENGTH) + (x - lo).astype(np.uint64))
 
 
-def _combine(a, c, cols):
+def _combine(a, c):
     """One row per equal (a, c) and the rows that are not alone."""
     order = np.lexsort((c, a))
     sa, sc = a[order], c[order]
@@ -112,7 +114,7 @@ def _anchor_rows(batches):
             continue
         a = span_hash(prefix, x, x + GRAM)
         c = _context_hash(prefix, lo, hi, x)
-        one, weight, many = _combine(a, c, None)
+        one, weight, many = _combine(a, c)
         doc = np.searchsorted(ch.offs, lo, "right") - 1
         rows = np.concatenate([one, many])
         w = np.concatenate([weight, np.zeros(len(many), np.int8)])
@@ -124,9 +126,31 @@ def _anchor_rows(batches):
                     (x[rows] - at).astype(np.int32), w)
 
 
-def _classes(rows: DataFrame) -> DataFrame:
+def _classes(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows whose anchor is not alone, with ``copies`` of their context (2 = more),
-    ``kinds`` (distinct contexts of the anchor) and ``first`` (one row per context)."""
+    ``kinds`` (distinct contexts of the anchor) and ``first`` (a row that stands for its context).
+
+    ``rows`` is a stored table.  A sample of it tells the anchors with very many rows:
+    those are counted by context and then by anchor with partial sums, and the
+    counts are joined back (small, or a join whose skew Spark splits).  All other
+    anchors take one window pass.  Either way gives the same rows."""
+    seen = rows.where(F.pmod(F.xxhash64("doc_id", "lo", F.lit("route")), F.lit(ROUTE_SAMPLE)) == 0)
+    hot = materialize(seen.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+                      .where(F.col("n") * ROUTE_SAMPLE >= hot_rows).select("a"), "hot-anchors")
+    if hot.isEmpty():
+        return _window_classes(rows)
+    cold = _window_classes(rows.join(hot, "a", "left_anti"))
+    warm = rows.join(hot, "a", "left_semi")
+    place = F.struct("doc_id", "th", "lo", "hi", "x")
+    contexts = materialize(warm.groupBy("a", "c").agg(F.sum("w").alias("copies"), F.min(place).alias("rep")),
+                           "hot-contexts")
+    anchors = materialize(contexts.groupBy("a").agg(F.count(F.lit(1)).alias("kinds"), F.sum("copies").alias("total"))
+                          .where("total > 1").select("a", "kinds"), "hot-kinds")
+    counted = warm.join(contexts, ["a", "c"]).join(anchors, "a").withColumn("first", place.eqNullSafe(F.col("rep")))
+    return cold.unionByName(counted.select(*cold.columns))
+
+
+def _window_classes(rows: DataFrame) -> DataFrame:
     same = Window.partitionBy("a", "c")
     anchor = Window.partitionBy("a")
     return (rows.withColumn("copies", F.sum("w").over(same))
@@ -327,10 +351,13 @@ def _ranged(width: int):
             core = span_hash(prefix, base[i] + x[i] + o1, base[i] + x[i] + o0 + LENGTH)
             key = mix(core + mix(a[i] + r.astype(np.uint64)))
             c = _context_hash(prefix, base[i] + s0, base[i] + s1, base[i] + x[i])
-            pick = pa.array(i)
-            yield batch(_ROWS, key.view(np.int64), c.view(np.int64), ch.column("doc_id").take(pick),
-                        ch.column("th").take(pick), s0.astype(np.int32), s1.astype(np.int32),
-                        x[i].astype(np.int32), np.ones(len(i), np.int8))
+            one, weight, many = _combine(key, c)
+            rows = np.concatenate([one, many])
+            w = np.concatenate([weight, np.zeros(len(many), np.int8)])
+            pick = pa.array(i[rows])
+            yield batch(_ROWS, key[rows].view(np.int64), c[rows].view(np.int64), ch.column("doc_id").take(pick),
+                        ch.column("th").take(pick), s0[rows].astype(np.int32), s1[rows].astype(np.int32),
+                        x[i][rows].astype(np.int32), w)
     return run
 
 
@@ -340,36 +367,44 @@ def _solve(ctx: DataFrame) -> DataFrame:
     return src.repartition("a").sortWithinPartitions("a").mapInArrow(_tree_spans, _SPAN_SQL)
 
 
+def _known(rows: DataFrame) -> DataFrame:
+    """Contexts that a text chunk holds more than once."""
+    return rows.where("w = 0").select("doc_id", "th", F.col("lo").alias("start"), (F.col("hi") + LENGTH).alias("end"))
+
+
 def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 hot: int = HOT_CONTEXTS) -> DataFrame:
+                 hot: int = HOT_CONTEXTS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(doc_id, th, start, end): byte ranges, some overlapping, that 200-byte strings
     occurring more than once cover; ``th`` is a hash of the text."""
     src = _source(docs, id_col, text_col)
     rows = materialize(src.mapInArrow(_anchor_rows, _ROWS_SQL), "anchors")
-    known = rows.where("w = 0").select("doc_id", "th", F.col("lo").alias("start"),
-                                       (F.col("hi") + LENGTH).alias("end"))
-    classed = materialize(_classes(rows.where("w > 0")), "classes")
+    classed = materialize(_classes(rows.where("w > 0"), hot_rows), "classes")
     need = (classed.where("kinds > 1 AND first").groupBy("doc_id", "th")
             .agg(F.collect_list(F.struct("a", F.col("kinds").cast("bigint").alias("kinds"), "lo", "hi", "x"))
                  .alias("need")))  # of one document: no longer than its text
     cut = _join_docs(src, need).mapInArrow(
         _contexts, "a BIGINT, kinds BIGINT, doc_id BIGINT, th INT, lo INT, hi INT, x INT, ctx BINARY")
     cut = materialize(cut, "contexts")
-    spans = [known, _whole(classed), _solve(cut.where(F.col("kinds") <= hot))]
-    # anchors with too many contexts for one task: longer cores, twice
+    spans = [_known(rows), _whole(classed), _solve(cut.where(F.col("kinds") <= hot))]
     big = cut.where(F.col("kinds") > hot)
-    ranged = materialize(_classes(big.mapInArrow(_ranged(RANGE), _ROWS_SQL)), "ranges")
-    again = (ranged.where("kinds > 1 AND first")
-             .select(F.col("a").alias("key"), F.col("kinds").cast("bigint").alias("kinds2"), "doc_id", "th", "x",
-                     F.col("lo").alias("lo2"), F.col("hi").alias("hi2")))
-    parts = (again.join(big.drop("kinds"), (again["x"] == big["x"]) & again["doc_id"].eqNullSafe(big["doc_id"])
-                        & (again["th"] == big["th"]))
-             .select(again["key"].alias("a"), "kinds2", again["doc_id"], again["th"], "lo2", "hi2", again["x"],
-                     F.expr("substring(ctx, lo2 - lo + 1, hi2 - lo2 + 200)").alias("ctx"))
-             .withColumnsRenamed({"lo2": "lo", "hi2": "hi"}))
-    parts = materialize(parts, "range-contexts")
-    single = _classes(parts.where(F.col("kinds2") > hot).mapInArrow(_ranged(1), _ROWS_SQL))
-    spans += [_whole(ranged), _solve(parts.where(F.col("kinds2") <= hot)), _whole(single)]
+    if not big.isEmpty():
+        # anchors with too many contexts for one task: longer cores, twice
+        rows = materialize(big.mapInArrow(_ranged(RANGE), _ROWS_SQL), "range-rows")
+        ranged = materialize(_classes(rows.where("w > 0"), hot_rows), "ranges")
+        again = (ranged.where("kinds > 1 AND first")
+                 .select(F.col("a").alias("key"), F.col("kinds").cast("bigint").alias("kinds2"), "doc_id", "th", "x",
+                         F.col("lo").alias("lo2"), F.col("hi").alias("hi2")))
+        parts = (again.join(big.drop("kinds"), (again["x"] == big["x"]) & again["doc_id"].eqNullSafe(big["doc_id"])
+                            & (again["th"] == big["th"]))
+                 .select(again["key"].alias("a"), "kinds2", again["doc_id"], again["th"], "lo2", "hi2", again["x"],
+                         F.expr("substring(ctx, lo2 - lo + 1, hi2 - lo2 + 200)").alias("ctx"))
+                 .withColumnsRenamed({"lo2": "lo", "hi2": "hi"}))
+        parts = materialize(parts, "range-contexts")
+        spans += [_known(rows), _whole(ranged), _solve(parts.where(F.col("kinds2") <= hot))]
+        rest = parts.where(F.col("kinds2") > hot)
+        if not rest.isEmpty():
+            rows = materialize(rest.mapInArrow(_ranged(1), _ROWS_SQL), "window-rows")
+            spans += [_known(rows), _whole(_classes(rows.where("w > 0"), hot_rows))]
     out = spans[0]
     for s in spans[1:]:
         out = out.unionByName(s)
@@ -425,7 +460,7 @@ def _per_document(spans: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                hot: int = HOT_CONTEXTS) -> DataFrame:
+                hot: int = HOT_CONTEXTS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept_text) per document.
 
     Removes each byte that a 200-byte string covers which also starts anywhere
@@ -453,7 +488,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema)
 
     src = _source(docs, id_col, text_col)
-    found = _per_document(repeat_spans(docs, id_col, text_col, hot))
+    found = _per_document(repeat_spans(docs, id_col, text_col, hot, hot_rows))
     return _join_docs(src, found, "left").mapInArrow(
         run, "doc_id BIGINT, n_bytes BIGINT, n_removed BIGINT, n_spans BIGINT, kept_sha256 STRING, "
              "spans ARRAY<STRUCT<start: INT, end: INT>>, kept_text STRING")

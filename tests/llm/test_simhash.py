@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark import cloudpickle
 
 from qaprep.llm import components, simhash
 
@@ -99,3 +100,34 @@ def test_components_equal_union_find_with_small_blocks(spark, monkeypatch):
     got = components.connected_components(spark.createDataFrame(edges, "u long, v long"))
     loops = {a for a, b in edges if a == b} - {x for a, b in edges if a != b for x in (a, b)}
     assert {r.node: r.root for r in got.collect()} == {k: v for k, v in low.items() if k not in loops}
+
+
+def components_of(edges):
+    low = {x: x for e in edges for x in e}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            m = min(low[a], low[b])
+            changed |= low[a] != m or low[b] != m
+            low[a] = low[b] = m
+    return sorted(low.items())
+
+
+def test_components_when_batches_are_smaller_than_a_block(spark, monkeypatch):
+    """Several blocks a task, hubs of several blocks, and rows of one node in several batches."""
+    monkeypatch.setattr(components, "BLOCK", 40)
+    cloudpickle.register_pickle_by_value(components)  # the workers see this block size
+    rnd = random.Random(9)
+    edges = [(a, b) for a, b in ((rnd.randrange(500), rnd.randrange(500)) for _ in range(420)) if a != b]
+    edges += [(i, 2000) for i in range(1500, 1800)] + [(1499, 1799)] + [(1000 + i, 1001 + i) for i in range(50)]
+    rnd.shuffle(edges)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        got = components.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()
+    finally:
+        spark.conf.set(key, before)
+        cloudpickle.unregister_pickle_by_value(components)
+    assert sorted(map(tuple, got)) == components_of(edges)

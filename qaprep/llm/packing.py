@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 import zlib
 
 import numpy as np
@@ -36,7 +37,10 @@ CAPACITY, LEAST, END_ID = 2048, 128, 1
 #: windows that are packed together
 GROUP_WINDOWS = 128
 CHUNK = 1 << 20
+#: white-space characters in a row that are not given to the fast tokenizer, which fails on about a million
+LONG_SPACE = 100_000
 
+_SPACE = re.compile(r"\s+")
 _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
                      ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("deal", pa.int64()),
                      ("ids", pa.list_(pa.int32()))])
@@ -46,11 +50,17 @@ _PIECES_SQL = "doc_id BIGINT, start BIGINT, length BIGINT, ids_crc32 BIGINT, doc
 
 # ---------------------------------------------------------------- tokenizing
 
+def long_space(text: str) -> bool:
+    """Whether ``LONG_SPACE`` or more white-space characters follow one another."""
+    return len(text) >= LONG_SPACE and any(m.end() - m.start() >= LONG_SPACE for m in _SPACE.finditer(text))
+
+
 class Tokens:
     """Ids of the byte-level BPE file, the same that ``tokenizers`` gives.
 
     The vocabulary's rank file is encoded several times faster; a text that holds
-    a special token's string goes to ``tokenizers`` itself."""
+    a special token's string or a very long run of white space goes to ``tokenizers``
+    itself."""
 
     def __init__(self, vocabulary: str, ranks: str | None = None, pattern: str | None = None):
         from tokenizers import Tokenizer
@@ -64,7 +74,7 @@ class Tokens:
             self.fast = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
     def ids(self, text: str) -> np.ndarray:
-        if self.fast is None or any(s in text for s in self.special):
+        if self.fast is None or any(s in text for s in self.special) or long_space(text):
             return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(self.fast.encode_ordinary(text), np.uint32)
 

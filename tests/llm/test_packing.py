@@ -57,6 +57,17 @@ def test_repeated_rows_null_ids_and_empty_table(frame, exact):
     assert packing.pack_documents(frame([])).count() == 0
 
 
+@pytest.mark.parametrize("space", [" ", "\n", "\u00a0", "\n "])
+def test_very_long_white_space(space, exact):
+    text = "a" + space * (1_200_000 // len(space)) + "b"
+    assert np.append(packing.default_tokens().ids(text), 1).tolist() == exact(text)
+
+
+def test_a_document_of_white_space_is_packed(frame, exact):
+    docs = [(1, "a" + " " * 1_200_000 + "b"), (2, "short")]
+    check(packing.pack_documents(frame(docs)).collect(), docs, exact)
+
+
 def test_windows_as_training_rows(frame, exact):
     docs = [(i, f"text number {i} " * (50 * i)) for i in range(1, 20)]
     packed = packing.pack_documents(frame(docs), keep_ids=True)

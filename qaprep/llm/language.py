@@ -7,8 +7,9 @@ its hash (lexicon), its affixes of one to three bytes and its byte trigrams,
 all hashed into one weight table.  Posteriors come from forward-backward.
 
 The model is fitted by AdaGrad on the driver, on a bounded sample: at most
-``SAMPLE_PER_LANG`` documents of each of at most ``MAX_LANGS`` languages.  The
-training sequences are spliced from spans of these documents, so transitions
+``SAMPLE_PER_LANG`` documents of every language.  Above ``FULL_LANGS`` languages
+there are fewer documents of each (``LEAST_PER_LANG`` at least), a smaller feature
+table and smaller chunks of text, but no language is left out.  The training sequences are spliced from spans of these documents, so transitions
 between languages are seen.  Scoring reads every whole text, vectorised over a
 chunk: the chain is cut into lanes whose transition products are combined, which
 equals the sequential recursion.
@@ -25,8 +26,10 @@ from pyspark.sql import functions as F
 from .shared import (batch, byte_set, chunks, held_out_column, lower_ascii, mix, pack_model, prefix_hash, ship,
                      span_hash, unpack_model, word_bounds)
 
-#: documents per language and languages that the model is fitted on
-SAMPLE_PER_LANG, MAX_LANGS = 300, 64
+#: documents per language that the model is fitted on, and the least number with very many languages
+SAMPLE_PER_LANG, LEAST_PER_LANG = 300, 20
+#: languages up to which sample, table and chunks have their full size
+FULL_LANGS = 64
 #: bits of the feature table, words in a lane
 TABLE_BITS, LANE = 18, 64
 #: bytes of text handled at once
@@ -56,6 +59,11 @@ def word_features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bits:
     return fixed, (mix(tri) >> shift).astype(np.int32)
 
 
+def table_bits(k: int) -> int:
+    """Bits of the feature table for k languages: it grows no more above ``FULL_LANGS``."""
+    return TABLE_BITS - max(0, -(-k // FULL_LANGS) - 1).bit_length()
+
+
 def emissions(weights: np.ndarray, fixed: np.ndarray, tri: np.ndarray, starts, ends) -> np.ndarray:
     """Scores (words x languages): fixed features, plus the mean over the word's trigrams."""
     out = weights[fixed[:, 0]]
@@ -120,10 +128,13 @@ def posteriors(scores, first, trans, start) -> np.ndarray:
 # ------------------------------------------------------------------- fitting
 
 def bounded_sample(rows: DataFrame, label: str, key: str, per_label: int | dict,
-                   max_labels: int) -> tuple[DataFrame, dict]:
-    """(rows, share of each label that was taken): about ``per_label`` rows at most of each of
-    the ``max_labels`` most frequent labels, picked by a hash of column ``key``."""
-    found = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), label).limit(max_labels).collect()
+                   full: int, least: int = 1) -> tuple[DataFrame, dict]:
+    """(rows, share of each label that was taken): about ``per_label`` rows at most of each
+    label, picked by a hash of column ``key``.  With more than ``full`` labels a number is
+    lowered in proportion, to ``least`` at least."""
+    found = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
+    if len(found) > full and not isinstance(per_label, dict):
+        per_label = min(per_label, max(least, per_label * full // len(found)))
     most = {r[label]: per_label[r[label]] if isinstance(per_label, dict) else per_label for r in found}
     share = {r[label]: min(1.0, most[r[label]] / r["n"]) for r in found}
     if not share:
@@ -167,7 +178,8 @@ def fit(texts: list[tuple[bytes, str]], epochs: int = 4, seed: int = 7) -> dict[
     k = len(langs)
     number = {lang: i for i, lang in enumerate(langs)}
     rnd = np.random.default_rng(seed)
-    size = 1 << TABLE_BITS
+    bits = table_bits(k)
+    size = 1 << bits
     w, gw = np.zeros((size, k), np.float32), np.full((size, k), 1e-2, np.float32)
     t, gt = np.eye(k) * 2.0, np.full((k, k), 1.0)
     start = np.zeros(k)
@@ -180,7 +192,7 @@ def fit(texts: list[tuple[bytes, str]], epochs: int = 4, seed: int = 7) -> dict[
             if not len(s):
                 continue
             y = np.array([lang for _, lang in spans])[np.searchsorted(ends_at, s, "right")]
-            fixed, tri = word_features(data, s, e)
+            fixed, tri = word_features(data, s, e, bits)
             first = np.zeros(len(s), bool)
             first[0] = True
             scores = emissions(w, fixed, tri, s, e)
@@ -201,11 +213,12 @@ def fit(texts: list[tuple[bytes, str]], epochs: int = 4, seed: int = 7) -> dict[
             gw[touched] += (grad * grad).astype(np.float32)
             w[touched] += (0.3 * grad / np.sqrt(gw[touched])).astype(np.float32)
             # transitions
-            pair = alpha[:-1, :, None] * np.exp(t - t.max())[None] * (pot[1:] * beta[1:])[:, None, :]
-            pair /= pair.sum((1, 2), keepdims=True)
+            a, ahead = np.exp(t - t.max()), pot[1:] * beta[1:]
+            mass = ((alpha[:-1] @ a) * ahead).sum(1, keepdims=True)
+            pair = a * ((alpha[:-1] / mass).T @ ahead)  # summed over the words: no words x k x k table
             seen = np.zeros((k, k))
             np.add.at(seen, (y[:-1], y[1:]), 1)
-            grad = (seen - pair.sum(0)) / 8
+            grad = (seen - pair) / 8
             gt += grad * grad
             t += 0.3 * grad / np.sqrt(gt)
     return {"weights": w, "trans": t, "start": start, "langs": np.array(langs, dtype=np.str_)}
@@ -214,7 +227,8 @@ def fit(texts: list[tuple[bytes, str]], epochs: int = 4, seed: int = 7) -> dict[
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_lang: int = SAMPLE_PER_LANG) -> dict:
     """Model from a bounded sample of the labelled rows of ``docs``."""
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    got, _ = bounded_sample(rows.where("text IS NOT NULL AND lang IS NOT NULL"), "lang", "text", per_lang, MAX_LANGS)
+    got, _ = bounded_sample(rows.where("text IS NOT NULL AND lang IS NOT NULL"), "lang", "text", per_lang, FULL_LANGS,
+                            LEAST_PER_LANG)
     texts = sorted((r["text"].encode(), r["lang"]) for r in got.collect())
     return fit(texts) if texts else {}
 
@@ -234,7 +248,7 @@ def score_chunk(model: dict, data: np.ndarray, offs: np.ndarray):
     k = len(model["langs"])
     if not len(s):
         return np.zeros((n, k)), words
-    fixed, tri = word_features(low, s, e)
+    fixed, tri = word_features(low, s, e, table_bits(len(model["langs"])))
     first = np.ones(len(s), bool)
     first[1:] = doc[1:] != doc[:-1]
     post = posteriors(emissions(model["weights"], fixed, tri, s, e), first, model["trans"], model["start"])
@@ -258,7 +272,8 @@ def identify(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     def run(batches):
         fitted = unpack_model(sent.value) if sent.value else None
         langs = fitted["langs"].tolist() if fitted else []
-        for ch in chunks(batches, text_col, CHUNK):
+        size = max(1, int(CHUNK * min(1, FULL_LANGS / max(1, len(langs))) ** 2))  # lane products: words x k x k
+        for ch in chunks(batches, text_col, size):
             n = len(ch)
             pred, score = np.full(n, "und", object), np.zeros(n)
             if fitted:
@@ -286,7 +301,7 @@ def label_words(model: dict, text: str) -> list[tuple[str, str, float]]:
     s, e, _ = word_bounds(low, np.array([0, len(low)]), _LETTERS)
     if not len(s):
         return []
-    fixed, tri = word_features(low, s, e)
+    fixed, tri = word_features(low, s, e, table_bits(len(model["langs"])))
     first = np.arange(len(s)) == 0
     post = posteriors(emissions(model["weights"], fixed, tri, s, e), first, model["trans"], model["start"])
     best = post.argmax(1)

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -89,3 +91,21 @@ def test_prediction_does_not_depend_on_lang_source_or_id(spark):
     a = language.identify(docs, model).select("text", "lang_pred", "lang_score")
     b = language.identify(docs.selectExpr("doc_id + 9 AS doc_id", "text", "'xx' AS lang", "'s' AS source"), model)
     assert a.exceptAll(b.select("text", "lang_pred", "lang_score")).count() == 0
+
+
+def made_up(n, docs, words=30):
+    """Labelled texts of n languages with words of their own."""
+    rnd = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    lexicon = [["".join(rnd.choices(letters, k=6)) for _ in range(25)] for _ in range(n)]
+    return lexicon, [(i * docs + j, " ".join(rnd.choices(lexicon[i], k=words)), f"l{i:03d}")
+                     for i in range(n) for j in range(docs)]
+
+
+def test_every_language_is_learned(spark):
+    _, rows = made_up(70, 10)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs)
+    assert model["langs"].tolist() == sorted({lang for _, _, lang in rows})
+    got = language.identify(docs, model).collect()
+    assert sum(r.lang_pred == r.lang for r in got) >= 0.98 * len(rows)

@@ -240,32 +240,35 @@ def _has_letter(text: bytes) -> bool:
 
 
 def score_chunk(model: dict, data: np.ndarray, offs: np.ndarray):
-    """(share of each language among the words' posteriors per document, words per document)."""
+    """(share of each language among the words' posteriors, mean of the words' largest
+    posteriors, words) per document."""
     low = lower_ascii(data)
     s, e, doc = word_bounds(low, offs, _LETTERS)
     n = len(offs) - 1
     words = np.bincount(doc, minlength=n)
     k = len(model["langs"])
     if not len(s):
-        return np.zeros((n, k)), words
+        return np.zeros((n, k)), np.zeros(n), words
     fixed, tri = word_features(low, s, e, table_bits(len(model["langs"])))
     first = np.ones(len(s), bool)
     first[1:] = doc[1:] != doc[:-1]
     post = posteriors(emissions(model["weights"], fixed, tri, s, e), first, model["trans"], model["start"])
     share = np.stack([np.bincount(doc, post[:, j], n) for j in range(k)], 1)
-    return share / np.maximum(words, 1)[:, None], words
+    sure = np.bincount(doc, post.max(1), n)
+    return share / np.maximum(words, 1)[:, None], sure / np.maximum(words, 1), words
 
 
 def identify(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` (a learned language, or ``und``) and ``lang_score``
-    (share of the words' posterior mass, 0 to 1).
+    """``docs`` with ``lang_pred`` (a learned language, or ``und``), ``lang_score``
+    (share of the words' posterior mass, 0 to 1) and ``lang_sure`` (how sure the words'
+    own labels are: mean of the largest posterior of a word, 0 to 1).
 
-    ``und`` with score 0: null text, a text without a letter, and every text if no
+    ``und`` with scores 0: null text, a text without a letter, and every text if no
     language was learned (an empty table).  Columns of ``docs`` are carried along
     untouched; one that is named like a result is replaced."""
     spark = docs.sparkSession
     ship(spark)
-    keep = [c for c in docs.columns if c not in ("lang_pred", "lang_score")]
+    keep = [c for c in docs.columns if c not in ("lang_pred", "lang_score", "lang_sure")]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(keep).schema.fields)
     sent = spark.sparkContext.broadcast(pack_model(model) if model else b"")
 
@@ -275,22 +278,23 @@ def identify(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
         size = max(1, int(CHUNK * min(1, FULL_LANGS / max(1, len(langs))) ** 2))  # lane products: words x k x k
         for ch in chunks(batches, text_col, size):
             n = len(ch)
-            pred, score = np.full(n, "und", object), np.zeros(n)
+            pred, score, surest = np.full(n, "und", object), np.zeros(n), np.zeros(n)
             if fitted:
-                share, words = score_chunk(fitted, ch.data, ch.offs)
+                share, sure, words = score_chunk(fitted, ch.data, ch.offs)
                 plain = np.concatenate([[0], np.cumsum(_LETTERS[ch.data] & (ch.data < 128))])
                 letters = plain[ch.offs[1:]] > plain[ch.offs[:-1]]
                 for i in np.flatnonzero(~letters & (words > 0)):
                     letters[i] = _has_letter(ch.text(i))
                 best = share.argmax(1)
                 for i in np.flatnonzero(letters & (words > 0)):
-                    pred[i], score[i] = langs[best[i]], min(1.0, share[i, best[i]])
+                    pred[i], score[i], surest[i] = langs[best[i]], min(1.0, share[i, best[i]]), min(1.0, sure[i])
             yield pa.RecordBatch.from_arrays(
-                [*ch.rows.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())],
+                [*ch.rows.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64()),
+                 pa.array(surest, pa.float64())],
                 schema=pa.schema([*ch.rows.schema, pa.field("lang_pred", pa.string()),
-                                  pa.field("lang_score", pa.float64())]))
+                                  pa.field("lang_score", pa.float64()), pa.field("lang_sure", pa.float64())]))
 
-    return docs.select(keep).mapInArrow(run, fields + ", lang_pred STRING, lang_score DOUBLE")
+    return docs.select(keep).mapInArrow(run, fields + ", lang_pred STRING, lang_score DOUBLE, lang_sure DOUBLE")
 
 
 def label_words(model: dict, text: str) -> list[tuple[str, str, float]]:
@@ -322,7 +326,8 @@ def language_of_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
 def keep_identified(docs: DataFrame, least: float = 0.4, id_col: str = "doc_id", text_col: str = "text",
                     lang_col: str = "lang") -> DataFrame:
     """``docs`` without the documents whose language is undetermined (``und``) or whose
-    best language has less than ``least`` of the words' posterior mass.
+    words are labelled with a largest posterior of less than ``least`` on average.  A
+    text that is split between languages stays if its words are labelled surely.
 
     If the table has no labelled row to learn from, nothing is rejected but texts
     without a letter."""
@@ -333,5 +338,5 @@ def keep_identified(docs: DataFrame, least: float = 0.4, id_col: str = "doc_id",
     names = docs.columns
     src = docs.select(*(F.col(c).alias(f"__k{i}") for i, c in enumerate(names)))
     out = identify(src, model, f"__k{names.index(text_col)}").where(
-        (F.col("lang_pred") != "und") & (F.col("lang_score") >= least))
+        (F.col("lang_pred") != "und") & (F.col("lang_sure") >= least))
     return out.select(*(F.col(f"__k{i}").alias(c) for i, c in enumerate(names)))

@@ -109,3 +109,14 @@ def test_every_language_is_learned(spark):
     assert model["langs"].tolist() == sorted({lang for _, _, lang in rows})
     got = language.identify(docs, model).collect()
     assert sum(r.lang_pred == r.lang for r in got) >= 0.98 * len(rows)
+
+
+def test_a_text_split_between_languages_is_kept(spark):
+    lexicon, rows = made_up(4, 40)
+    mixed = " ".join(w for words in lexicon for w in words)
+    docs = spark.createDataFrame([*rows, (9001, mixed, None), (9002, "123 456", None)],
+                                 "doc_id long, text string, lang string")
+    model = language.train(docs)
+    assert language.identify(docs, model).where("doc_id = 9001").first().lang_score < 0.4
+    left = {r.doc_id for r in language.keep_identified(docs).collect()}
+    assert 9001 in left and 9002 not in left

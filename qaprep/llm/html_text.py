@@ -90,11 +90,13 @@ def _region(tag: str, raw: str, above: str) -> str:
     if tag in _STICKY_TAGS or role in _STICKY_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true" \
             or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "")):
         return "sticky"
+    if tag in _CONTENT_TAGS or role in ("main", "article"):
+        # only a whole name counts here: class="post comments-open" is an article, class="comment" is none
+        whole = {w.lower() for k in ("class", "id") for w in attrs.get(k, "").split()}
+        return "sticky" if whole & _STICKY_NAMES else "content"
     names = _names(attrs) if tag not in ("body", "html") else set()
     if names & _STICKY_NAMES:
         return "sticky"
-    if tag in _CONTENT_TAGS or role in ("main", "article"):
-        return "content"
     if names & _SOFT_NAMES or role == "banner":
         return "soft"
     if tag in _SOFT_TAGS:

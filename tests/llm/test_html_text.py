@@ -3,6 +3,7 @@ import random
 import re
 from html import unescape
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -87,3 +88,18 @@ def test_smoothness_turns_a_doubtful_block():
     blocks, parent, depth = html_text.blocks_of(page)
     assert "ok then" in text(page)
     assert html_text.log_odds(blocks[1]) < html_text.log_odds(blocks[0])
+
+
+@pytest.mark.parametrize("tag", ["article class='post comments-open'", "article class='post category-advertising'",
+                                 "main class='with-nav'", "div role='main' id='no-sidebar-ads'"])
+def test_article_with_a_hyphenated_name(tag):
+    sentence = re.sub("<.*?>", "", P)
+    assert text(f"<body><{tag}>{P}{P}</{tag.split()[0]}></body>") == f"{sentence} {sentence}"
+
+
+def test_article_that_is_a_comment():
+    sentence = re.sub("<.*?>", "", P)
+    inner = "<article class='comment'><p>I like this article a lot, and I have many words to say.</p></article>"
+    other = inner.replace("'comment'", "'comment-body'")
+    assert text(f"<body><article>{P}{P}</article>{inner}<ol class='comment-list'>{other}</ol></body>") \
+        == f"{sentence} {sentence}"

@@ -9,8 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontaminate, html_text, language, packing, quality_rules, quality_sites, repeats, simhash, toxicity,
-               warc)
+from . import (decontaminate, html_text, language, packing, prefix_trie, quality_rules, quality_sites, repeats,
+               secret_scan, simhash, toxicity, warc)
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,42 @@ def op9_decontaminate(spark, d):
     """Benchmark windows found in all documents."""
     return decontaminate.contamination(table(spark, d, "documents"), table(spark, d, "benchmark")) \
         .drop("spans", "items")
+
+
+def crc32_sql(bytes_list: str) -> str:
+    """crc32 of a list of byte values, bit by bit."""
+    step = "lambda s, i: xor(s >> 1, 3988292384 * (s & 1))"
+    byte = f"lambda s, b: list_reduce(range(1, 9), {step}, xor(s, b))"
+    return f"xor(list_reduce({bytes_list}, {byte}, 4294967295), 4294967295)"
+
+
+@query("op11_prefix_trie", f"""
+WITH c AS (SELECT conv_id, list(coalesce(role, '') || chr(1) || coalesce(text, '') ORDER BY turn NULLS FIRST) AS own
+           FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+hd AS (SELECT *, {crc32_sql("list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)")} % 4 AS h FROM c),
+b AS (SELECT hd.conv_id, list_concat(coalesce(base.own, [])[1:h], hd.own[h + 1:]) AS turns
+      FROM hd LEFT JOIN c base ON base.conv_id = hd.conv_id - hd.conv_id % 20),
+k AS (SELECT conv_id, len(turns) AS len, turns, list_transform(turns, lambda x: md5(x)) AS m FROM b),
+pre AS (SELECT conv_id, len, d, array_to_string(m[1:d], '') AS node, array_to_string(m[1:d - 1], '') AS above,
+               CASE WHEN d > 0 THEN len(regexp_extract_all(split_part(turns[d], chr(1), 2), '[^\x20\x09-\x0D]+')) END AS w
+        FROM (SELECT *, unnest(range(0, len + 1)) AS d FROM k)),
+n AS (SELECT d, node, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(any_value(w), 0) AS w,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len = d), '')) AS ends_sha256
+      FROM pre GROUP BY d, node),
+kids AS (SELECT d - 1 AS d, above AS node, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+below AS (SELECT p.node, p.d, count(*) FILTER (kids.node IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.w) AS saved
+          FROM n JOIN pre q ON q.node = n.node AND q.d = n.d AND q.conv_id = n.conv_id
+          JOIN pre p ON p.conv_id = q.conv_id AND p.d <= q.d LEFT JOIN kids ON kids.node = n.node AND kids.d = n.d
+          GROUP BY p.node, p.d)
+SELECT n.conv_id, n.d::BIGINT AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves, saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM n JOIN below USING (d, node) LEFT JOIN kids USING (d, node) LEFT JOIN n up ON up.d = n.d - 1 AND up.node = n.above""")
+def op11_prefix_trie(spark, d):
+    """Trie of the turns of all rebuilt conversations."""
+    return prefix_trie.prefix_trie(table(spark, d, "conversations"))
+
+
+@query("op12_secrets")
+def op12_secrets(spark, d):
+    """Secrets of every document, weak ones where they complete each other."""
+    return secret_scan.report(table(spark, d, "documents"))

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (decontaminate, html_text, language, packing, prefix_trie, quality_rules, quality_sites, repeats,
-               secret_scan, simhash, toxicity, warc)
+               secret_scan, simhash, spelling, toxicity, warc)
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,7 +149,7 @@ b AS (SELECT hd.conv_id, list_concat(coalesce(base.own, [])[1:h], hd.own[h + 1:]
       FROM hd LEFT JOIN c base ON base.conv_id = hd.conv_id - hd.conv_id % 20),
 k AS (SELECT conv_id, len(turns) AS len, turns, list_transform(turns, lambda x: md5(x)) AS m FROM b),
 pre AS (SELECT conv_id, len, d, array_to_string(m[1:d], '') AS node, array_to_string(m[1:d - 1], '') AS above,
-               CASE WHEN d > 0 THEN len(regexp_extract_all(split_part(turns[d], chr(1), 2), '[^\x20\x09-\x0D]+')) END AS w
+               CASE WHEN d > 0 THEN len(regexp_extract_all(split_part(turns[d], chr(1), 2), '[^\\x20\\x09-\\x0D]+')) END AS w
         FROM (SELECT *, unnest(range(0, len + 1)) AS d FROM k)),
 n AS (SELECT d, node, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(any_value(w), 0) AS w,
              sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len = d), '')) AS ends_sha256
@@ -171,3 +171,27 @@ def op11_prefix_trie(spark, d):
 def op12_secrets(spark, d):
     """Secrets of every document, weak ones where they complete each other."""
     return secret_scan.report(table(spark, d, "documents"))
+
+
+@query("op13_spelling", f"""
+WITH RECURSIVE runs AS (SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents),
+occ AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY ALL),
+byt AS (SELECT *, coalesce(doc_id::VARCHAR, '') || ':' || run AS s FROM occ),
+hsh AS (SELECT run, n, {crc32_sql("flatten(list_transform(string_split(s, ''), lambda x: CASE WHEN ord(x) < 128 "
+        "THEN [ord(x)::BIGINT] ELSE [192 + ord(x)::BIGINT // 64, 128 + ord(x)::BIGINT % 64] END))")} AS h FROM byt),
+cut AS (SELECT CASE WHEN h % 97 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM hsh),
+w AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM cut WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+del AS (SELECT DISTINCT word, n, i, word[:i] || word[i + 2:] AS rest FROM (SELECT *, unnest(range(0, length(word))) AS i FROM w)),
+near AS (SELECT a.word, b.word AS near, b.n AS near_n FROM del a JOIN del b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+         UNION SELECT a.word, w.word, w.n FROM del a JOIN w ON w.word = a.rest
+         UNION SELECT w.word, a.word, a.n FROM del a JOIN w ON w.word = a.rest),
+best AS (SELECT word, count(*) AS n_near, min(struct_pack(m := -near_n, near := near)) AS b FROM near GROUP BY word),
+forms AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.m >= 2 * w.n THEN b.near END AS form,
+                 CASE WHEN -b.m >= 2 * w.n THEN -b.m END AS form_n FROM w LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS root FROM forms WHERE form IS NULL
+         UNION ALL SELECT f.word, walk.root FROM forms f JOIN walk ON f.form = walk.word)
+SELECT word, form, root, n, n_near, form_n::BIGINT AS form_n FROM forms JOIN walk USING (word)""")
+def op13_spelling(spark, d):
+    """Words of all documents with the words one edit away."""
+    return spelling.variants(table(spark, d, "documents"))

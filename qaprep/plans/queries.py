@@ -20,7 +20,7 @@ from ..operators import assemble, evaluate, grid, prompts, requests, splits, tok
 from ..operators import dates as dops
 from ..operators.ordering import global_index, range_index, seeded_key
 from ..session import shared_path
-from ..sources import readers, writers
+from ..sources import csv_split, readers, writers
 from . import corpus as C
 from . import fixtures as fx
 from . import oracle as O
@@ -930,11 +930,11 @@ def q_dataset_written(spark, d):
 @query("qa_csv_roundtrip", O.with_([("qa_hard", O.QA_HARD)], """
 SELECT question AS Question, context AS Answer FROM qa_hard"""))
 def q_qa_csv_roundtrip(spark, d):
-    """Questions and multi-line texts as CSV, read with the QA reader."""
+    """Questions and multi-line texts as CSV, read by many tasks a file."""
     path = shared_path(spark, "qa-csv")
     q = fx.qa_hard(spark, d).select(F.col("question").alias("Question"), F.col("context").alias("Answer"))
     q.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
-    return readers.read_qa_csv(spark, path)
+    return csv_split.read_csv(spark, path, readers.QA_CSV_SCHEMA)
 
 
 @query("split_files_roundtrip", O.with_(O.base_ctes("split"), f"""
@@ -950,7 +950,7 @@ def q_split_files_roundtrip(spark, d):
     writers.write_splits(c.select("idx", "question", "answer", "relevant_context", "source", "type", "pos"), path,
                          fmt="csv", index_col="pos")
     schema = "_c0 BIGINT, idx STRING, question STRING, answer STRING, relevant_context STRING, source STRING, type STRING"
-    return readers.read_indexed_csv(spark, path, schema)
+    return readers.read_indexed_csv(spark, path, schema, many_tasks=True)
 
 
 @query("tsqa_jsonl_roundtrip", O.with_([("qa_easy", O.QA_EASY)], """

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import csv_split
+
 QA_CSV_SCHEMA = "Question STRING, Answer STRING"
 QA_SPLIT_SCHEMA = ("_c0 BIGINT, idx STRING, question STRING, answer STRING, relevant_context STRING, "
                    "source STRING, type STRING, random_context STRING, wrong_date_context STRING")
@@ -20,7 +22,10 @@ INSTRUCTION_SCHEMA = "instruction STRING, input STRING, output STRING"
 
 def read_qa_csv(spark: SparkSession, path: str, schema: str = QA_CSV_SCHEMA,
                 encoding: str = "UTF-8") -> DataFrame:
-    """Header CSV; contexts may hold newlines and doubled quotes."""
+    """Header CSV; contexts may hold newlines and doubled quotes.
+
+    One task per file, any quoting that Spark reads; ``csv_split.read_csv`` reads a
+    large file of well-formed quotes with many tasks."""
     return (spark.read.schema(schema)
             .option("header", True).option("multiLine", True)
             .option("escape", '"').option("encoding", encoding)
@@ -37,9 +42,9 @@ def with_file_order(df: DataFrame) -> DataFrame:
                      F.monotonically_increasing_id().alias("_line"))
 
 
-def read_indexed_csv(spark: SparkSession, path: str, schema: str = QA_SPLIT_SCHEMA) -> DataFrame:
+def read_indexed_csv(spark: SparkSession, path: str, schema: str = QA_SPLIT_SCHEMA, many_tasks: bool = False) -> DataFrame:
     """CSV whose unnamed leading column is the row index -> ``pos``."""
-    df = read_qa_csv(spark, path, schema)
+    df = csv_split.read_csv(spark, path, schema) if many_tasks else read_qa_csv(spark, path, schema)
     return df.withColumnRenamed("_c0", "pos").withColumn("pos", F.col("pos").cast("long"))
 
 

@@ -38,17 +38,30 @@ def stack(*dfs: DataFrame) -> DataFrame:
 
 
 def attach_responses(df: DataFrame, log: DataFrame, pos_col: str = "pos", i_col: str = "i",
-                     out_col: str = "relevant_context", text_col: str = "output") -> DataFrame:
+                     out_col: str = "relevant_context", text_col: str = "output", run_col: str = "run_id",
+                     run: str | None = None) -> DataFrame:
     """Response ``i`` becomes a column of row ``i`` (keyed join, not line order).
 
-    A left join: rows without a response get null (``has_response`` false).
-    Duplicate responses for one ``i`` would duplicate the row, so the log is
-    de-duplicated on ``i`` first, keeping the longest-lived (max) text.
+    Answers of different runs never mix.  A log with ``run_col`` is joined by (run, i)
+    if the rows name their run too; ``run`` picks one run; else every row takes the
+    answer of the last run (the greatest ``run_col``) that answered it.  Of several
+    answers of one run the greatest text is kept, so a row is never doubled.  A left
+    join: rows without a response get null (``has_response`` false).
     """
-    lg = (log.groupBy(i_col).agg(F.max(text_col).alias(out_col))
-          .withColumnRenamed(i_col, "_i"))
-    j = df.join(lg, F.col(pos_col) == F.col("_i"), "left")
-    return j.withColumn("has_response", F.col("_i").isNotNull()).drop("_i")
+    runs = run_col in log.columns
+    if run is not None:
+        log = log.where(F.col(run_col) == run)
+    keys = [i_col, run_col] if runs and run is None and run_col in df.columns else [i_col]
+    best = F.max(text_col)
+    if runs and len(keys) == 1:
+        best = F.max(F.struct(F.col(run_col), F.col(text_col)))[text_col]
+    lg = log.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(best.alias("_text"))
+    on = F.col(pos_col) == F.col(f"_{i_col}")
+    if len(keys) > 1:
+        on = on & F.col(run_col).eqNullSafe(F.col(f"_{run_col}"))
+    j = df.drop(out_col).join(lg, on, "left")
+    return (j.withColumn(out_col, F.col("_text")).withColumn("has_response", F.col(f"_{i_col}").isNotNull())
+            .drop("_text", *[f"_{k}" for k in keys]))
 
 
 def coverage_report(df: DataFrame, log: DataFrame, pos_col: str = "pos", i_col: str = "i") -> DataFrame:

@@ -4,8 +4,7 @@ Requests are plain structs (``model``, ``messages`` array of
 ``{role, content}``, sampling parameters) that serialise with ``to_json`` to
 one batch-file line each.  No network client is shipped: ``call_model``
 runs a caller-supplied client factory once per partition inside
-``mapInPandas``; the response log is joined back by key, so a partial run is
-resumed by a left-anti join (``assemble.coverage_report``).
+``mapInPandas``; ``ledger.call_with_ledger`` makes a run of it resumable.
 """
 
 from __future__ import annotations
@@ -105,21 +104,30 @@ def generation_table(df: DataFrame, prompt: str, generation: str, max_new_tokens
 
 
 def call_model(requests: DataFrame, key: str, client_factory: Callable[[], Callable[[list[str]], list[str]]],
-               request_col: str = "request") -> DataFrame:
+               request_col: str = "request", encode: bool = True) -> DataFrame:
     """One model call per row, one client per partition (``mapInPandas``).
 
     ``client_factory()`` returns ``fn(list of request JSON) -> list of reply
-    text``.  Output ``(key, output)``; keyed, so order never matters.
+    text``.  Output ``(key, output)``; keyed, so order never matters.  ``encode`` off:
+    the request is JSON text already.  A task that is lost repeats its calls;
+    ``ledger.call_with_ledger`` bounds what is lost.
     """
     import pandas as pd
 
-    d = requests.select(F.col(key).alias("_key"), F.to_json(F.col(request_col)).alias("_req"))
-    key_type = requests.schema[key].dataType.simpleString()
+    request = F.to_json(F.col(request_col)) if encode else F.col(request_col)
+    nested = requests.schema[key].dataType.typeName() == "struct"
+    keys = [f"{key}.{f.name}" for f in requests.schema[key].dataType.fields] if nested else [key]
+    types = [f.dataType for f in requests.schema[key].dataType.fields] if nested else [requests.schema[key].dataType]
+    d = requests.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], request.alias("_req"))
+    names = [f"_key{i}" for i in range(len(keys))]
 
     def run(batches):
         fn = client_factory()
         for pdf in batches:
-            yield pd.DataFrame({"_key": pdf["_key"], "output": fn(pdf["_req"].tolist())})
+            yield pd.DataFrame({**{n: pdf[n] for n in names}, "output": fn(pdf["_req"].tolist())})
 
-    out = d.mapInPandas(run, f"_key {key_type}, output string")
-    return out.withColumnRenamed("_key", key)
+    out = d.mapInPandas(run, ", ".join(f"{n} {t.simpleString()}" for n, t in zip(names, types)) + ", output string")
+    if not nested:
+        return out.withColumnRenamed("_key0", key)
+    return out.select(F.struct(*[F.col(n).alias(f.name) for n, f in zip(names, requests.schema[key].dataType.fields)])
+                      .alias(key), "output")

@@ -19,7 +19,7 @@ from ..functions.keys import hash60
 from ..operators import assemble, evaluate, grid, prompts, requests, splits, tokens
 from ..operators import dates as dops
 from ..operators.ordering import global_index, range_index, seeded_key
-from ..session import shared_path
+from ..session import shared_path, ship_package
 from ..sources import csv_split, readers, writers
 from . import corpus as C
 from . import fixtures as fx
@@ -434,6 +434,31 @@ def q_context_requests(spark, d):
                     F.col("request.max_tokens").alias("max_tokens"), F.col("request.top_p").alias("top_p"))
 
 
+def _echo_client():
+    """Stands in for a model: answers with the MD5 of the user's message."""
+    import hashlib
+    import json
+
+    def ask(batch):
+        return [hashlib.md5(json.loads(r)["messages"][1]["content"].encode()).hexdigest() for r in batch]
+    return ask
+
+
+@query("call_ledger", O.with_([("qa_tq", O.QA_TQ)], f"""
+SELECT idx, md5({_sql_lit(_CTX_HEAD[0])} || Question || {_sql_lit(_CTX_HEAD[1])} || Answer || {_sql_lit(_CTX_HEAD[2])}) AS output,
+       1::BIGINT AS n_calls FROM qa_tq"""))
+def q_call_ledger(spark, d):
+    """Every context request asked once, by a run that stops halfway and one that goes on."""
+    from ..operators.ledger import call_with_ledger, read_ledger
+    ship_package(spark)
+    asked = requests.context_requests(fx.qa_tq(spark, d), "idx", "Question", "Answer")
+    path, size = shared_path(spark, "ledger"), -(-asked.count() // 4)
+    call_with_ledger(asked, "idx", _echo_client, path, batch_rows=size, most_batches=2)
+    call_with_ledger(asked, "idx", _echo_client, path, batch_rows=size)
+    return read_ledger(spark, path, "idx").groupBy("idx").agg(F.max("output").alias("output"),
+                                                              F.count("*").alias("n_calls"))
+
+
 _MARK_HEAD = K.DATE_MARK_HEAD.split("{context}")
 
 

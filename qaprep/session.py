@@ -99,3 +99,22 @@ def bucket_bits(spark: SparkSession, minimum: int = 6, maximum: int = 16) -> int
         parts = 200
     bits = math.ceil(math.log2(max(parts, 1) * 4))
     return max(minimum, min(maximum, bits))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package: as a zip file, unless ``PYTHONPATH`` has it."""
+    import zipfile
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED or root in os.environ.get("PYTHONPATH", "").split(":"):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="qaprep-code-"), "qaprep_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "qaprep")):
+            for name in (n for n in names if n.endswith(".py")):
+                z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), root))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)

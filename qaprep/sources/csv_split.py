@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
+
 _RECORD, _HEAD, _TAIL = 0, 1, 2
 _CUT = "file STRING, start BIGINT, seq BIGINT, kind INT, text STRING"
 _cut_schema = pa.schema([("file", pa.string()), ("start", pa.int64()), ("seq", pa.int64()), ("kind", pa.int32()),
@@ -117,6 +119,7 @@ def csv_records(spark: SparkSession, path: str | list[str], encoding: str = "UTF
     Order within a file is (start, seq).  Empty lines between records are left out."""
     if encoding.upper().replace("_", "-").startswith(("UTF-16", "UTF-32")):
         raise ValueError("line breaks are searched as single bytes; convert UTF-16 and UTF-32 first")
+    ship_package(spark)
     src = spark.read.option("lineSep", "\n").text(path)
     value = F.col("value")
     if encoding.upper() not in ("UTF-8", "UTF8"):

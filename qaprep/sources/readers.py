@@ -6,7 +6,6 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import csv_split
 
@@ -15,7 +14,7 @@ QA_SPLIT_SCHEMA = ("_c0 BIGINT, idx STRING, question STRING, answer STRING, rele
                    "source STRING, type STRING, random_context STRING, wrong_date_context STRING")
 TSQA_SCHEMA = ("idx STRING, question STRING, context STRING, targets ARRAY<STRING>, "
                "`from` STRING, `end` STRING, paragraphs ARRAY<STRING>")
-RESPONSE_SCHEMA = "i BIGINT, output STRING"
+RESPONSE_SCHEMA = "run_id STRING, i BIGINT, output STRING"
 PACKED_SCHEMA = "input_ids ARRAY<INT>, labels ARRAY<INT>"
 INSTRUCTION_SCHEMA = "instruction STRING, input STRING, output STRING"
 
@@ -56,10 +55,10 @@ def read_tsqa(spark: SparkSession, path: str, schema: str = TSQA_SCHEMA) -> Data
 
 
 def read_response_log(spark: SparkSession, path: str) -> DataFrame:
-    """``{"i": n, "output": text}`` per line; malformed lines land in
-    ``_corrupt_record`` (kept for a report, not silently dropped)."""
-    schema = T.StructType([T.StructField("i", T.LongType()), T.StructField("output", T.StringType()),
-                           T.StructField("_corrupt_record", T.StringType())])
+    """``{"run_id": r, "i": n, "output": text}`` per line (``run_id`` is null in a log of one
+    run that names none); malformed lines land in ``_corrupt_record`` (kept for a report,
+    not silently dropped)."""
+    schema = f"{RESPONSE_SCHEMA}, _corrupt_record STRING"
     return (spark.read.schema(schema).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
 

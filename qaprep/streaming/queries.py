@@ -3,8 +3,9 @@ run must reproduce.
 
 ``stream_responses``: a response log derived from ``documents`` is written
 as JSON-lines parts and ingested; a second part re-sends every answer, some with
-another text, and a second run of the stream picks it up.  The arrivals are
-joined to the explicit-question requests built from ``orders``.  Expected rows:
+another text, and a second run of the stream picks it up.  The table of answers, kept
+up to date by the stream, is joined to the explicit-question requests built from
+``orders``.  Expected rows:
 one per (run, question with a response), with the text that batch would keep.
 
 ``stream_prompts``: the stateless corpus transforms (conform, falsify dates,
@@ -23,7 +24,8 @@ from ..operators.dates import falsify_dates
 from ..plans import fixtures as fx
 from ..sources.tables import TABLE_SCHEMAS
 from ..sources.writers import write_response_log
-from .responses import RESPONSE_SCHEMA, attach_arrived, response_stream, run_available, scratch
+from .answers import read_answers, run_upserts
+from .responses import response_stream, run_available, scratch
 
 
 def q_stream_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,12 +36,12 @@ def q_stream_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_response_log(log, log_dir, mode="append")
     # a producer that sent everything again, a third of it with another text
     again = F.when(F.pmod("i", F.lit(3)) == 1, F.concat(F.lit("Again: "), F.col("output"))).otherwise(F.col("output"))
-    run_available(response_stream(spark, log_dir), out_dir, ckpt)
+    run_upserts(response_stream(spark, log_dir), out_dir, ckpt)
     write_response_log(log.withColumn("output", again), log_dir, mode="append")
-    run_available(response_stream(spark, log_dir), out_dir, ckpt)   # resumes from the checkpoint
+    run_upserts(response_stream(spark, log_dir), out_dir, ckpt)   # resumes from the checkpoint
     requests = fx.qa_tq(spark, sf_dir).select("pos", "idx")
-    return attach_arrived(spark.read.schema(RESPONSE_SCHEMA).parquet(out_dir), requests) \
-        .select("idx", "run_id", "i", "output")
+    return (read_answers(spark, out_dir).join(requests, F.col("i") == F.col("pos"))
+            .select("idx", "run_id", "i", "output"))
 
 
 def q_stream_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .automaton import contained
 from .tokens import word_tokens
 
 
@@ -134,8 +135,6 @@ def shingles(words: Column, n: int) -> Column:
 
 #: words of the two probe n-grams; items of fewer words than LEAST_PROBED are searched as they are
 LONG_GRAM, SHORT_GRAM, LEAST_PROBED = 8, 3, 5
-#: short items that one pass over the documents searches
-ITEM_BLOCK = 1000
 
 
 def benchmark_leak(items: DataFrame, docs: DataFrame, item_key: str = "item_id",
@@ -148,9 +147,9 @@ def benchmark_leak(items: DataFrame, docs: DataFrame, item_key: str = "item_id",
     for items of five to nine words (the documents emit three-word grams only
     if such items exist); documents contribute every n-gram of their whole text
     in one scan, and candidates are verified by substring.  Shorter items, blank
-    ones included, may begin and end inside words: they are the query set of a
-    scan over all documents, in blocks of ``ITEM_BLOCK`` items.  No cross
-    product, no cap.  Rows with a null text match nothing.
+    ones included, may begin and end inside words: an automaton over all of them
+    reads each document once (``automaton.contained``).  No cross product, no cap.
+    Rows with a null text match nothing.
     """
     it = items.where(F.col(text).isNotNull()).select(item_key, F.col(text).alias("_itext"),
                                                      word_tokens(F.col(text)).alias("_w"))
@@ -177,16 +176,7 @@ def benchmark_leak(items: DataFrame, docs: DataFrame, item_key: str = "item_id",
     out = (cand.join(it.select(item_key, "_itext"), item_key).join(dd, doc_key)
            .where(F.instr(F.col("_dtext"), F.col("_itext")) > 0).select(item_key, doc_key))
     short = it.where(F.col("_words") < LEAST_PROBED).select(item_key, "_itext")
-    blocks = -(-short.count() // ITEM_BLOCK)
-    for b in range(blocks):
-        # about ITEM_BLOCK items as one row, searched in every document
-        mine = short.where(F.pmod(F.xxhash64(item_key, "_itext"), F.lit(blocks)) == b)
-        row = mine.agg(F.collect_list(F.struct(F.col(item_key).alias("id"), F.col("_itext").alias("t"))).alias("_all"),
-                       F.lit(0).alias("_k"))
-        hit = dd.withColumn("_k", F.lit(0)).join(F.broadcast(row), "_k").select(
-            doc_key, F.explode(F.filter("_all", lambda x: F.instr(F.col("_dtext"), x["t"]) > 0)).alias("_x"))
-        out = out.unionByName(hit.select(F.col("_x.id").alias(item_key), doc_key))
-    return out
+    return out.unionByName(contained(dd, short, doc_key, "_dtext", item_key, "_itext"))
 
 
 def scoreboard(df: DataFrame, dims: Sequence[str], label: str = "label", pred: str = "pred") -> DataFrame:

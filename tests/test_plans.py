@@ -102,7 +102,8 @@ def test_results_invariant_to_input_file_layout(spark, tmp_path):
 
 
 def test_registered_queries_stay_in_the_jvm(spark):
-    """Python runs only behind the opt-in hooks, never in a registered query."""
+    """No registered query calls Python per row or per group; Arrow batches go through
+    Python only to cut CSV text into records and to search short items."""
     import __spark_entry__ as E
     for name in _own(E.queries()):
         plan = _plan(E.queries()[name](spark, SF001))

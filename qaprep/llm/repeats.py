@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import batch, chunks, materialize, mix, prefix_hash, ship, span_hash
+from .shared import batch, chunks, fresh, materialize, mix, prefix_hash, ship, span_hash
 from .suffixes import dense
 
 #: bytes in a repeated string (fixed by the contract) and in an anchor k-gram
@@ -52,11 +52,11 @@ _POS_BITS = np.uint64(31)  # a Spark string has at most 2**31 - 1 bytes
 _POS_MASK = np.uint64((1 << 31) - 1)
 
 # a: anchor hash; c: context hash; lo, hi: first and last window start; x: anchor place; w: copies (2 = more)
-_ROWS = pa.schema([("a", pa.int64()), ("c", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int32()),
+_ROWS = pa.schema([("a", pa.int64()), ("c", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()),
                    ("lo", pa.int32()), ("hi", pa.int32()), ("x", pa.int32()), ("w", pa.int8())])
-_ROWS_SQL = "a BIGINT, c BIGINT, doc_id BIGINT, th INT, lo INT, hi INT, x INT, w TINYINT"
-_SPAN = pa.schema([("doc_id", pa.int64()), ("th", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
-_SPAN_SQL = "doc_id BIGINT, th INT, start INT, end INT"
+_ROWS_SQL = "a BIGINT, c BIGINT, doc_id BIGINT, th BIGINT, lo INT, hi INT, x INT, w TINYINT"
+_SPAN = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
+_SPAN_SQL = "doc_id BIGINT, th BIGINT, start INT, end INT"
 
 
 def _window_anchors(data: np.ndarray, offs: np.ndarray, prefix: np.ndarray):
@@ -103,8 +103,20 @@ def _combine(a, c):
     return order[first], np.minimum(size, 2).astype(np.int8), order[many]
 
 
+def _joined(lo, end, doc):
+    """Overlapping or touching byte spans of one document made one: (start, end, document)."""
+    order = np.lexsort((lo, doc))
+    lo, end, doc = lo[order], end[order], doc[order]
+    reach = np.maximum.accumulate(end)  # spans lie in their documents, which follow each other
+    new = np.ones(len(lo), bool)
+    new[1:] = (lo[1:] > reach[:-1]) | (doc[1:] != doc[:-1])
+    first = np.flatnonzero(new)
+    return lo[first], reach[np.append(first[1:], len(lo)) - 1] if len(lo) else reach, doc[first]
+
+
 def _anchor_rows(batches):
-    """Rows (w = 1 or 2) and, with w = 0, whole contexts that are known to repeat."""
+    """Rows (w = 1 or 2) and, with w = 0, stretches that are known to repeat: the contexts
+    that the chunk holds more than once, joined (a run of one character is one row)."""
     for ch in chunks(batches, "text", CHUNK):
         if len(ch.data) < LENGTH:
             continue
@@ -116,14 +128,17 @@ def _anchor_rows(batches):
         c = _context_hash(prefix, lo, hi, x)
         one, weight, many = _combine(a, c)
         doc = np.searchsorted(ch.offs, lo, "right") - 1
-        rows = np.concatenate([one, many])
-        w = np.concatenate([weight, np.zeros(len(many), np.int8)])
-        ids = ch.column("doc_id").cast(pa.int64()).take(pa.array(doc[rows]))
-        th = ch.column("th").take(pa.array(doc[rows]))
-        at = ch.offs[doc[rows]]
-        yield batch(_ROWS, a[rows].view(np.int64), c[rows].view(np.int64), ids, th,
-                    (lo[rows] - at).astype(np.int32), (hi[rows] - at).astype(np.int32),
-                    (x[rows] - at).astype(np.int32), w)
+        start, end, where = _joined(lo[many], hi[many] + LENGTH, doc[many])
+        at = ch.offs[np.concatenate([doc[one], where])]
+        none = np.zeros(len(start), np.int64)
+        pick = pa.array(np.concatenate([doc[one], where]))
+
+        def col(x, known):
+            return (np.concatenate([x[one], known]) - at).astype(np.int32)
+        yield batch(_ROWS, np.concatenate([a[one].view(np.int64), none]), np.concatenate([c[one].view(np.int64), none]),
+                    ch.column("doc_id").cast(pa.int64()).take(pick), ch.column("th").take(pick),
+                    col(lo, start), col(hi, end - LENGTH), col(x, start),
+                    np.concatenate([weight, np.zeros(len(start), np.int8)]))
 
 
 def _classes(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -318,7 +333,7 @@ def _tree_spans(batches):
 
 def _contexts(batches):
     """Cut each document's wanted contexts (column ``need``) out of its text."""
-    schema = pa.schema([("a", pa.int64()), ("kinds", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int32()),
+    schema = pa.schema([("a", pa.int64()), ("kinds", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()),
                         ("lo", pa.int32()), ("hi", pa.int32()), ("x", pa.int32()), ("ctx", pa.binary())])
     for ch in chunks(batches, "text", CHUNK):
         out = []
@@ -383,7 +398,7 @@ def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .agg(F.collect_list(F.struct("a", F.col("kinds").cast("bigint").alias("kinds"), "lo", "hi", "x"))
                  .alias("need")))  # of one document: no longer than its text
     cut = _join_docs(src, need).mapInArrow(
-        _contexts, "a BIGINT, kinds BIGINT, doc_id BIGINT, th INT, lo INT, hi INT, x INT, ctx BINARY")
+        _contexts, "a BIGINT, kinds BIGINT, doc_id BIGINT, th BIGINT, lo INT, hi INT, x INT, ctx BINARY")
     cut = materialize(cut, "contexts")
     spans = [_known(rows), _whole(classed), _solve(cut.where(F.col("kinds") <= hot))]
     big = cut.where(F.col("kinds") > hot)
@@ -415,7 +430,7 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ship(docs.sparkSession)
     text = F.col(text_col).cast("string")
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"),
-                       F.hash(text).alias("th"))
+                       F.xxhash64(text).alias("th"))
 
 
 def _join_docs(src: DataFrame, per_doc: DataFrame, how: str = "inner") -> DataFrame:
@@ -456,7 +471,10 @@ def _whole_characters(text: bytes, spans: list) -> list:
 
 
 def _per_document(spans: DataFrame) -> DataFrame:
-    return spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    """Spans by document: one per start, so a list has at most a span per byte, whatever
+    the number of copies that share an id and a text."""
+    return (spans.groupBy("doc_id", "th", "start").agg(F.max("end").alias("end"))
+            .groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -501,28 +519,28 @@ def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Characters that lie wholly inside a removed run go and ``n_chars`` (if there)
     follows; a document that loses characters and has no word left is dropped.
     Documents that lose nothing come back as they are, null texts included."""
-    found = _per_document(repeat_spans(docs, id_col, text_col)).withColumnsRenamed(
-        {"doc_id": "__d", "th": "__t", "spans": "__spans"})
-    on = F.col(id_col).cast("bigint").eqNullSafe(F.col("__d")) & (F.hash(F.col(text_col)) == F.col("__t"))
-    joined = docs.join(found, on, "left").drop("__d", "__t")
+    d, t, own = fresh(docs, "d", "t", "spans")
+    found = _per_document(repeat_spans(docs, id_col, text_col)).withColumnsRenamed({"doc_id": d, "th": t, "spans": own})
+    on = F.col(id_col).cast("bigint").eqNullSafe(F.col(d)) & (F.xxhash64(F.col(text_col).cast("string")) == F.col(t))
+    joined = docs.join(found, on, "left").drop(d, t)
     at = joined.columns.index(text_col)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
     def run(batches):
         for ch in chunks(batches, text_col, CHUNK):
-            if not any(ch.column("__spans").is_valid().to_pylist()):
-                yield ch.rows.drop_columns(["__spans"])
+            if not any(ch.column(own).is_valid().to_pylist()):
+                yield ch.rows.drop_columns([own])
                 continue
             texts, keep = [], []
             whole = ch.column(text_col).to_pylist()
-            for d, spans in enumerate(ch.column("__spans").to_pylist()):
+            for d, spans in enumerate(ch.column(own).to_pylist()):
                 text = whole[d]
                 if spans:
                     raw = ch.text(d)
                     text = kept_bytes(raw, _whole_characters(raw, _merged(spans))).decode()
                 texts.append(text)
                 keep.append(not spans or bool(text.split()))
-            out = ch.rows.drop_columns(["__spans"])
+            out = ch.rows.drop_columns([own])
             kind = out.schema.field(at)
             yield out.set_column(at, kind, pa.array(texts, kind.type)).filter(pa.array(keep))
 

@@ -105,6 +105,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        name = f"__{name}"
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        out.append(name)
+    return out
+
+
 def held_out_column(doc_id="doc_id"):
     """True for the fold that nothing is learned from: crc32(id as text) mod 5 = 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))

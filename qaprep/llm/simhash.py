@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components, forest
-from .shared import batch, chunks, materialize, ship
+from .shared import batch, chunks, fresh, materialize, ship
 
 #: words in a shingle and largest number of differing bits (fixed by the contract)
 SHINGLE, MAX_BITS = 3, 3
@@ -34,7 +34,7 @@ HOT_ANCHOR = 4096
 #: pairs compared at once in a task
 PAIR_BLOCK = 1 << 21
 
-_FP = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+_FP = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("text_hash", pa.int64())])
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -54,15 +54,17 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of whole texts; null and word-less texts have fingerprint 0."""
+    """(doc_id, fp, text_hash) of whole texts; null and word-less texts have fingerprint 0."""
     ship(docs.sparkSession)
 
     def run(batches):
         for c in chunks(batches, "text"):
             fps = np.array([fingerprint(c.text(i), shingle) for i in range(len(c))], np.uint64)
-            yield batch(_FP, c.column("doc_id").cast(pa.int64()), fps.view(np.int64))
-    src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "doc_id BIGINT, fp BIGINT")
+            yield batch(_FP, c.column("doc_id").cast(pa.int64()), fps.view(np.int64), c.column("text_hash"))
+    text = F.col(text_col).cast("string")
+    src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"),
+                      F.xxhash64(text).alias("text_hash"))
+    return src.mapInArrow(run, "doc_id BIGINT, fp BIGINT, text_hash BIGINT")
 
 
 # ------------------------------------------------------------------- anchors
@@ -171,16 +173,17 @@ def near_links(distinct_fps: DataFrame, max_bits: int = MAX_BITS, hot: int = HOT
     return even.unionByName(again)
 
 
-def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+def group_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    shingle: int = SHINGLE, max_bits: int = MAX_BITS, hot: int = HOT_ANCHOR) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every document.
+    """(doc_id, fingerprint, component_id, text_hash, group_fingerprint) of every document.
 
     Documents whose fingerprints differ in at most ``max_bits`` bits are
     linked; ``component_id`` is the smallest id that can be reached (the own id
     included).  Null and word-less texts have fingerprint zero and link like any
     other.  A repeated row, or two rows with one id, are documents of their own
     and each returns a row; a null id is never the smallest unless all of a group
-    are null, then ``component_id`` is null.  Other columns of ``docs`` are not
+    are null, then ``component_id`` is null; ``group_fingerprint``, the smallest of
+    the group, tells groups apart in any case.  Other columns of ``docs`` are not
     looked at.  An empty table gives an empty result."""
     fps = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     least = fps.groupBy("fp").agg(F.min("doc_id").alias("low"))
@@ -189,17 +192,34 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .select("fp", "low", F.coalesce("root", "fp").alias("root"))
     tagged = materialize(tagged, "groups")
     comp = tagged.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = materialize(tagged.join(comp, "root").select("fp", "component_id"), "group-ids")
-    return fps.join(by_fp, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    by_fp = materialize(tagged.join(comp, "root").select("fp", "component_id", "root"), "group-ids")
+
+    def digits(c):
+        return F.lpad(F.lower(F.hex(c)), 16, "0")
+    return fps.join(by_fp, "fp").select("doc_id", digits("fp").alias("fingerprint"), "component_id", "text_hash",
+                                        digits("root").alias("group_fingerprint"))
+
+
+def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   shingle: int = SHINGLE, max_bits: int = MAX_BITS, hot: int = HOT_ANCHOR) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every document: ``group_rows`` without its hashes."""
+    return group_rows(docs, id_col, text_col, shingle, max_bits, hot).select("doc_id", "fingerprint", "component_id")
 
 
 def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stand for their group: the smallest id; of rows that repeat it, one."""
-    from pyspark.sql import Window
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__keep")).distinct()
-    out = docs.join(stay, F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi")
-    w = Window.partitionBy(id_col, "__h").orderBy("__h")
-    return (out.withColumn("__h", F.xxhash64(F.col(text_col))).withColumn("__n", F.row_number().over(w))
-            .where("__n = 1").drop("__h", "__n"))
+    """One row of ``docs`` for each of its ``groups`` (``group_rows(docs)``): that with
+    the smallest id (null ids last), of several with this id that with the smallest hash of
+    its text, of rows that repeat it one.
+
+    Groups are told apart by their fingerprints, so ids that repeat in other groups, or
+    are null, leave one row a group as well; ``simhash_groups`` does not hold them, and
+    they are then found here."""
+    if "group_fingerprint" not in groups.columns:
+        groups = group_rows(docs, id_col, text_col)
+    i, t, h = fresh(docs, "id", "text", "hash")
+    row = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    stay = (groups.groupBy("group_fingerprint").agg(F.min(row).alias("row"))
+            .select(F.col("row.id").alias(i), F.col("row.hash").alias(t)))
+    on = F.col(id_col).cast("bigint").eqNullSafe(F.col(i)) & (F.col(h) == F.col(t))
+    return (docs.withColumn(h, F.xxhash64(F.col(text_col).cast("string"))).join(stay, on, "left_semi")
+            .dropDuplicates([id_col, h]).drop(h))

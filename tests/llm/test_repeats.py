@@ -3,6 +3,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -110,3 +111,30 @@ def test_cut_documents_keeps_columns_and_clean_rows(documents, frame):
     texts = {(r.doc_id, r.text or "") for r in got}
     assert texts == want
     assert all(r.text is None or r.n_chars == len(r.text) for r in got)
+
+
+@pytest.mark.parametrize("text", ["=" * 3_000_000, " ab" * 700_000, "\n" * 10_000_000])
+def test_a_run_of_one_character_is_a_row_not_a_row_a_byte(text):
+    rows = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text]), pa.array([5])], ["doc_id", "text", "th"])
+    got = list(repeats._anchor_rows(iter([rows])))
+    assert sum(b.num_rows for b in got) < 1000
+    known = [(r["lo"], r["hi"] + 200) for b in got for r in b.to_pylist() if r["w"] == 0]
+    assert sum(e - s for s, e in known) > 0.99 * len(text)
+
+
+def test_runs_of_one_character_equal_brute_force(spark):
+    rows = [(1, "x" * 1500), (2, "ab" * 400 + "z" * 199), (3, "y" * 200), (4, "q" * 201), (5, "y" * 199), (6, "k" * 600 + "é" * 300)]
+    got = repeats.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).drop("spans", "kept_text")
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows)
+
+
+def test_rows_without_an_id_and_names_that_clash(spark):
+    a, b = "".join(chr(97 + i * 7 % 26) for i in range(300)), "some other text"
+    rows = [(None, a, 1, 2, 3), (None, a, 1, 2, 3), (None, b, 1, 2, 3), (7, a + b, 1, 2, 3), (7, b, 1, 2, 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __d int, __t int, __spans int")
+    got = sorted(((r.doc_id, r.n_removed) for r in repeats.deduplicate(df).collect()), key=str)
+    assert got == sorted([(None, 300), (None, 300), (None, 0), (7, 300), (7, 0)], key=str)
+    cut = repeats.cut_documents(df)
+    assert cut.columns == df.columns
+    assert sorted((tuple(r) for r in cut.collect()), key=str) == sorted(
+        [(None, b, 1, 2, 3), (7, b, 1, 2, 3), (7, b, 1, 2, 3)], key=str)

@@ -79,6 +79,24 @@ def test_keep_one_stays_for_each_group(frame):
     assert sorted((r.doc_id for r in left.collect()), key=str) == [1, 7, None]
 
 
+def test_keep_one_with_ids_that_repeat_in_other_groups(frame):
+    a, b = "one two three four", "quite another text here"
+    rows = [(1, a), (2, a), (2, b), (3, b), (None, "lone words of it"), (None, "lone words of it"), (4, "x y z w"),
+            (None, "x y z w"), (None, None), (None, ""), (5, "five"), (5, "six")]
+    docs = frame(rows)
+    left = simhash.keep_one(docs, simhash.simhash_groups(docs))
+    got = sorted(((r.doc_id, r.text) for r in left.collect()), key=str)
+    assert len(got) == 7
+    assert {(1, a), (2, b), (4, "x y z w"), (5, "five"), (5, "six"), (None, "lone words of it")} < set(got)
+    assert sum(t in (None, "") for _, t in got) == 1
+
+
+def test_keep_one_keeps_columns_with_its_own_names(spark):
+    df = spark.createDataFrame([(1, "a b c", 5, 6), (2, "a b c", 7, 8)], "doc_id long, text string, __hash int, __id int")
+    left = simhash.keep_one(df, simhash.simhash_groups(df)).collect()
+    assert [tuple(r) for r in left] == [(1, "a b c", 5, 6)]
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7), (None, 3)], "u long, v long")
     got = {r.node: r.root for r in components.connected_components(edges).collect()}

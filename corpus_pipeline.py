@@ -19,8 +19,8 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the smallest id."""
-    return simhash.keep_one(docs, simhash.simhash_groups(docs))
+    """One document of each SimHash group stays: that with the smallest id."""
+    return simhash.keep_one(docs, simhash.group_rows(docs))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

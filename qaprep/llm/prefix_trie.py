@@ -36,6 +36,8 @@ from .shared import materialize, mix, ship
 MANY_PATHS, MANY_TURNS = 256, 1 << 12
 #: ... and, with more than one path, in any case above this
 MOST_TURNS = 1 << 20
+#: heavy prefixes that are broadcast; more of them are joined by a shuffle whose skew Spark splits
+HEAVY_ROWS = 1 << 18
 #: turns that a task peels at once (whole subtrees)
 PEEL_TURNS = 1 << 18
 #: turns that a task rebuilds at once
@@ -228,6 +230,10 @@ def dealt_paths(paths: DataFrame, many_paths: int, many_turns: int, most_turns:
     heavy = (at.groupBy("p", "c1", "c2").agg(F.count("*").alias("paths"), F.sum("len").alias("turns"))
              .where((F.col("paths") > 1) & ((F.col("paths") > many_paths) & (F.col("turns") > many_turns)
                                             | (F.col("turns") > most_turns))).select("p", "c1", "c2"))
+    # few where subtrees are light; a checked size sends them to the paths, which then stay where they are
+    heavy = materialize(heavy, "trie-heavy")
+    if heavy.count() <= HEAVY_ROWS:
+        heavy = F.broadcast(heavy)
     light = (at.join(heavy, ["p", "c1", "c2"], "left_anti").groupBy("conv_id")
              .agg(F.min(F.struct("p", F.col("c1").alias("d1"), F.col("c2").alias("d2"))).alias("at")))
     return (paths.drop("c1", "c2").join(light, "conv_id", "left")

@@ -103,3 +103,61 @@ def test_article_that_is_a_comment():
     other = inner.replace("'comment'", "'comment-body'")
     assert text(f"<body><article>{P}{P}</article>{inner}<ol class='comment-list'>{other}</ol></body>") \
         == f"{sentence} {sentence}"
+
+
+def sentence_of(p=P):
+    return re.sub("<.*?>", "", p)
+
+
+def test_the_cut_turns_blocks_of_the_given_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = html_text.extract(pages).agg({"n_turned": "sum", "n_blocks": "sum"}).first()
+    assert 0.01 * got["sum(n_blocks)"] < got["sum(n_turned)"] < 0.5 * got["sum(n_blocks)"]
+
+
+def test_the_cut_decides_on_pages_without_article():
+    links = "<ul>" + "".join(f"<li><a href='/{i}'>Page {i}</a></li>" for i in range(8)) + "</ul>"
+    page = f"<body><div>{links}</div><div>{P}<p>Yes</p>{P}<h2>So</h2>{P}</div><div>{links}</div></body>"
+    got, _, _, turned = html_text.main_text(page)
+    assert got == f"{sentence_of()} Yes {sentence_of()} So {sentence_of()}" and turned > 0
+    # links inside an article follow it, a sentence inside a menu follows the menu
+    page = f"<body><nav>{links}{P}</nav><article>{P}{links}{P}</article></body>"
+    got, _, _, turned = html_text.main_text(page)
+    assert got == f"{sentence_of()} {' '.join(f'Page {i}' for i in range(8))} {sentence_of()}" and turned == 9
+
+
+@pytest.mark.parametrize("part", ["section id='discussion'", "div class='related-work'", "div class='search-engine-history'",
+                                  "div class='share-price-report'", "div id='sharing' class='social-history'"])
+@pytest.mark.parametrize("around", ["article", "div"])
+def test_names_that_contain_a_word_do_not_empty_an_article(part, around):
+    page = f"<body><nav><a href=1>x</a></nav><{around}><{part}>{P * 5}</{part.split()[0]}></{around}></body>"
+    assert text(page) == " ".join([sentence_of()] * 5)
+
+
+def test_hidden_and_advertised_parts_of_a_paragraph():
+    page = f"<article><p>Seen <span style='display:none'>hidden words</span>text <b hidden>gone</b><i aria-hidden=true>x</i>" \
+           f"goes on<span class='ad'>buy it now</span> here, to its end.</p>{P}</article>"
+    assert text(page) == f"Seen text goes on here, to its end. {sentence_of()}"
+
+
+@pytest.mark.parametrize("page", [
+    "a <b " * 250_000, "<a " * 300_000, "<font>" * 40_000 + "x" + "</b>" * 40_000, "<a \"" * 200_000, "<a '>" * 200_000,
+    "<p><div>" + "<font>" * 40_000 + "<hr>" * 40_000, "<!--" * 200_000, "<" * 1_000_000, "<div>" * 100_000 + "</p>" * 100_000,
+    "<script>" * 100_000, "<p>a sentence. <a href=x>b</a></p>" * 30_000, "&" * 1_000_000, "<p class='" + "ad " * 300_000 + "'>x"])
+def test_odd_pages_take_time_in_proportion(page):
+    import time
+    at = time.time()
+    html_text.main_text(page)
+    assert time.time() - at < 5
+
+
+def test_fit_follows_the_examples_and_stays_with_the_prior_without():
+    import numpy as np
+    rnd = np.random.default_rng(3)
+    x = np.column_stack([np.ones(400), rnd.uniform(1, 8, 400), *(rnd.integers(0, 2, 400) for _ in range(5))]).astype(float)
+    y = x[:, 1] > 4
+    w = html_text.fit_weights(x, y, pull=1.0)
+    assert ((x @ np.array(w) > 0) == y).mean() > 0.9
+    assert html_text.fit_weights(x, np.ones(400, bool)) == html_text.PRIOR
+    assert html_text.fit_weights(x[:0], y[:0]) == html_text.PRIOR
+    assert np.allclose(html_text.fit_weights(x, y, pull=1e9), html_text.PRIOR, atol=1e-2)

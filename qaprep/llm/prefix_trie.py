@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .shared import materialize, mix, ship
 
 #: a prefix is split further while more paths, and more turns, than this lie below it ...
-MANY_PATHS, MANY_TURNS = 256, 1 << 12
+MANY_PATHS, MANY_TURNS = 256, 1 << 11
 #: ... and, with more than one path, in any case above this
 MOST_TURNS = 1 << 20
 #: heavy prefixes that are broadcast; more of them are joined by a shuffle whose skew Spark splits

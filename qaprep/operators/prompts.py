@@ -41,18 +41,20 @@ def plain_prompt_with_context(question: Column, context: Column) -> Column:
                   {"head": F.lit(K.PLAIN_HEAD), "c": context, "q": question})
 
 
+def template(family: str, with_context: bool) -> str:
+    """Chat template of a model family, with the places ``{q}`` and ``{c}``."""
+    body = "{c}\n\n{q}" if with_context else "{q}"
+    if family == "gemma":
+        return K.GEMMA_USER + "\n" + body + K.GEMMA_EOT + "\n" + K.GEMMA_MODEL
+    return K.LLAMA_USER + " " + K.LLAMA_SYSTEM + "\n" + body + K.LLAMA_EOT
+
+
 def gemma_prompt(question: Column, context: Column | None = None) -> Column:
-    if context is None:
-        return render(K.GEMMA_USER + "\n{q}" + K.GEMMA_EOT + "\n" + K.GEMMA_MODEL, {"q": question})
-    return render(K.GEMMA_USER + "\n{c}\n\n{q}" + K.GEMMA_EOT + "\n" + K.GEMMA_MODEL,
-                  {"q": question, "c": context})
+    return render(template("gemma", context is not None), {"q": question, "c": context})
 
 
 def llama_prompt(question: Column, context: Column | None = None) -> Column:
-    head = K.LLAMA_USER + " " + K.LLAMA_SYSTEM + "\n"
-    if context is None:
-        return render(head + "{q}" + K.LLAMA_EOT, {"q": question})
-    return render(head + "{c}\n\n{q}" + K.LLAMA_EOT, {"q": question, "c": context})
+    return render(template("llama", context is not None), {"q": question, "c": context})
 
 
 def context_question(context: Column, question: Column) -> Column:

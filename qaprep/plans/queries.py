@@ -728,11 +728,8 @@ def _named(m):
 
 
 def _variants(spark, d):
-    c = C.corpus(spark, d, types=("train", "dev"))
-    t = _named(prompts.examples(prompts.prompt_matrix(c))).select(
-        "type", "model", "context", "idx", seeded_key(["idx"], K.SPLIT_SEED).alias("k"),
-        tokens.word_tokens(F.col("example")).alias("toks"))
-    return tokens.pack_sequences(t, "toks", "k", by=["type", "model", "context"], id_fn=tokens.hashed_id, tie=["idx"])
+    from .jobs import pack_corpus
+    return pack_corpus(C.prepared(spark, d, types=("train", "dev")))
 
 
 # ------------------------------------------------------------------- scores

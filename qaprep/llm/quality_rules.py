@@ -17,14 +17,33 @@ from pyspark.sql import functions as F
 #: words in a repeated window; least words, and largest percent of repeated words of a sound text
 REPEAT_WINDOW, LEAST_WORDS, MOST_REPEATED = 5, 10, 20
 
-# FIXED VALUES: frequent function words of the corpus languages
+#: frequent function words, a line or two a language; texts in other scripts (see LISTED) are not judged by them
 STOP_WORDS = """
 the of and to in is that it for was on are as with be this by from at or an not have
 der die das und ist nicht mit von den ein eine auf zu sich im dem des
 le la les et est une dans pour que qui du en sur pas au un il elle
 el los las de y es por con para una su se no lo como
+di che il non per sono della gli nel
+da do um uma os não em mais ao
+het van een dat niet op te zijn voor
+och att som det är inte av på
+og ikke til af jeg har
+ja on ei että oli mutta
+w z na nie się jest że jak przez
+v že je jsou ale pro s podle
+és az egy nem hogy van mint
+și nu cu este care pe din
+ve bir bu için ile da olarak
+и в не на что с он как это
+і та що з у до за
+και το της του για από με
+dan yang di dengan untuk ini itu
+và của là có không cho các
 """.split()
 
+#: scripts that the words above are written in: Latin, Greek and Cyrillic
+LISTED = r"[\x{0000}-\x{052F}\x{1E00}-\x{1FFF}]+"
+
 #: the words as they stand in a sentence and at its start
 STOP_FORMS = sorted({f for w in STOP_WORDS for f in (w, w.capitalize())})
 
@@ -85,7 +104,10 @@ def measures(text: Column) -> Column:
 
     def of_words(words: Column) -> list[Column]:
         stop = F.filter(words, lambda w: w.isin(STOP_FORMS))
-        return [F.size(words).cast("bigint").alias("n_words"), F.size(stop).cast("bigint").alias("n_stop_words"),
+        joined = F.array_join(words, "")
+        foreign = F.length(F.regexp_replace(joined, LISTED, "")) * 2 > F.length(joined)
+        return [F.size(words).cast("bigint").alias("n_words"),
+                F.when(foreign, F.size(words)).otherwise(F.size(stop)).cast("bigint").alias("n_stop_words"),
                 _repeat_words(words, REPEAT_WINDOW).alias("n_repeat_words"),
                 F.length(F.array_join(words, "")).cast("bigint").alias("word_chars")]
 

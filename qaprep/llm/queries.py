@@ -47,7 +47,8 @@ m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\\x20
   len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
   len(list_filter(lines, lambda s: regexp_matches(s, '^[\\x20\\x09]*[-*\\x{{2022}}]'))) AS n_bullet_lines,
   len(list_filter(lines, lambda s: regexp_matches(s, '(\\.\\.\\.|\\x{{2026}})[\\x20\\x09\\x0D]*$'))) AS n_ellipsis_lines,
-  len(list_filter(w, lambda x: x IN ({', '.join(repr(s) for s in quality_rules.STOP_FORMS)}))) AS n_stop_words,
+  CASE WHEN 2 * length(regexp_replace(array_to_string(w, ''), '{quality_rules.LISTED}', '', 'g')) > length(array_to_string(w, ''))
+  THEN len(w) ELSE len(list_filter(w, lambda x: x IN ({', '.join(repr(s) for s in quality_rules.STOP_FORMS)}))) END AS n_stop_words,
   coalesce(rep.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN rep USING (rid))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,

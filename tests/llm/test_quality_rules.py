@@ -1,6 +1,7 @@
 import re
 
 import duckdb
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -78,3 +79,15 @@ def test_failed_names_the_broken_rules(spark):
 
 def test_empty_table(spark):
     assert qr.apply_rules(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("text", [
+    "Wczoraj wieczorem poszliśmy do kina na nowy film, ale nie był on tak dobry, jak się tego wszyscy spodziewali.",
+    "Вчера вечером мы пошли в кино на новый фильм, но он был не таким хорошим, как мы ожидали от него.",
+    "Χθες το βράδυ πήγαμε στον κινηματογράφο για μια νέα ταινία, αλλά δεν ήταν τόσο καλή όσο την περιμέναμε από όλους.",
+    "昨天 晚上 我们 去 电影院 看 了 一部 新 电影 但是 它 不 像 大家 说 的 那么 好看",
+    "أمس مساء ذهبنا إلى السينما لمشاهدة فيلم جديد لكنه لم يكن جيدا كما توقعنا جميعا منه",
+    "Gisteren avond gingen we naar de bioscoop voor een nieuwe film, maar die was niet zo goed als verwacht."])
+def test_clean_texts_of_other_languages_stay(spark, text):
+    row = qr.apply_rules(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.kept, row.failed

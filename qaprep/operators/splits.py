@@ -1,9 +1,11 @@
 """Seeded shuffles, exact-ratio splits, holdouts and limits.
 
 Python's and numpy's permutations are not reproduced; sizes, determinism
-(md5 of ``seed:key``) and disjointness are.  Exact sizes need a position, so
-``split_exact`` and ``holdout_last`` use the bucketed ``global_index``;
-``split_hash`` is the shuffle-free approximate variant for very large inputs.
+(md5 of ``seed:key``) and disjointness are.  Exact sizes need no position of every row,
+only the keys at which the parts begin: ``split_exact`` finds these by distributed
+selection (``cut_keys``) and then compares, so no row moves.  ``holdout_last`` also gives
+positions and uses the bucketed ``global_index``; ``split_hash`` is the approximate
+variant without any count.
 """
 
 from __future__ import annotations
@@ -11,11 +13,12 @@ from __future__ import annotations
 from decimal import Decimal
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import HELD_FRACTION, HOLDOUT_LAST, SPLIT_SEED, TEST_OF_HELD
 from ..functions.keys import HASH_BITS
+from ..session import materialise
 from .ordering import global_index, seeded_key
 
 
@@ -34,27 +37,95 @@ def shuffle(df: DataFrame, key: Sequence[str], seed=SPLIT_SEED, by: Sequence[str
     return global_index(d, [F.col(key_col), *[F.col(k) for k in key]], by=by, pos=pos, count=count)
 
 
+def cut_keys(df: DataFrame, order_key: str, key: Sequence[str], ranks, by: Sequence[str] = ()) -> DataFrame:
+    """(*by, _c0, _c1, ...): for each group the (order_key, *key) of the rows at some ranks.
+
+    ``ranks(n)`` gives Columns of 0-based ranks from the group size ``n``; a rank that no
+    row has gives null.  ``order_key`` is a 60-bit hash.  Radix selection on narrow rows:
+    counts by the top 16 bits tell in which bucket a rank lies, counts by the next 16 bits
+    narrow it to a 2**-32 part of the rows, and there the rows are numbered.  All counts
+    have map-side partial sums."""
+    by = list(by)
+    step = HASH_BITS - 16
+    narrow = df.select(*by, F.col(order_key).alias("_k"), F.struct(F.col(order_key).alias("_k"), *key).alias("_x"))
+    narrow = materialise(narrow.withColumn("_b0", F.shiftright("_k", step).cast("int")), "split-keys")
+
+    def same(left, right, extra):
+        on = F.lit(True)
+        for c in by:
+            on = on & left[c].eqNullSafe(right["_g_" + c])
+        for c in extra:
+            on = on & (left[c] == right["_g" + c])
+        return on
+
+    def narrowed(counts: DataFrame, wanted: DataFrame | None, groups: list[str], bucket: str) -> DataFrame:
+        """The bucket of each rank, and the rank inside it."""
+        w = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        run = counts.withColumn("_to", F.sum("_n").over(w)).withColumn("_from", F.col("_to") - F.col("_n"))
+        if wanted is None:
+            total = Window.partitionBy(*groups)
+            run = run.withColumn("_all", F.sum("_n").over(total))
+            asked = F.array(*[F.struct(F.lit(i).alias("no"), r.cast("long").alias("r"))
+                              for i, r in enumerate(ranks(F.col("_all")))])
+            run = run.withColumn("_r", F.explode(asked)).select("*", F.col("_r.no").alias("_no"), F.col("_r.r").alias("_rank"))
+        inside = run.where((F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
+        return inside.withColumn("_rank", F.col("_rank") - F.col("_from"))
+
+    first = narrowed(narrow.groupBy(*by, "_b0").agg(F.count("*").alias("_n")), None, by, "_b0") \
+        .select(*[F.col(c).alias("_g_" + c) for c in by], F.col("_b0").alias("_g_b0"), "_no", "_rank")
+    near = narrow.join(first, same(narrow, first, ["_b0"])).select(
+        *by, "_no", "_rank", "_x", F.shiftright("_k", step - 16).bitwiseAND(0xFFFF).cast("int").alias("_b1"))
+    second = narrowed(near.groupBy(*by, "_no", "_rank", "_b1").agg(F.count("*").alias("_n")), near, [*by, "_no"], "_b1") \
+        .select(*[F.col(c).alias("_g_" + c) for c in by], F.col("_no").alias("_g_no"), F.col("_b1").alias("_g_b1"),
+                F.col("_rank").alias("_r"))
+    few = near.join(second, same(near, second, ["_no", "_b1"])).select(*by, "_no", "_r", "_x")
+    at = few.withColumn("_p", F.row_number().over(Window.partitionBy(*by, "_no").orderBy("_x")) - 1).where("_p = _r")
+    count = len(ranks(F.lit(0)))
+    return at.groupBy(*by).agg(*[F.max(F.when(F.col("_no") == i, F.col("_x"))).alias(f"_c{i}") for i in range(count)])
+
+
+#: groups whose cuts are broadcast; more are joined by a shuffle
+CUT_GROUPS = 1 << 16
+
+
+def _with_parts(df: DataFrame, order_key: str, key: Sequence[str], ranks, names: Sequence[str], by: Sequence[str],
+                out: str) -> DataFrame:
+    """``df`` with the name of its part: the parts begin at the given ranks."""
+    cuts = materialise(cut_keys(df, order_key, key, ranks, by), "split-cuts")
+    if not by:
+        found = cuts.withColumn("_one", F.lit(0))
+        joined = df.withColumn("_one", F.lit(0)).join(F.broadcast(found), "_one", "left").drop("_one")
+    else:
+        right = cuts.select(*[F.col(c).alias(f"_g_{c}") for c in by], *[c for c in cuts.columns if c not in by])
+        on = F.lit(True)
+        for c in by:
+            on = on & df[c].eqNullSafe(right[f"_g_{c}"])
+        joined = df.join(F.broadcast(right) if right.count() <= CUT_GROUPS else right, on, "left") \
+            .drop(*[f"_g_{c}" for c in by])
+    me = F.struct(F.col(order_key).alias("_k"), *key)
+    part = None
+    for i, name in enumerate(names[:-1]):
+        mine = F.col(f"_c{i}").isNull() | (me < F.col(f"_c{i}"))
+        part = F.when(mine, name) if part is None else part.when(mine, name)
+    return joined.withColumn(out, part.otherwise(names[-1])).drop(*[f"_c{i}" for i in range(len(names) - 1)])
+
+
 def split_exact(df: DataFrame, key: Sequence[str], seed=SPLIT_SEED, by: Sequence[str] = (),
                 out: str = "type", held: float = HELD_FRACTION,
-                test_of_held: float = TEST_OF_HELD, order_key: str | None = None,
-                bucket: Column | None = None) -> DataFrame:
+                test_of_held: float = TEST_OF_HELD, order_key: str | None = None) -> DataFrame:
     """70/15/15 (default) with exact sizes per ``by`` group: train, dev, test.
 
-    ``order_key``/``bucket`` let a caller pass a precomputed seeded key and
-    its bucket (e.g. to share one partitioning with a later ring shift).
-    """
-    if order_key is None:
-        d = shuffle(df, key, seed, by, pos="_pos", key_col="_k", count="_n")
-        drop = ["_pos", "_k", "_n"]
-    else:
-        d = global_index(df, [F.col(order_key), *[F.col(k) for k in key]], by=by, bucket=bucket,
-                         pos="_pos", count="_n")
-        drop = ["_pos", "_n"]
-    n_train, n_dev, _ = split_sizes(F.col("_n"), held, test_of_held)
-    t = (F.when(F.col("_pos") < n_train, "train")
-         .when(F.col("_pos") < n_train + n_dev, "dev")
-         .otherwise("test"))
-    return d.withColumn(out, t).drop(*drop)
+    ``key`` is unique within a group.  ``order_key`` lets a caller pass a precomputed
+    seeded key."""
+    def ranks(n):
+        train, dev, _ = split_sizes(n, held, test_of_held)
+        return [train, train + dev]
+
+    d, k = df, order_key
+    if k is None:
+        d, k = df.withColumn("_k0", seeded_key(list(key), seed)), "_k0"
+    out_rows = _with_parts(d, k, list(key), ranks, ["train", "dev", "test"], list(by), out)
+    return out_rows if order_key else out_rows.drop("_k0")
 
 
 def split_hash(df: DataFrame, key: Sequence[str], seed=SPLIT_SEED, out: str = "type",

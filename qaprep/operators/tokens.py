@@ -108,13 +108,13 @@ def window_count(n: Column, size: int, stride: int) -> Column:
 
 
 def sliding_windows(df: DataFrame, key: str, col: str, size: int, stride: int) -> DataFrame:
-    """One row per (key, window_no) with the window's words joined by spaces."""
-    toks = word_tokens(F.col(col))
-    d = df.select(key, toks.alias("_t"))
-    d = d.select(key, "_t", F.explode(F.sequence(F.lit(0), window_count(F.size("_t"), size, stride) - 1))
-                 .alias("window_no"))
-    return d.select(key, F.col("window_no").cast("int").alias("window_no"),
-                    F.array_join(F.slice("_t", F.col("window_no") * stride + 1, F.lit(size)), " ").alias("text"))
+    """One row per (key, window_no) with the window's words joined by spaces.
+
+    Windows are cut inside the row, so a window row carries its own words only."""
+    d = df.select(key, word_tokens(F.col(col)).alias("_t"))
+    numbers = F.sequence(F.lit(0), window_count(F.size("_t"), size, stride) - 1)
+    cut = F.transform(numbers, lambda i: F.array_join(F.slice("_t", i * stride + 1, F.lit(size)), " "))
+    return d.select(key, F.posexplode(cut).alias("window_no", "text"))
 
 
 def pad_truncate(ids: Column, width, pad_id: int = PAD_ID) -> tuple[Column, Column]:

@@ -54,7 +54,7 @@ def with_order(df: DataFrame, seed=SPLIT_SEED) -> DataFrame:
 
 def split(spark: SparkSession, sf_dir: str, seed=SPLIT_SEED, keep_order: bool = False) -> DataFrame:
     d = with_order(stacked(spark, sf_dir), seed)
-    d = split_exact(d, ["idx"], seed, by=["source"], order_key="order_key", bucket=F.col("order_bucket"))
+    d = split_exact(d, ["idx"], seed, by=["source"], order_key="order_key")
     return d if keep_order else d.drop("order_key", "order_bucket")
 
 

@@ -125,3 +125,40 @@ def test_ring_groups_sparse_buckets_brute_force(spark):
     assert {r["k"]: r["s"] for r in nxt} == want_n
     assert {r["k"]: r["s"] for r in prv} == want_p
     assert {r["k"]: r["s"] for r in leg} == want_l
+
+
+def test_split_by_selection_equals_sorting(spark):
+    """Cut keys against sorted rows: groups of all sizes, a null group, equal hash keys, one huge bucket."""
+    import random
+    from pyspark.sql import functions as F
+    from qaprep.operators.splits import cut_keys
+    rnd = random.Random(6)
+    rows = []
+    for g, n in (("a", 1), ("b", 2), ("c", 3), ("d", 10), (None, 41), ("e", 500)):
+        for i in range(n):
+            # many equal keys, many in one bucket of the first and of the second level
+            k = rnd.choice([7, 7, rnd.randrange(1 << 60), (5 << 44) + rnd.randrange(1 << 44), (5 << 44) + (9 << 28) + rnd.randrange(99)])
+            rows.append((g, f"{g}{i:03}", k))
+    df = spark.createDataFrame(rows, "g string, id string, k long").repartition(5)
+    got = {r.id: r.type for r in split_exact(df, ["id"], by=["g"], order_key="k").collect()}
+    for g in {r[0] for r in rows}:
+        mine = sorted((k, i) for x, i, k in rows if x == g)
+        n = len(mine)
+        held = -(-3 * n // 10)
+        test = -(-held // 2)
+        want = ["train"] * (n - held) + ["dev"] * (held - test) + ["test"] * test
+        assert [got[i] for _, i in mine] == want
+    one = split_exact(df.withColumn("id", F.concat("id", F.lit("!"))), ["id"], order_key="k")
+    assert sorted(r["count"] for r in one.groupBy("type").count().collect()) == [84, 84, 389]
+    at = cut_keys(df.where("g = 'e'"), "k", ["id"], lambda n: [F.lit(0), n - 1, n]).first()
+    mine = sorted((k, i) for x, i, k in rows if x == "e")
+    assert (tuple(at._c0), tuple(at._c1), at._c2) == (mine[0], mine[-1], None)
+    assert split_exact(df.limit(0), ["id"], by=["g"]).count() == 0
+
+
+def test_split_moves_no_rows(spark):
+    df = spark.range(1000).selectExpr("id AS idx", "id % 3 AS src", "repeat('x', 50) AS wide")
+    s = split_exact(df, ["idx"], 27, by=["src"])
+    s.collect()
+    plan = s._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert all("wide" not in x for x in plan.split("\n") if "Exchange" in x) and "SortMergeJoin" not in plan

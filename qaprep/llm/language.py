@@ -77,17 +77,22 @@ def emissions(weights: np.ndarray, fixed: np.ndarray, tri: np.ndarray, starts, e
 
 # ---------------------------------------------------------- forward-backward
 
-def forward_backward(scores: np.ndarray, first: np.ndarray, trans: np.ndarray, start: np.ndarray):
+def forward_backward(scores: np.ndarray, first: np.ndarray, trans: np.ndarray, start: np.ndarray,
+                     before: np.ndarray | None = None, after: np.ndarray | None = None):
     """Forward and backward messages (each normalised) of label chains laid end to end.
 
     ``first`` marks the first word of each chain; ``trans`` and ``start`` are log
     potentials.  Chains are cut into lanes of ``LANE`` words: the products of each
     lane's transition matrices give the messages at the lane bounds, and all lanes
-    are then run side by side."""
+    are then run side by side.  ``before`` is the forward message of the word before the
+    first one, ``after`` the backward message that reaches the last one, where the chain
+    is a piece of a longer one."""
     n, k = scores.shape
     lanes = -(-n // LANE)
     e = np.ones((lanes * LANE, k))
     e[:n] = np.exp(scores - scores.max(1, keepdims=True))
+    if after is not None:
+        e[n - 1] *= after
     f = np.ones(lanes * LANE, bool)
     f[:n] = first
     e, f = e.reshape(lanes, LANE, k), f.reshape(lanes, LANE)
@@ -98,6 +103,8 @@ def forward_backward(scores: np.ndarray, first: np.ndarray, trans: np.ndarray, s
         step = np.where(f[:, s, None, None], prod.sum(2, keepdims=True) * pi, prod @ a) * e[:, s, None, :]
         prod = step / step.sum((1, 2), keepdims=True)
     ahead, behind = np.ones((lanes, k)), np.ones((lanes, k))
+    if before is not None:
+        ahead[0] = before
     for i in range(1, lanes):
         v = ahead[i - 1] @ prod[i - 1]
         ahead[i] = v / v.sum()
@@ -258,6 +265,63 @@ def score_chunk(model: dict, data: np.ndarray, offs: np.ndarray):
     return share / np.maximum(words, 1)[:, None], sure / np.maximum(words, 1), words
 
 
+def _pieces(data: np.ndarray, size: int):
+    """Bounds of pieces of about ``size`` bytes that no word crosses."""
+    at, n = 0, len(data)
+    while at < n:
+        to = min(n, at + size)
+        while to < n and _LETTERS[data[to]]:
+            gap = np.flatnonzero(~_LETTERS[data[to:to + size]])
+            to = to + int(gap[0]) if len(gap) else min(n, to + size)
+        yield at, to
+        at = to
+
+
+def score_long(model: dict, data: np.ndarray, size: int = CHUNK) -> tuple[np.ndarray, float, int, bool]:
+    """(share of each language, mean of the largest posteriors, words, has a letter) of one
+    text, as ``score_chunk`` gives them, with memory for one piece of it at a time.
+
+    The forward messages at the piece bounds come from a first pass; a second one goes
+    from the last piece to the first and carries the backward message."""
+    trans, start, bits = model["trans"], model["start"], table_bits(len(model["langs"]))
+    k = len(model["langs"])
+    bounds = list(_pieces(data, size))
+    letter = False
+
+    def scores(lo, hi):
+        low = lower_ascii(data[lo:hi])
+        s, e, _ = word_bounds(low, np.array([0, hi - lo]), _LETTERS)
+        return emissions(model["weights"], *word_features(low, s, e, bits), s, e) if len(s) else np.empty((0, k))
+
+    heads, message = [], None
+    for lo, hi in bounds:
+        heads.append(message)
+        part = data[lo:hi]
+        letter = letter or bool((_LETTERS[part] & (part < 128)).any()) or _has_letter(part.tobytes())
+        x = scores(lo, hi)
+        if len(x):
+            first = np.zeros(len(x), bool)
+            first[0] = message is None
+            message = forward_backward(x, first, trans, start, message)[0][-1]
+    share, sure, words, after = np.zeros(k), 0.0, 0, None
+    a = np.exp(trans - trans.max())
+    for (lo, hi), before in zip(reversed(bounds), reversed(heads)):
+        x = scores(lo, hi)
+        if not len(x):
+            continue
+        first = np.zeros(len(x), bool)
+        first[0] = before is None
+        alpha, beta, e = forward_backward(x, first, trans, start, before, after)
+        post = alpha * beta
+        post /= post.sum(1, keepdims=True)
+        share += post.sum(0)
+        sure += float(post.max(1).sum())
+        words += len(x)
+        after = (e[0] * beta[0]) @ a.T
+        after /= after.sum()
+    return share / max(words, 1), sure / max(words, 1), words, letter
+
+
 def identify(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` (a learned language, or ``und``), ``lang_score``
     (share of the words' posterior mass, 0 to 1) and ``lang_sure`` (how sure the words'
@@ -279,7 +343,12 @@ def identify(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
         for ch in chunks(batches, text_col, size):
             n = len(ch)
             pred, score, surest = np.full(n, "und", object), np.zeros(n), np.zeros(n)
-            if fitted:
+            if fitted and n == 1 and len(ch.data) > size:
+                share, sure, words, letter = score_long(fitted, ch.data, size)
+                if letter and words:
+                    best = int(share.argmax())
+                    pred[0], score[0], surest[0] = langs[best], min(1.0, share[best]), min(1.0, sure)
+            elif fitted:
                 share, sure, words = score_chunk(fitted, ch.data, ch.offs)
                 plain = np.concatenate([[0], np.cumsum(_LETTERS[ch.data] & (ch.data < 128))])
                 letters = plain[ch.offs[1:]] > plain[ch.offs[:-1]]

@@ -120,3 +120,30 @@ def test_a_text_split_between_languages_is_kept(spark):
     assert language.identify(docs, model).where("doc_id = 9001").first().lang_score < 0.4
     left = {r.doc_id for r in language.keep_identified(docs).collect()}
     assert 9001 in left and 9002 not in left
+
+
+@pytest.mark.parametrize("size", [7, 64, 1000, 10**6])
+def test_a_long_text_in_pieces_equals_it_whole(documents, size):
+    rnd = random.Random(size)
+    langs = ["en", "de", "fr"]
+    model = language.fit([(" ".join(rnd.choice("abcdefgh") * 3 + rnd.choice("xyz") for _ in range(40)).encode(), x)
+                          for x in langs for _ in range(3)])
+    texts = ["\n".join(t for _, t in documents[:4]), "x" * 500 + " one two " + "é" * 300, " - 12 ", "word", "",
+             "1 2 3 " * 200 + "late words here"]
+    for t in texts:
+        data = np.frombuffer(t.encode(), np.uint8)
+        share, sure, words = language.score_chunk(model, data, np.array([0, len(data)]))
+        got = language.score_long(model, data, size)
+        assert np.allclose(got[0], share[0]) and np.isclose(got[1], sure[0]) and got[2] == words[0]
+        assert got[3] == language._has_letter(t.encode())
+
+
+def test_memory_follows_the_piece_not_the_text():
+    import resource
+    model = language.fit([(b"the cat sat on the mat", "en"), (b"der hund und die katze", "de")])
+    data = np.frombuffer(b"the dog und die cat sat " * 2_000_000, np.uint8)  # 48 MB
+    language.score_long(model, data[:1 << 20])
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    share, _, words, _ = language.score_long(model, data)
+    assert words == 12_000_000 and share[1] > 0.4
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 200_000  # kB

@@ -23,7 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import (batch, byte_set, chunks, held_out_column, lower_ascii, mix, pack_model, prefix_hash, ship,
+from .shared import (batch, byte_set, chunks, held_out_column, lower_ascii, mix, pack_model, pieces,
+                     prefix_hash, ship,
                      span_hash, unpack_model, word_bounds)
 
 #: documents per language that the model is fitted on, and the least number with very many languages
@@ -265,18 +266,6 @@ def score_chunk(model: dict, data: np.ndarray, offs: np.ndarray):
     return share / np.maximum(words, 1)[:, None], sure / np.maximum(words, 1), words
 
 
-def _pieces(data: np.ndarray, size: int):
-    """Bounds of pieces of about ``size`` bytes that no word crosses."""
-    at, n = 0, len(data)
-    while at < n:
-        to = min(n, at + size)
-        while to < n and _LETTERS[data[to]]:
-            gap = np.flatnonzero(~_LETTERS[data[to:to + size]])
-            to = to + int(gap[0]) if len(gap) else min(n, to + size)
-        yield at, to
-        at = to
-
-
 def score_long(model: dict, data: np.ndarray, size: int = CHUNK) -> tuple[np.ndarray, float, int, bool]:
     """(share of each language, mean of the largest posteriors, words, has a letter) of one
     text, as ``score_chunk`` gives them, with memory for one piece of it at a time.
@@ -285,7 +274,7 @@ def score_long(model: dict, data: np.ndarray, size: int = CHUNK) -> tuple[np.nda
     from the last piece to the first and carries the backward message."""
     trans, start, bits = model["trans"], model["start"], table_bits(len(model["langs"]))
     k = len(model["langs"])
-    bounds = list(_pieces(data, size))
+    bounds = list(pieces(data, size, _LETTERS))
     letter = False
 
     def scores(lo, hi):

@@ -24,47 +24,74 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .language import sampled_texts
-from .shared import (NON_SPACE, byte_set, chunks, held_out_column, lower_ascii, materialize, pack_model, prefix_hash,
-                     ship, span_hash, unpack_model, word_bounds)
+from .shared import (NON_SPACE, byte_set, chunks, held_out_column, lower_ascii, materialize, pack_model, pieces,
+                     prefix_hash, ship, span_hash, unpack_model, word_bounds)
 
 #: labelled rows of either class for the classifier; weight of an unlabelled document in its site
 SAMPLE_ROWS, SOFT = 2000, 0.25
 #: bounds of a prior's strength, in documents
 STRENGTH = (2.0, 1e5)
 CHUNK = 1 << 19
+#: bytes of one long text read at once
+PIECE = 1 << 20
 
 _SETS = [byte_set("#*$%&|<>"), byte_set("0-9"), byte_set("A-Z"), byte_set(".,;:!?"), byte_set("A-Za-z\x80-\xff"),
          byte_set("\n")]
 
 
+def _counts(member: np.ndarray, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Bytes of a set in each document, with running counts for one piece at a time."""
+    at_offs, before = np.zeros(len(offs)), 0
+    for a in range(0, len(data), PIECE):
+        c = np.cumsum(member[data[a:a + PIECE]], dtype=np.int32)
+        mine = slice(*np.searchsorted(offs, [a + 1, a + len(c) + 1]))
+        at_offs[mine] = before + c[offs[mine] - a - 1]
+        before += int(c[-1])
+    # bounds at the very start count nothing; the others were reached above
+    return np.diff(at_offs)
+
+
+def _word_hashes(data: np.ndarray, offs: np.ndarray):
+    """(hash, document, bytes) of the words; a text longer than a piece is alone and read in pieces."""
+    if len(offs) > 2 or len(data) <= PIECE:
+        low = lower_ascii(data)
+        s, e, doc = word_bounds(low, offs, NON_SPACE)
+        return (span_hash(prefix_hash(low), s, e) if len(s) else np.empty(0, np.uint64)), doc, e - s
+    found = []
+    for a, b in pieces(data, PIECE, NON_SPACE):
+        low = lower_ascii(data[a:b])
+        s, e, _ = word_bounds(low, np.array([0, b - a]), NON_SPACE)
+        found.append((span_hash(prefix_hash(low), s, e), e - s))
+    h, length = (np.concatenate(x) for x in zip(*found))
+    return h, np.zeros(len(h), np.int64), length
+
+
 def text_features(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Documents x measures of a chunk's texts."""
     n = len(offs) - 1
     size = np.diff(offs).astype(np.float64)
-    per_byte = [np.concatenate([[0], np.cumsum(s[data])]) for s in _SETS]
-    share = [(c[offs[1:]] - c[offs[:-1]]) / np.maximum(size, 1) for c in per_byte]
-    low = lower_ascii(data)
-    s, e, doc = word_bounds(low, offs, NON_SPACE)
+    share = [_counts(s, data, offs) / np.maximum(size, 1) for s in _SETS]
+    h, doc, length = _word_hashes(data, offs)
     words = np.bincount(doc, minlength=n).astype(np.float64)
-    chars = np.bincount(doc, (e - s), n)
+    chars = np.bincount(doc, length, n)
     kinds = distinct = np.zeros(n)
-    if len(s):
-        h = span_hash(prefix_hash(low), s, e)
-        order = np.lexsort((h, doc))
-        new = np.ones(len(s), bool)
-        new[1:] = (h[order][1:] != h[order][:-1]) | (doc[order][1:] != doc[order][:-1])
-        kinds = np.bincount(doc[order][new], minlength=n)
-        pair = h[:-1] * np.uint64(31) + h[1:]
+    if len(h):
+        kinds = _distinct(h, doc, n)
         same = doc[1:] == doc[:-1]
-        pair, at = pair[same], doc[1:][same]
-        order = np.lexsort((pair, at))
-        new = np.ones(len(pair), bool)
-        new[1:] = (pair[order][1:] != pair[order][:-1]) | (at[order][1:] != at[order][:-1])
-        distinct = np.bincount(at[order][new], minlength=n)
+        distinct = _distinct((h[:-1] * np.uint64(31) + h[1:])[same], doc[1:][same], n)
     return np.stack([np.log1p(words), chars / np.maximum(words, 1), *share, kinds / np.maximum(words, 1),
                      distinct / np.maximum(words - 1, 1), (words < 10).astype(np.float64)], 1)
 
 
+def _distinct(values: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    """Different values in each document."""
+    order = np.lexsort((values, doc))
+    v, d = values[order], doc[order]
+    new = np.ones(len(v), bool)
+    new[1:] = (v[1:] != v[:-1]) | (d[1:] != d[:-1])
+    return np.bincount(d[new], minlength=n)
+
+
 def _design(x: np.ndarray, mean: np.ndarray, sd: np.ndarray) -> np.ndarray:
     z = np.clip((x - mean) / sd, -6, 6)
     return np.concatenate([np.ones((len(z), 1)), z, z * z], 1)

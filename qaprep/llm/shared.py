@@ -215,6 +215,18 @@ def word_bounds(data: np.ndarray, offs: np.ndarray, members: np.ndarray):
     return starts, ends, np.searchsorted(offs, starts, "right") - 1
 
 
+def pieces(data: np.ndarray, size: int, members: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Bounds of pieces of about ``size`` bytes of one text that no word of ``members`` crosses."""
+    at, n = 0, len(data)
+    while at < n:
+        to = min(n, at + size)
+        while to < n and members[data[to]]:
+            gap = np.flatnonzero(~members[data[to:to + size]])
+            to = to + int(gap[0]) if len(gap) else min(n, to + size)
+        yield at, to
+        at = to
+
+
 _MULT = np.uint64(0x9E3779B97F4A7C15 | 1)
 _POWERS: dict[str, np.ndarray] = {}
 

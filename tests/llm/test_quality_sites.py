@@ -101,3 +101,33 @@ def test_url_site(spark):
     df = spark.createDataFrame([("https://a@Ex.org:80/en/1?x",), ("http://h",), ("no url",), (None,)], "u string")
     host, path = qs.url_site(F.col("u"))
     assert [tuple(r) for r in df.select(host, path).collect()] == [("ex.org", "/en"), ("h", ""), (None, ""), (None, None)]
+
+
+@pytest.mark.parametrize("piece", [7, 100, 5000])
+def test_features_of_a_long_text_in_pieces(documents, monkeypatch, piece):
+    texts = [" ".join(t for _, t in documents[:5]), "one two one two #\n " * 50, "x" * 900, " ", "é" * 100 + " A.1"]
+    whole = [qs.text_features(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())])) for t in texts]
+    monkeypatch.setattr(qs, "PIECE", piece)
+    for t, want in zip(texts, whole):
+        data = np.frombuffer(t.encode(), np.uint8)
+        assert np.allclose(qs.text_features(data, np.array([0, len(data)])), want)
+
+
+def test_sites_change_predictions_of_doubtful_documents(spark):
+    """Texts alike in quality; a dense good host, a dense bad one, and a sparse one near the global rate."""
+    rnd = np.random.default_rng(1)
+    docs, labels = [], []
+    for i in range(900):
+        host = ("good", "bad", "mixed")[i % 3] if i < 890 else "sparse"
+        text = " ".join(f"w{rnd.integers(500)}" for _ in range(30))
+        docs.append((i, text, host, "en"))
+        labels.append((i, int({"good": rnd.random() < 0.97, "bad": rnd.random() < 0.03}.get(host, rnd.random() < 0.5)), 0))
+    d = spark.createDataFrame(docs, "doc_id long, text string, source string, lang string")
+    got = qs.score_documents(d, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    rows = got.join(d.select("doc_id", "source"), "doc_id").collect()
+    by = {h: [r for r in rows if r.source == h and r.held_out] for h in ("good", "bad")}
+    assert np.mean([r.predicted for r in by["good"]]) > 0.9 and np.mean([r.predicted for r in by["bad"]]) < 0.1
+    turned = [r for r in rows if (r.doc_score >= 0.5) != (r.score >= 0.5)]
+    assert len(turned) > 100
+    rate = {r.source: r.host_rate for r in rows}
+    assert rate["bad"] < 0.2 < rate["sparse"] < 0.8 < rate["good"]

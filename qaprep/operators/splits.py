@@ -37,71 +37,54 @@ def shuffle(df: DataFrame, key: Sequence[str], seed=SPLIT_SEED, by: Sequence[str
     return global_index(d, [F.col(key_col), *[F.col(k) for k in key]], by=by, pos=pos, count=count)
 
 
+#: bits of the hash key that are counted: of n rows about n / 2**BITS meet in a task for each cut
+SELECT_BITS = 18
+
+
 def cut_keys(df: DataFrame, order_key: str, key: Sequence[str], ranks, by: Sequence[str] = ()) -> DataFrame:
     """(*by, _c0, _c1, ...): for each group the (order_key, *key) of the rows at some ranks.
 
     ``ranks(n)`` gives Columns of 0-based ranks from the group size ``n``; a rank that no
-    row has gives null.  ``order_key`` is a 60-bit hash.  Radix selection on narrow rows:
-    counts by the top 16 bits tell in which bucket a rank lies, counts by the next 16 bits
-    narrow it to a 2**-32 part of the rows, and there the rows are numbered.  All counts
-    have map-side partial sums."""
+    row has gives null.  ``order_key`` is a 60-bit hash.  Selection on narrow rows: counts
+    by the top ``SELECT_BITS`` bits (with map-side partial sums) tell in which bucket a
+    rank lies, and only the rows of that bucket are numbered."""
     by = list(by)
-    step = HASH_BITS - 16
-    narrow = df.select(*by, F.col(order_key).alias("_k"), F.struct(F.col(order_key).alias("_k"), *key).alias("_x"))
-    narrow = materialise(narrow.withColumn("_b0", F.shiftright("_k", step).cast("int")), "split-keys")
-
-    def same(left, right, extra):
-        on = F.lit(True)
-        for c in by:
-            on = on & left[c].eqNullSafe(right["_g_" + c])
-        for c in extra:
-            on = on & (left[c] == right["_g" + c])
-        return on
-
-    def narrowed(counts: DataFrame, wanted: DataFrame | None, groups: list[str], bucket: str) -> DataFrame:
-        """The bucket of each rank, and the rank inside it."""
-        w = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        run = counts.withColumn("_to", F.sum("_n").over(w)).withColumn("_from", F.col("_to") - F.col("_n"))
-        if wanted is None:
-            total = Window.partitionBy(*groups)
-            run = run.withColumn("_all", F.sum("_n").over(total))
-            asked = F.array(*[F.struct(F.lit(i).alias("no"), r.cast("long").alias("r"))
-                              for i, r in enumerate(ranks(F.col("_all")))])
-            run = run.withColumn("_r", F.explode(asked)).select("*", F.col("_r.no").alias("_no"), F.col("_r.r").alias("_rank"))
-        inside = run.where((F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
-        return inside.withColumn("_rank", F.col("_rank") - F.col("_from"))
-
-    first = narrowed(narrow.groupBy(*by, "_b0").agg(F.count("*").alias("_n")), None, by, "_b0") \
-        .select(*[F.col(c).alias("_g_" + c) for c in by], F.col("_b0").alias("_g_b0"), "_no", "_rank")
-    near = narrow.join(first, same(narrow, first, ["_b0"])).select(
-        *by, "_no", "_rank", "_x", F.shiftright("_k", step - 16).bitwiseAND(0xFFFF).cast("int").alias("_b1"))
-    second = narrowed(near.groupBy(*by, "_no", "_rank", "_b1").agg(F.count("*").alias("_n")), near, [*by, "_no"], "_b1") \
-        .select(*[F.col(c).alias("_g_" + c) for c in by], F.col("_no").alias("_g_no"), F.col("_b1").alias("_g_b1"),
-                F.col("_rank").alias("_r"))
-    few = near.join(second, same(near, second, ["_no", "_b1"])).select(*by, "_no", "_r", "_x")
-    at = few.withColumn("_p", F.row_number().over(Window.partitionBy(*by, "_no").orderBy("_x")) - 1).where("_p = _r")
+    narrow = df.select(*by, F.shiftright(order_key, HASH_BITS - SELECT_BITS).cast("int").alias("_b"),
+                       F.struct(F.col(order_key).alias("_k"), *key).alias("_x"))
+    narrow = materialise(narrow, "split-keys")
+    counts = narrow.groupBy(*by, "_b").agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(*by)
+    run = (counts.withColumn("_all", F.sum("_n").over(w))
+           .withColumn("_to", F.sum("_n").over(w.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    asked = F.array(*[F.struct(F.lit(i).alias("no"), r.cast("long").alias("r")) for i, r in enumerate(ranks(F.col("_all")))])
+    cut = (run.select("*", F.explode(asked).alias("_r"))
+           .where((F.col("_r.r") < F.col("_to")) & (F.col("_r.r") >= F.col("_to") - F.col("_n")))
+           .select(*[F.col(c).alias(f"_g_{c}") for c in by], F.col("_b").alias("_cb"), F.col("_r.no").alias("_no"),
+                   (F.col("_r.r") - F.col("_to") + F.col("_n")).alias("_rank")))
+    on = narrow["_b"] == cut["_cb"]
+    for c in by:
+        on = on & narrow[c].eqNullSafe(cut[f"_g_{c}"])
+    near = narrow.join(cut, on).select(*by, "_no", "_rank", "_x")
+    at = near.withColumn("_p", F.row_number().over(Window.partitionBy(*by, "_no").orderBy("_x")) - 1).where("_p = _rank")
     count = len(ranks(F.lit(0)))
     return at.groupBy(*by).agg(*[F.max(F.when(F.col("_no") == i, F.col("_x"))).alias(f"_c{i}") for i in range(count)])
 
 
-#: groups whose cuts are broadcast; more are joined by a shuffle
-CUT_GROUPS = 1 << 16
-
-
 def _with_parts(df: DataFrame, order_key: str, key: Sequence[str], ranks, names: Sequence[str], by: Sequence[str],
                 out: str) -> DataFrame:
-    """``df`` with the name of its part: the parts begin at the given ranks."""
+    """``df`` with the name of its part: the parts begin at the given ranks.
+
+    The cuts, a row per group, are a stored table, so Spark knows its size and
+    broadcasts it where it is small."""
     cuts = materialise(cut_keys(df, order_key, key, ranks, by), "split-cuts")
-    if not by:
-        found = cuts.withColumn("_one", F.lit(0))
-        joined = df.withColumn("_one", F.lit(0)).join(F.broadcast(found), "_one", "left").drop("_one")
+    if not by:  # one row, or none
+        joined = df.withColumn("_one", F.lit(0)).join(F.broadcast(cuts.withColumn("_one", F.lit(0))), "_one", "left").drop("_one")
     else:
-        right = cuts.select(*[F.col(c).alias(f"_g_{c}") for c in by], *[c for c in cuts.columns if c not in by])
+        right = cuts.withColumnsRenamed({c: f"_g_{c}" for c in by})
         on = F.lit(True)
         for c in by:
             on = on & df[c].eqNullSafe(right[f"_g_{c}"])
-        joined = df.join(F.broadcast(right) if right.count() <= CUT_GROUPS else right, on, "left") \
-            .drop(*[f"_g_{c}" for c in by])
+        joined = df.join(right, on, "left").drop(*[f"_g_{c}" for c in by])
     me = F.struct(F.col(order_key).alias("_k"), *key)
     part = None
     for i, name in enumerate(names[:-1]):

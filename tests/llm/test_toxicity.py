@@ -89,3 +89,58 @@ def test_a_long_text_in_pieces_equals_it_whole(documents, size):
     for t in [b" ".join(texts[:6]), texts[3], b"One", b"A. b, C!", b" - ", "ÉÉ".encode() * 40 + b" XyZ abc" * 30]:
         data = np.frombuffer(t, np.uint8)
         assert np.isclose(scorer.score_long(data, size), scorer.scores(data, np.array([0, len(data)]))[0])
+
+
+def _labelled(spark, n):
+    """Texts of common words; each of 40 rare words stands in three training texts, "badword" in the toxic ones."""
+    import zlib
+    ids = [i for i in range(n) if zlib.crc32(str(i).encode()) % 5 > 1]
+    rare = {ids[(k * 977 + j * 1301) % len(ids)]: [] for k in range(40) for j in range(3)}
+    for k in range(40):
+        for j in range(3):
+            rare[ids[(k * 977 + j * 1301) % len(ids)]].append(f"zq{k}x")
+    rows = [(i, " ".join([f"w{(i * 7 + j) % 50}" for j in range(8)] + rare.get(i, []) + ["badword"] * (i % 3 == 0)),
+             "en" if i % 2 else "de") for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    return docs, spark.createDataFrame([(i, 0, int(i % 3 == 0)) for i in range(n)], "doc_id long, quality int, toxic int")
+
+
+def _train(docs, labels):
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    return toxicity.train(docs.where(fold != 0).withColumn("calibrate", fold == 1),
+                          labels.select(F.col("doc_id").alias("__id"), "toxic"))
+
+
+def test_every_labelled_row_is_learned_from(spark):
+    docs, labels = _labelled(spark, 15_000)
+    model = _train(docs, labels)
+    rare = [toxicity.word_hashes(np.frombuffer(f"zq{k}x".encode(), np.uint8), np.array([0, 4 + (k > 9)]))[0][0, 0] for k in range(40)]
+    assert np.isin(rare, model["words"]).all()
+
+
+def test_training_in_many_tasks(spark, monkeypatch):
+    docs, labels = _labelled(spark, 3000)
+    monkeypatch.setattr(toxicity, "LEARNER_ROWS", 300)
+    one, two = _train(docs, labels), _train(docs, labels)
+    assert all(np.array_equal(one[k], two[k]) for k in one)
+    scorer = toxicity.Scorer(one)
+    for text, want in ((b"w1 w2 badword w3", True), (b"w1 w2 w3", False), (b"", False)):
+        assert (scorer.scores(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0] >= 0.5) == want
+
+
+def test_long_training_texts_step_as_whole_ones(monkeypatch):
+    texts = [(" ".join(f"w{(i * 7 + j) % 50}" for j in range(40)) + " badword" * (i % 2)).encode() for i in range(40)]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offs = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    h, doc = toxicity.word_hashes(data, offs)
+    words = np.unique(h)
+    words = words[toxicity._kept(words, np.full(len(words), 9))]
+    ids, bounds = toxicity.slot_table(words)(h), np.searchsorted(doc, np.arange(41))
+    got = []
+    for slab in (1 << 17, 7):
+        monkeypatch.setattr(toxicity, "SLAB", slab)
+        state, _ = toxicity._initial(np.full(len(words), 3), np.ones(len(words)), np.ones((len(words), 1)), 40, 20, [40], 3)
+        for d in range(40):
+            toxicity._steps(state, ids, bounds, np.arange(40) % 2.0, np.array([d]))
+        got.append(state["emb"])
+    assert np.allclose(*got)

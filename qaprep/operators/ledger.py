@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
@@ -37,16 +37,28 @@ def read_ledger(spark: SparkSession, path: str, key: str, key_type: str = "STRIN
         return spark.createDataFrame([], schema)
 
 
+#: characters of request text that a task sorts at once
+TASK_TEXT = 64 << 20
+
+
+def _text(requests: DataFrame, request_col: str) -> Column:
+    text = F.col(request_col)
+    return text if requests.schema[request_col].dataType.typeName() == "string" else F.to_json(text)
+
+
 def missing(requests: DataFrame, ledger: DataFrame, key: str, request_col: str = "request") -> DataFrame:
     """(key, request_md5, request as JSON text) of the requests without an answer, each once.
 
-    Rows without a key have no place in a ledger and are left out."""
-    text = F.col(request_col)
-    if requests.schema[request_col].dataType.typeName() != "string":
-        text = F.to_json(text)
-    asked = (requests.where(F.col(key).isNotNull()).select(key, text.alias("request"))
-             .select(key, F.md5(F.coalesce("request", F.lit("")).cast("binary")).alias("request_md5"), "request")
-             .dropDuplicates([key, "request_md5"]))
+    Rows without a key have no place in a ledger and are left out.  The texts are dealt to
+    as many tasks as they need, ``TASK_TEXT`` each: request texts repeat long instructions,
+    so their size in a compressed shuffle says little about the memory that sorting takes."""
+    spark = requests.sparkSession
+    asked = requests.where(F.col(key).isNotNull()).select(key, _text(requests, request_col).alias("request"))
+    size = asked.agg(F.sum(F.length("request") + 100)).first()[0] or 0
+    asked = asked.select(key, F.md5(F.coalesce("request", F.lit("")).cast("binary")).alias("request_md5"), "request")
+    if size > TASK_TEXT * int(spark.conf.get("spark.sql.shuffle.partitions")):
+        asked = asked.repartition(-(-size // TASK_TEXT), key, "request_md5")
+    asked = asked.dropDuplicates([key, "request_md5"])
     return asked.join(ledger.select(key, "request_md5"), [key, "request_md5"], "left_anti")
 
 
@@ -83,8 +95,6 @@ def call_with_ledger(requests: DataFrame, key: str, client_factory: Callable[[],
         answers = call_model(both, "k", client_factory, encode=False)
         answers.select(f"k.{key}", "k.request_md5", "output").write.mode("append").parquet(path)
         asked += 1
-    text = F.col(request_col)
-    if requests.schema[request_col].dataType.typeName() != "string":
-        text = F.to_json(text)
+    text = _text(requests, request_col)
     wanted = requests.select(key, F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("request_md5"))
     return wanted.join(read_ledger(spark, path, key, key_type), [key, "request_md5"], "left").select(key, "output")

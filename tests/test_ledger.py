@@ -81,3 +81,16 @@ def test_changed_repeated_and_keyless_requests(spark, tmp_path, calls):
         [(0, "A"), (0, "A"), (1, "NEW"), (None, None)], key=str)
     assert _calls(calls) == Counter(["a", "a", "b", "new"])  # '{"q":"a"}' and '{"q": "a"}' are two texts
     assert L.call_with_ledger(req.limit(0), "id", _client(calls), path).count() == 0
+
+
+def test_tasks_follow_the_size_of_the_texts(spark, tmp_path, calls, monkeypatch):
+    monkeypatch.setattr(L, "TASK_TEXT", 1000)
+    names = [f"q{i}" for i in range(200)]
+    req, path = _requests(spark, names + names), str(tmp_path / "ledger")
+    req = req.selectExpr("id % 200 AS id", "request")
+    L.call_with_ledger(req.where("id < 50"), "id", _client(calls), path)
+    todo = L.missing(req, L.read_ledger(spark, path, "id", "bigint"), "id")
+    assert todo.rdd.getNumPartitions() >= 40 > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = L.call_with_ledger(req, "id", _client(calls), path)
+    assert sorted((r.id, r.output) for r in got.collect()) == sorted((i % 200, n.upper()) for i, n in enumerate(names + names))
+    assert _calls(calls) == Counter(names)

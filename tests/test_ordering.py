@@ -1,5 +1,6 @@
 """Positions, ring shifts and splits: edge rows and properties."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from qaprep.operators.ordering import global_index, ring_shift, ring_shift_legacy, seeded_key
@@ -162,3 +163,20 @@ def test_split_moves_no_rows(spark):
     s.collect()
     plan = s._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert all("wide" not in x for x in plan.split("\n") if "Exchange" in x) and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("task_rows", [100_000, 3])
+def test_ring_moves_rows_once_and_takes_null_keys_first(spark, monkeypatch, task_rows):
+    from qaprep.operators import ordering
+    monkeypatch.setattr(ordering, "TASK_ROWS", task_rows)
+    rows = [(g, None if i % 9 == 0 else (i * 37) % 50, i, f"{g}{i}") for g in "ab" for i in range(60)] + [("c", 1, 0, "c0")]
+    df = spark.createDataFrame(rows, "g string, k long, i long, v string")
+    order = [F.col("k"), F.col("i")]
+    out = ordering.neighbours(df, ["v"], order, by=["g"], bucket=F.coalesce(F.floor(F.col("k") / 5).cast("int"), F.lit(-1)))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+    want = {}
+    for g in "abc":
+        ring = [r[3] for r in sorted((r for r in rows if r[0] == g), key=lambda r: (r[1] is not None, r[1] or 0, r[2]))]
+        want.update({v: (ring[(n + 1) % len(ring)], ring[n - 1]) if len(ring) > 1 else (None, None) for n, v in enumerate(ring)})
+    assert {r.v: (r.next_v, r.prev_v) for r in out.collect()} == want

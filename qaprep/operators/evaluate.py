@@ -119,7 +119,7 @@ def score_answers(df: DataFrame, pred: str = "prediction", gold: str = "answer")
 
 def answer_in_prompt(df: DataFrame, prompt: str = "prompt", answer: str = "answer") -> DataFrame:
     """Row-level leak: the (case-folded) answer text occurs in the prompt."""
-    return df.withColumn("leaked", F.instr(F.lower(F.col(prompt)), F.lower(F.col(answer))) > 0)
+    return df.withColumn("leaked", F.lower(F.col(prompt)).contains(F.lower(F.col(answer))))
 
 
 def shingles(words: Column, n: int) -> Column:

@@ -935,7 +935,7 @@ def q_experiment_grid(spark, d):
     m = _named(prompts.examples(prompts.prompt_matrix(C.corpus(spark, d, types=("train", "dev")))))
     path = F.concat(F.when(F.col("type") == "train", "train/train_").otherwise("dev/packed/dev_"),
                     F.col("model"), F.lit("_"), F.col("context"), F.lit("_packed.jsonl"))
-    ntok = F.size(tokens.word_tokens(F.col("example"))) + 1
+    ntok = tokens.word_count(F.col("example")) + 1
     files = (m.groupBy(path.alias("path")).agg(F.sum(ntok).alias("_t")).where(F.col("_t") >= W_PACK).select("path"))
     g = grid.runnable_grid(spark.range(1), files)
     return g.select("model", "context", "train_path", "eval_path", "model_id", "status")

@@ -33,25 +33,38 @@ from .responses import RESPONSE_SCHEMA
 
 #: neighbouring ``i`` of one run in a bucket
 BUCKET_ROWS = 1 << 20
+#: 2**STATE_BITS neighbouring ``i`` of one run share a state row: a call of Python and a row of
+#: state each cost far more than the answers in it
+STATE_BITS = 5
 EXPIRY_MS = 30 * 24 * 3600 * 1000
 
 _COMMITS = "batch BIGINT, bucket BIGINT"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _best_answer(expiry_ms: int):
-    """Pass an answer of a key on if there was none, or a lesser one; forget the key in time."""
+def _best_answers(expiry_ms: int):
+    """Pass an answer of a key on if there was none, or a lesser one; forget the key in time.
+
+    The state holds neighbouring keys: (i, text, last arrival) each."""
     def keep(key, parts, state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        now = state.getCurrentProcessingTimeMs()
+        known = {i: (text, seen) for i, text, seen in zip(*state.get) if now - seen < expiry_ms} if state.exists else {}
+        better = {}
+        if not state.hasTimedOut:
+            for part in parts:
+                for i, text in zip(part["i"].tolist(), part["output"].tolist()):
+                    text = text if text is not None and text == text else None
+                    old = known[i][0] if i in known else None
+                    if i not in known or text is not None and (old is None or text > old):
+                        better[i] = old = text
+                    known[i] = (old, now)
+        if known:
+            state.update((list(known), [text for text, _ in known.values()], [seen for _, seen in known.values()]))
+            state.setTimeoutDuration(max(1, min(seen for _, seen in known.values()) + expiry_ms - now))
+        elif state.exists:
             state.remove()
-            return
-        texts = [t for part in parts for t in part["output"] if t is not None and t == t]
-        old = state.get[0] if state.exists else None
-        new = max(texts, default=None)
-        if not state.exists or new is not None and (old is None or new > old):
-            state.update((new,))
-            yield pd.DataFrame({"run_id": [key[0]], "i": [key[1]], "output": [new]})
-        state.setTimeoutDuration(expiry_ms)
+        if better:
+            yield pd.DataFrame({"run_id": [key[0]] * len(better), "i": list(better), "output": list(better.values())})
     return keep
 
 
@@ -67,9 +80,10 @@ def _conf(spark: SparkSession, key: str, value: str):
 
 def better_answers(arrivals: DataFrame, expiry_ms: int = EXPIRY_MS) -> DataFrame:
     """The stream of first and better answers of each (run_id, i); lines without ``i`` are left out."""
-    return (arrivals.where("i IS NOT NULL").select("run_id", "i", "output").groupBy("run_id", "i")
-            .applyInPandasWithState(_best_answer(expiry_ms), RESPONSE_SCHEMA, "output STRING", "update",
-                                    GroupStateTimeout.ProcessingTimeTimeout))
+    keyed = arrivals.where("i IS NOT NULL").select("run_id", "i", "output", F.shiftright("i", STATE_BITS).alias("_some"))
+    return keyed.groupBy("run_id", "_some").applyInPandasWithState(
+        _best_answers(expiry_ms), RESPONSE_SCHEMA, "i ARRAY<BIGINT>, output ARRAY<STRING>, seen ARRAY<BIGINT>", "update",
+        GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def _versions(spark: SparkSession, path: str, before: int | None = None) -> dict[int, int]:

@@ -68,6 +68,47 @@ def test_after_expiry_a_lesser_answer_does_not_win(spark, tmp_path):
     assert _rows(A.read_answers(spark, table)) == [("r", 0, "good")]
 
 
+class _State:
+    """State of one group between calls, as Spark keeps it."""
+    def __init__(self):
+        self.value, self.now, self.timeout, self.hasTimedOut = None, 0, None, False
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def getCurrentProcessingTimeMs(self):
+        return self.now
+
+    def update(self, value):
+        self.value = value
+
+    def remove(self):
+        self.value = None
+
+    def setTimeoutDuration(self, ms):
+        self.timeout = ms
+
+
+def test_neighbouring_keys_share_a_state_and_expire_one_by_one():
+    import pandas as pd
+    keep, state = A._best_answers(100), _State()
+
+    def call(now, *rows):
+        state.now = now
+        parts = [pd.DataFrame(list(rows), columns=["i", "output"])] if rows else []
+        return [tuple(r) for got in keep(("r", 0), parts, state) for r in got[["run_id", "i", "output"]].itertuples(index=False)]
+
+    assert call(0, (0, "b"), (1, None), (2, "x"), (0, "a")) == [("r", 0, "b"), ("r", 1, None), ("r", 2, "x")]
+    assert call(60, (0, "a"), (1, "c"), (1, None)) == [("r", 1, "c")]       # 0 is no better, but was seen
+    assert state.timeout == 40                                             # key 2, last seen at 0
+    state.hasTimedOut = True
+    assert call(100) == [] and sorted(state.value[0]) == [0, 1] and state.timeout == 60
+    state.hasTimedOut = False
+    assert call(110, (2, "w"), (0, "b")) == [("r", 2, "w")]                 # forgotten, so it passes; the table decides
+    state.hasTimedOut = True
+    assert call(400) == [] and not state.exists
+
+
 @pytest.mark.parametrize("rows_have_run", [False, True])
 def test_two_runs_in_one_log_do_not_mix(spark, tmp_path, rows_have_run):
     log = str(tmp_path / "log")

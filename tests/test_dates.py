@@ -127,13 +127,12 @@ def test_the_first_character_is_tested_first_and_changes_no_mention(spark):
     import random
     rnd = random.Random(3)
     bits = [*MONTHS, "May", "1995", "95", "3", "12", " of ", ", ", " to ", "-", "–", " ", "x", "é", "\n", "Mar", "sJune", "19951", "٣"]
-    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randrange(12))) for _ in range(3000)]
+    texts = [rnd.choice(["", " ", " "]).join(rnd.choice(bits) for _ in range(rnd.randrange(16))) for _ in range(3000)]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     for pattern in (D.DATE_RX, D.DATE_RX_WITH_BARE_MONTH):
         quick, plain = D.extract_mentions(F.col("text"), pattern), F.regexp_extract_all("text", F.lit(pattern), 0)
-        assert df.where(quick != plain).count() == 0 and df.where(F.size(quick) > 1).count() > 500
+        assert df.where(quick != plain).count() == 0 and df.where(F.size(quick) > 1).count() > 300
         assert df.where(D.mark(F.col("text"), pattern) != F.regexp_replace("text", F.lit(pattern), F.lit("####$0####"))).count() == 0
         assert "(?=[0-9ADFJMNOS])" in df.select(quick)._jdf.queryExecution().toString()
-    # only parts that change are hashed, so the hash is no plain field of every part
     one = D.fake_mention(F.lit("June 3, 1995"), F.lit("k"), 42, F.lit(0))
     assert df.limit(1).select(one.alias("f")).first()["f"].split(" ")[1] == "3,"
